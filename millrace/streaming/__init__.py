@@ -1,0 +1 @@
+"""Empty on purpose: no query of this package has a stream, event time or state."""
