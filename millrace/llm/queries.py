@@ -2,8 +2,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, simhash
-from millrace.llm.tables import table
+from millrace.llm import exact_dedup, packing, sentencepiece_codec, simhash
+from millrace.llm.tables import table, tokenizer
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -11,6 +11,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), width=4, distance=4)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every document."""
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -19,6 +29,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_packing": op7_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

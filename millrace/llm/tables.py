@@ -37,3 +37,10 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
 
 def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 4 == HELD_OUT
+
+
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file; operators take any other path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
