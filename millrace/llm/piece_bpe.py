@@ -45,6 +45,7 @@ class PieceBPE:
         self._pairs: dict[int, bool] = {}
         self._segments: dict[str, tuple[int, ...]] = {}
         self._ids: dict[str, tuple[int, ...]] = {}
+        self.raw: dict[str, bytes] = {}
         self.rendered: dict[str, tuple[int, str, str]] = {}
         self.automaton = ahocorasick.Automaton()
         for p in self.id_of:

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, packing, sentencepiece_codec, simhash
+from millrace.llm import exact_dedup, fertility, language_id, packing, sentencepiece_codec, simhash
 from millrace.llm.tables import table, tokenizer
 
 
@@ -11,6 +11,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), width=4, distance=4)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, base counts, base_failed and kept of every document, and the measures."""
+    found = fertility.quality_rules(table(spark, sf_dir, "documents"), {"piece": tokenizer("piece_bpe_32k.model")})
+    return found.withColumn("outside", F.array_join("outside", ","))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
     return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -21,6 +27,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document."""
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every document."""
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -29,8 +40,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_quality_rules": op4_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_packing": op7_packing,
+    "op8_language_id": op8_language_id,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
