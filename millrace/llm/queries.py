@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, fertility, language_id, packing, sentencepiece_codec, simhash
+from millrace.llm import exact_dedup, fertility, language_id, packing, sentencepiece_codec, simhash, toxicity
 from millrace.llm.tables import table, tokenizer
 
 
@@ -32,6 +32,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every document."""
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -44,6 +49,7 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
