@@ -2,10 +2,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, fertility, language_id, packing, sentencepiece_codec, simhash, toxicity
+from millrace.llm import exact_dedup, fertility, language_id, licenses, packing, sentencepiece_codec, simhash, toxicity
 from millrace.llm.tables import table, tokenizer
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, licenses, sentence_ids and n_unknown of every document."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id (and kept) of every document."""
     return simhash.near_dedup(table(spark, sf_dir, "documents"), width=4, distance=4)
@@ -44,6 +49,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
@@ -54,6 +60,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_license_scan": licenses.sql(),
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
