@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, fertility, language_id, licenses, packing, sentencepiece_codec, simhash, toxicity
+from millrace.llm import exact_dedup, fertility, language_id, licenses, packing, secret_scan, sentencepiece_codec, simhash, toxicity
 from millrace.llm.tables import table, tokenizer
 
 
@@ -22,6 +22,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("outside", F.array_join("outside", ","))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, end, sha256, score and is_secret of every candidate in every document."""
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
     return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -52,6 +57,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
+    "op5_secret_scan": op5_secret_scan,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
