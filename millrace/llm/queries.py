@@ -2,10 +2,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, fertility, language_id, licenses, packing, secret_scan, sentencepiece_codec, simhash, toxicity
+from millrace.llm import exact_dedup, fertility, language_id, licenses, packing, quality, secret_scan, sentencepiece_codec, simhash, toxicity
 from millrace.llm.tables import table, tokenizer
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, p_text, p_meta, score and kept of every document."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, licenses, sentence_ids and n_unknown of every document."""
     return licenses.license_scan(table(spark, sf_dir, "documents"))
@@ -54,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_license_scan": op2_license_scan,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
