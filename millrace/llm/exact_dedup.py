@@ -162,3 +162,13 @@ def exact_dedup(docs: DataFrame, past: DataFrame | None = None) -> DataFrame:
     groups = history(others).select("digest", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"))
     rest = others.join(groups, "digest").select("doc_id", "digest", "keep_id", "group_size")
     return members.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+
+
+def first_copies(docs: DataFrame) -> DataFrame:
+    """Rows of docs, columns as they are, less each row that is an exact copy of the winner of its group.
+
+    The ids to drop are anti-joined: rows without a doc_id stay, and the texts are shuffled only where Spark finds the
+    ids too many to broadcast.
+    """
+    dropped = exact_dedup(docs).where("not kept and doc_id is not null").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

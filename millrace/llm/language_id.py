@@ -25,6 +25,7 @@ LANGUAGES = 256  # most frequent labels learned
 PIECE = 1 << 20  # characters scored at once
 STEADY = 60.0  # n-grams that count in full towards the score; longer texts are scored by their mean
 UNDETERMINED = "und"
+KEEP = 0.5  # least score of a document that `identified` keeps
 
 
 @lru_cache(maxsize=1)
@@ -125,23 +126,32 @@ def learn(docs: DataFrame) -> Model:
     return Model(langs, (np.log(n + 0.5) - np.log((n + 0.5).sum(axis=0))).astype(np.float32))
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` of docs (doc_id by default) with lang_pred and score of each row."""
+def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns `keep` of docs (doc_id by default) with the predicted language and score of each row, under `names`."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*(keep or ["doc_id"]), F.col("text").cast("string").alias("_read"))
+    keep = keep or ["doc_id"]
+    rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
+    at, width = rows.columns.index("text"), len(keep)
 
     def run(batches):
         for batch in batches:
-            langs, scores = shared.value.score(batch.column(batch.num_columns - 1).to_pylist())
-            columns = [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            langs, scores = shared.value.score(batch.column(at).to_pylist())
+            columns = [*batch.columns[:width], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], *names])
 
-    schema = rows.drop("_read").schema.add("lang_pred", "string").add("score", "double")
+    schema = rows.select(*keep).schema.add(names[0], "string").add(names[1], "double")
     return rows.mapInArrow(run, schema)
 
 
+def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """Rows of docs, columns as they are, whose language the model can tell: neither `und` nor of a score under KEEP."""
+    lang, score = "_millrace_lang", "_millrace_score"
+    found = predict(docs, model or learn(docs), docs.columns, (lang, score))
+    return found.where((F.col(lang) != UNDETERMINED) & (F.col(score) >= KEEP)).drop(lang, score)
+
+
 def language_id(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row, by a model learned from docs' own labelled rows.
 

@@ -193,3 +193,13 @@ def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
+    """Rows of docs, columns as they are, less each row that has a smaller doc_id in its component.
+
+    The ids to drop are anti-joined: rows without a doc_id stay, and the texts are shuffled only where Spark finds the
+    ids too many to broadcast.
+    """
+    dropped = near_dedup(docs, width, distance).where("not kept and doc_id is not null").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
