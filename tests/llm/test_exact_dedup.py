@@ -1,0 +1,59 @@
+import hashlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from support import ROWS, documents, empty
+
+from millrace.llm import exact_dedup as e
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for doc, text, *_ in rows:
+        groups[text or ""].append(doc)
+    out = []
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        out += [(i, keep, len(ids), i == keep, hashlib.sha256(text.encode()).hexdigest()) for i in ids]
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted([(r.doc_id, r.keep_id, r.group_size, r.kept, bytes(r.digest).hex()) for r in df.collect()], key=str)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 777, 5000])
+def test_perfect_hash_is_minimal(n):
+    words = np.frombuffer(b"".join(hashlib.sha256(str(i).encode()).digest() for i in range(n)), "<u8").reshape(-1, 4)
+    pilots, slots = e.pilots_of(words)
+    assert sorted(slots) == list(range(n))
+    assert (e.slot_of(words, pilots, n) == slots).all()
+    strangers = np.frombuffer(b"".join(hashlib.sha256(f"x{i}".encode()).digest() for i in range(100)), "<u8").reshape(-1, 4)
+    assert ((0 <= (s := e.slot_of(strangers, pilots, n))) & (s < n)).all()
+
+
+def test_odd_rows(spark):
+    assert rows_of(e.exact_dedup(documents(spark))) == brute(ROWS)
+    assert e.exact_dedup(empty(spark)).count() == 0
+
+
+def test_hot_text_over_many_lots(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i % 4000}", None, None, None) for i in range(9000)]
+    assert rows_of(e.exact_dedup(documents(spark, rows, clashing=False))) == brute(rows)
+
+
+def test_against_an_older_history(spark):
+    old = documents(spark, [(100, "a b", None, None, None), (101, "a b", None, None, None), (102, "c", None, None, None)])
+    new = documents(spark, [(1, "a b", None, None, None), (2, "new", None, None, None), (3, "new", None, None, None), (4, None, None, None, None)])
+    past = e.history(e.digests(old))
+    found = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in e.exact_dedup(new, past).collect()}
+    assert found == {1: (101, 2, False), 2: (3, 2, False), 3: (3, 2, True), 4: (4, 1, True)}
+    assert {r.doc_id: r.keep_id for r in e.exact_dedup(new, past.limit(0)).collect()} == {1: 1, 2: 3, 3: 3, 4: 4}
+
+
+def test_filter_keeps_columns_and_rows_without_id(spark):
+    docs = documents(spark)
+    out = e.first_copies(docs)
+    assert out.columns == docs.columns
+    assert sorted([r.doc_id for r in out.collect()], key=str) == sorted([3, 2, 4, 5, 5, 6, 7, 9, None, None, 10, 11], key=str)
