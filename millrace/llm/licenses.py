@@ -84,7 +84,7 @@ RULES = [
 ]
 
 # Each known sentence has one of these, and so has each sentence that counts as UNKNOWN.
-ANCHORS = ["licen", "permission", "copyright", "software", "redistribut", "warrant", "mpl", "rights reserved"]
+ANCHORS = ["licen", "permission", "copyright", "software", "redistribut", "warrant", "mpl", "cc0", "rights reserved"]
 SPOKEN = "licen[cs]e"
 UNKNOWN = "UNKNOWN"
 
@@ -128,7 +128,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, licenses, sentence_ids and n_unknown of every row.
 
     licenses: the rules' licences from either way to cut the text, each once, sorted and joined by commas. sentence_ids:
-    the identifiers from cutting by lines, in order, joined by commas, UNKNOWN ones included; n_unknown counts these.
+    the identifiers in order, joined by commas, UNKNOWN ones included, from the way that knows more sentences, then from
+    the one with fewer UNKNOWN, then from that by lines; n_unknown counts these.
     Null and empty texts, and those without a licence sentence, have empty strings and 0. Whole texts are read. Repeated
     rows give repeated results. An empty table gives an empty result. Other columns of docs are not looked at.
     """
@@ -139,12 +140,15 @@ def license_scan(docs: DataFrame) -> DataFrame:
     by_line = F.when(F.col("text").isNotNull(), _identified(_sentences(F.col("text")))).otherwise(none)
     wrapped = F.when(F.col("text").isNotNull(), _identified(_sentences(_joined_lines(F.col("text"))))).otherwise(none)
     rows = rows.select("doc_id", by_line.alias("by_line"), wrapped.alias("wrapped"))
+    known, unknown = (lambda c: F.size(F.array_remove(c, UNKNOWN))), (lambda c: F.size(c) - F.size(F.array_remove(c, UNKNOWN)))
+    better = (known("wrapped") > known("by_line")) | ((known("wrapped") == known("by_line")) & (unknown("wrapped") < unknown("by_line")))
+    ids = F.when(better, F.col("wrapped")).otherwise(F.col("by_line"))
     names = F.when(F.size("by_line") + F.size("wrapped") > 0, F.array_union(_matched(_spelt(F.col("by_line"))), _matched(_spelt(F.col("wrapped"))))).otherwise(none)
     return rows.select(
         "doc_id",
         F.array_join(F.array_sort(names), ",").alias("licenses"),
-        F.array_join("by_line", ",").alias("sentence_ids"),
-        F.size(F.filter("by_line", lambda i: i == UNKNOWN)).cast("long").alias("n_unknown"),
+        F.array_join(ids, ",").alias("sentence_ids"),
+        unknown(ids).cast("long").alias("n_unknown"),
     )
 
 
@@ -162,7 +166,8 @@ def sql() -> str:
     steps = [
         f"d AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)",
         f"c AS (SELECT doc_id, {named(cut('t'))} AS a, {named(cut(wrapped))} AS b FROM d)",
-        f"m0 AS (SELECT doc_id, a, {spelt('a')} AS x, []::VARCHAR[] AS xs, {spelt('b')} AS y, []::VARCHAR[] AS ys FROM c)",
+        f"k AS (SELECT *, len(list_filter(a, lambda i: i <> '{UNKNOWN}')) AS ka, len(list_filter(b, lambda i: i <> '{UNKNOWN}')) AS kb FROM c)",
+        f"m0 AS (SELECT doc_id, CASE WHEN kb > ka OR (kb = ka AND len(b) < len(a)) THEN b ELSE a END AS a, {spelt('a')} AS x, []::VARCHAR[] AS xs, {spelt('b')} AS y, []::VARCHAR[] AS ys FROM k)",
     ]
     for n, (ids, name) in enumerate(RULES):
         rule = _quoted(f",{','.join(ids)},")
