@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.piece_bpe import piece_bpe
 from millrace.llm.tables import small_batches, stash
+from millrace.llm.word_bpe import word_bpe
 
 MIN_WORDS = 50
 GRID = 0.005  # measures are counted in steps of this
@@ -81,13 +82,26 @@ def script(text: str) -> str:
     return best if counts[best] else "none"
 
 
-def fertility(text: str, bpe, is_byte: np.ndarray) -> tuple[float, float, float, int]:
-    """chars_per_token, byte_share, token_entropy (bits, over those of as many different tokens) and tokens; 0 if empty."""
-    if bpe.single_spaced(text) and text:
-        raw = b"".join(bpe.chunks(text, lambda ids: array("I", ids).tobytes(), bpe.raw))
-        ids = np.frombuffer(raw, "<u4")
-    else:
-        ids = np.array(bpe.encode(text), np.int64)
+def reader(path: str):
+    """(ids of a text, whether an id is a fallback byte) for a vocabulary file: .model with byte fallback, else word ends."""
+    if not path.endswith(".model"):
+        words = word_bpe(path)
+        return lambda text: np.frombuffer(words.encode(text), "<u4"), np.zeros(words.library.get_vocab_size(), bool)
+    bpe = piece_bpe(path)
+    is_byte = np.zeros(len(bpe.pieces), bool)
+    is_byte[list(bpe.byte_of)] = True
+
+    def ids(text: str) -> np.ndarray:
+        if not text or not bpe.single_spaced(text):
+            return np.array(bpe.encode(text), np.int64)
+        return np.frombuffer(b"".join(bpe.chunks(text, lambda found: array("I", found).tobytes(), bpe.raw)), "<u4")
+
+    return ids, is_byte
+
+
+def fertility(text: str, ids_of, is_byte: np.ndarray) -> tuple[float, float, float, int]:
+    """chars_per_token, byte_share, token_entropy (bits, over those of as many different tokens) and tokens; 0 if none."""
+    ids = ids_of(text)
     n = len(ids)
     if not n:
         return 0.0, 0.0, 0.0, 0
@@ -102,19 +116,14 @@ def measure(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
     names = [f"{v}_{m}" for v in vocabularies for m in (*MEASURES, "tokens")]
 
     def run(batches):
-        encoders = []
-        for path in vocabularies.values():
-            bpe = piece_bpe(path)
-            is_byte = np.zeros(len(bpe.pieces), bool)
-            is_byte[list(bpe.byte_of)] = True
-            encoders.append((bpe, is_byte))
+        readers = [reader(path) for path in vocabularies.values()]
         for batch in batches:
             counts, keys, found = [], [], []
             for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 text = text or ""
                 counts.append(base_counts(text))
                 keys.append(lang if lang is not None else f"script:{script(text)}")
-                found.append([x for e in encoders for x in fertility(text, *e)])
+                found.append([x for r in readers for x in fertility(text, *r)])
             longs = np.array(counts, np.int64).reshape(-1, len(_COUNTS)).T
             doubles = np.array(found, np.float64).reshape(-1, len(names)).T
             columns = [batch.column(0), pa.array(keys, pa.string()), *map(pa.array, longs), *map(pa.array, doubles)]

@@ -23,7 +23,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, base counts, base_failed and kept of every document, and the measures."""
-    found = fertility.quality_rules(table(spark, sf_dir, "documents"), {"piece": tokenizer("piece_bpe_32k.model")})
+    found = fertility.quality_rules(table(spark, sf_dir, "documents"), {"piece": tokenizer("piece_bpe_32k.model"), "word": tokenizer("word_bpe_49k.json")})
     return found.withColumn("outside", F.array_join("outside", ","))
 
 

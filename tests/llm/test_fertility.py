@@ -7,10 +7,11 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from support import LONG, ROWS, documents, empty
+from tokenizers import Tokenizer
 
 from millrace.llm import fertility as f
 
-PIECES = public_tokenizers.path("piece_bpe_32k.model")
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
 
 def plain_counts(text):
@@ -34,7 +35,8 @@ def test_script():
 
 def test_odd_rows(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    out = f.quality_rules(documents(spark), {"piece": PIECES}).collect()
+    words = Tokenizer.from_file(WORDS)
+    out = f.quality_rules(documents(spark), {"piece": PIECES, "word": WORDS}).collect()
     wanted = {d: t or "" for d, t, *_ in ROWS if d is not None}
     assert len(out) == len(ROWS)
     for r in out:
@@ -48,6 +50,8 @@ def test_odd_rows(spark):
             assert (n, *rest) == plain_counts(text)
         assert r.base_failed == (n < 50 or 100 * r.n_repeat_words > 50 * n)
         if ids:
+            other = words.encode(text, add_special_tokens=False).ids
+            assert r.word_tokens == len(other) and r.word_byte_share == 0 and np.isclose(r.word_chars_per_token, len(text) / len(other) if other else 0)
             times = np.array(list(Counter(ids).values()))
             entropy = np.log2(len(ids)) - (times * np.log2(times)).sum() / len(ids)
             assert np.isclose(r.piece_chars_per_token, len(text) / len(ids)) and np.isclose(r.piece_byte_share, np.mean([library.is_byte(i) for i in ids]))
