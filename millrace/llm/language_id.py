@@ -109,7 +109,7 @@ class Model:
 def learn(docs: DataFrame) -> Model:
     """Model from rows with a language that are not held out. Ties in frequency go to the smaller label."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where("lang is not null and text is not null and lang <> 'und'").where(~F.coalesce(held_out(), F.lit(False)))
+    rows = rows.where("lang is not null and lang <> 'und'").where(~F.coalesce(held_out(), F.lit(False)))
     by_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     langs = sorted(r.lang for r in by_lang)
     if not langs:
@@ -121,8 +121,10 @@ def learn(docs: DataFrame) -> Model:
     small_batches(docs.sparkSession)
     n = np.zeros((SLOTS, len(langs)))
     number = {lang: i for i, lang in enumerate(langs)}
-    for r in counts(rows.where(F.col("lang").isin(langs)).where(drawn)).toLocalIterator():
+    for r in counts(rows.where(F.col("lang").isin(langs)).where(drawn).where("text is not null")).toLocalIterator():
         n[r.slot, number[r.lang]] = r.n
+    seen = n.sum(axis=0) > 0  # a language of texts without a letter teaches nothing
+    langs, n = [lang for lang, s in zip(langs, seen, strict=True) if s], n[:, seen]
     return Model(langs, (np.log(n + 0.5) - np.log((n + 0.5).sum(axis=0))).astype(np.float32))
 
 

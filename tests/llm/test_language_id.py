@@ -58,3 +58,8 @@ def test_filter_keeps_columns(spark):
     docs = documents(spark, corpus(80) + [(500, "123", "en", None, None), (501, None, "en", None, None)])
     out = lid.identified(docs)
     assert out.schema == docs.schema and {r.doc_id for r in out.collect()} == set(range(80))
+
+
+def test_language_without_letters_is_not_learned(spark):
+    docs = documents(spark, corpus() + [(2000 + i, None if i % 2 else "12 3", "zz", None, None) for i in range(20)])
+    assert lid.learn(docs).langs == ["de", "en", "es", "fr"]
