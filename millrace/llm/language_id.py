@@ -78,7 +78,7 @@ def counts(docs: DataFrame) -> DataFrame:
                 into += np.bincount(slots[slots >= 0], minlength=SLOTS)
             for lang, n in own.items():
                 at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at])], names=["lang", "slot", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at])], names=["lang", "slot", "n"])
 
     found = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang").mapInArrow(run, "lang string, slot int, n long")
     return found.groupBy("lang", "slot").agg(F.sum("n").alias("n"))

@@ -66,6 +66,6 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
                     ids, back = ",".join(map(str, own)), bpe.decode(own)
                 spelt.append(hashlib.sha256(ids.encode()).hexdigest())
                 decoded.append(hashlib.sha256(back.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(spelt), pa.array(decoded)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(spelt, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
