@@ -1,4 +1,5 @@
 """Reading the driver's tables and cutting lineage in the folder that all executors share."""
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir where the cluster names one; a temporary folder only where it is unset, as in tests."""
+    """spark.checkpoint.dir; where it is unset, a temporary folder if Spark runs in this one process, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
