@@ -9,8 +9,9 @@ As both share the ordinary text, an ordinary window compresses to the same lengt
 window's two lengths says how much of it only the toxic dictionary knows.
 - A logistic model of a document's largest differences, their mean and the windows above fixed thresholds is fitted on
   a third of the sample with dictionaries from the rest; its threshold is the one with the best F1 there, put at 0.3.
+  The width of windows, and whether the toxic dictionary has whole words beside their starts, are chosen by that F1.
 
-Scoring: each whole text is cut into windows of WINDOW words, each compressed twice. The model is a few KB.
+Scoring: each whole text is cut into windows, each compressed twice. The model is a few KB.
 """
 from collections import Counter, defaultdict
 
@@ -24,14 +25,14 @@ from millrace.llm.tables import held_out, small_batches
 
 TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000  # labelled rows learned from, about
 SAMPLE_CHARS = 20_000  # characters of a text learned from; scoring reads whole texts
-WINDOW = 8  # words
+WINDOWS = (5, 8)  # words; the better is chosen with the thresholds
 LONGEST = 1024  # bytes of a window; longer ones are cut
 ORDINARY_BYTES, TOXIC_BYTES = 8_192, 4_096
 STARTS = range(4, 10)  # bytes of a word's start, with the space before it
 LEAST_DOCS, LEAST_BEFORE, LEAST_SHARE = 2, 4, 0.006  # documents, different words before it, and share of both that a start needs
 RATIO = 15  # times as many different words before it, by the words of either class
 KEEPS = 0.7  # a longer start replaces a shorter one that has no more than 1 / this of its documents
-AT = (2, 3, 5)  # differences in bytes above which windows are counted
+AT = (1, 2, 3, 5)  # differences in bytes above which windows are counted
 CUT = 0.3
 # Both dictionaries hold these bytes, and each window ends with them: else zstandard stores a short window as it is
 # whenever it can't save a few bytes, and small differences are lost. A fixed value.
@@ -42,11 +43,11 @@ def _words(text: str) -> list[bytes]:
     return text.lower().encode().split()
 
 
-def windows(text: str) -> list[bytes]:
-    """The whole text in windows of WINDOW words with spaces around them, each with the tail."""
+def windows(text: str, size: int) -> list[bytes]:
+    """The whole text in windows of `size` words with spaces around them, each with the tail."""
     words, out = _words(text), []
-    for i in range(0, len(words), WINDOW):
-        w = b" " + b" ".join(words[i : i + WINDOW]) + b" "
+    for i in range(0, len(words), size):
+        w = b" " + b" ".join(words[i : i + size]) + b" "
         out += [w + TAIL] if len(w) <= LONGEST else [w[j : j + LONGEST] + TAIL for j in range(0, len(w), LONGEST)]
     return out
 
@@ -56,38 +57,59 @@ def _starts(word: bytes) -> list[bytes]:
     return [*(w[:k] for k in STARTS if len(w) >= k), w + b" "]
 
 
-def _before(texts: list[str], only=None) -> tuple[dict, Counter]:
-    """For each start the different words before it, and how many texts have it."""
-    before, docs = defaultdict(set), Counter()
-    for text in texts:
-        seen, last = set(), b""
-        for w in _words(text):
-            for s in _starts(w):
-                if only is None or s in only:
+def _supported(texts: list[str], least: dict[str, float]) -> tuple[dict, Counter]:
+    """Starts with enough different words before them and enough texts: the number of the former, and of texts.
+
+    Support falls as a start grows, so each length looks only at starts whose shorter start has it; few are held at once.
+    """
+    same: dict[bytes, bytes] = {}
+    words = [[same.setdefault(w, b" " + w) for w in _words(t)] for t in texts]
+    found, in_texts, alive = {}, Counter(), None
+    for k in (*STARTS, None):
+        before, docs = defaultdict(set), Counter()
+        for own in words:
+            seen, last = set(), b""
+            for w in own:
+                if k is None:
+                    s = w + b" " if len(w) < STARTS[0] or w[: STARTS[-1]] in found else None
+                else:
+                    s = w[:k] if len(w) >= k and (alive is None or w[: k - 1] in alive) else None
+                if s is not None:
                     seen.add(s)
                     before[s].add(last)
-            last = w
-        docs.update(seen)
-    return before, docs
+                last = w
+            docs.update(seen)
+        alive = {s: len(c) for s, c in before.items() if len(c) >= least["before"] and docs[s] >= least["docs"]}
+        in_texts.update({s: docs[s] for s in alive})
+        found |= alive
+    return found, in_texts
 
 
-def _marks(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Starts of words that mark toxic texts, those after the most different words first."""
+def _marks(toxic: list[str], ordinary: list[str]) -> tuple[list[bytes], list[bytes]]:
+    """Starts of words that mark toxic texts, those after the most different words first, and whole words with them."""
     share = LEAST_SHARE * len(toxic)
-    before, docs = _before(toxic)
-    support = {s: len(c) for s, c in before.items() if len(c) >= max(LEAST_BEFORE, share) and docs[s] >= max(LEAST_DOCS, share)}
-    against, _ = _before(ordinary, support)
+    support, docs = _supported(toxic, {"before": max(LEAST_BEFORE, share), "docs": max(LEAST_DOCS, share)})
+    against = defaultdict(set)
+    for text in ordinary:
+        last = b""
+        for w in _words(text):
+            for s in _starts(w):
+                if s in support:
+                    against[s].add(last)
+            last = w
     words = [max(1, sum(len(_words(t)) for t in texts)) for texts in (toxic, ordinary)]
     chosen = {s for s, n in support.items() if n / words[0] >= RATIO * (len(against.get(s, ())) + 0.5) / words[1]}
-    best_of: dict[bytes, bytes] = {}
-    for w in {w for text in toxic for w in _words(text)}:
+    best_of, forms = set(), Counter()
+    for w, n in Counter(w for text in toxic for w in _words(text)).items():
         best = None
         for s in _starts(w):
             if s in chosen and (best is None or docs[s] >= KEEPS * docs[best]):
                 best = s
         if best is not None:
-            best_of[best] = best
-    return sorted(best_of, key=lambda s: (-support[s], s))
+            best_of.add(best)
+            forms[b" " + w + b" "] += n
+    forms = [w for w, n in sorted(forms.items(), key=lambda x: (-x[1], x[0])) if n > 1]
+    return sorted(best_of, key=lambda s: (-support[s], s)), forms
 
 
 def _joined(parts: list[bytes], size: int) -> bytes:
@@ -101,17 +123,19 @@ def _joined(parts: list[bytes], size: int) -> bytes:
     return b"".join(reversed(out))
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """(toxic, ordinary) dictionary contents."""
+def train_dictionaries(toxic: list[str], ordinary: list[str]) -> list[tuple[bytes, bytes]]:
+    """(toxic, ordinary) dictionary contents: the toxic one with starts of words alone, and with whole words too."""
     common = Counter(w for text in ordinary for w in _words(text))
     shared = _joined([w + b" " for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))], ORDINARY_BYTES)
-    return _joined(_marks(toxic, ordinary), TOXIC_BYTES) + b" " + shared + TAIL, b" " + shared + TAIL
+    starts, forms = _marks(toxic, ordinary)
+    return [(_joined(marks, TOXIC_BYTES) + b" " + shared + TAIL, b" " + shared + TAIL) for marks in (starts, starts + forms)]
 
 
 class Distance:
     """Differences of compressed lengths: ordinary dictionary less toxic dictionary."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes):
+    def __init__(self, toxic: bytes, ordinary: bytes, window: int):
+        self.window = window
         how = zstandard.ZstdCompressionParameters(
             window_log=17, chain_log=14, hash_log=14, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_BTLAZY2,
             write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
@@ -122,7 +146,7 @@ class Distance:
         )
 
     def features(self, text: str | None) -> list[float]:
-        found = windows(text or "")
+        found = windows(text or "", self.window)
         if not found:
             return [0.0] * (4 + 2 * len(AT))
         toxic, ordinary = self.toxic, self.ordinary
@@ -144,6 +168,18 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1.0) ->
     return w
 
 
+def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Weights, the cut in their log-odds with the best F1, and that F1."""
+    w = _fit(x, y)
+    s = x @ w[:-1] + w[-1]
+    order = np.argsort(-s, kind="stable")
+    f1 = 2 * np.cumsum(y[order]) / (np.arange(1, len(y) + 1) + y.sum())
+    last = np.append(s[order][1:] < s[order][:-1], True)  # a threshold can't part equal scores
+    best = int(np.argmax(np.where(last, f1, -1)))
+    below = s[order][best + 1] if best + 1 < len(s) else s[order][best] - 1
+    return w, float(s[order][best] + below) / 2, float(f1[best])
+
+
 def _logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
@@ -156,24 +192,23 @@ class Model:
         if len(toxic) < 2 or len(ordinary) < 2:
             return
         third = lambda texts, own: [t for i, t in enumerate(texts) if (i % 3 == 0) == own]
-        d = Distance(*train_dictionaries(third(toxic, False), third(ordinary, False)))
-        x = np.array([d.features(t) for t in third(toxic, True) + third(ordinary, True)])
+        tried = third(toxic, True) + third(ordinary, True)
         y = np.repeat([1.0, 0.0], [len(third(toxic, True)), len(third(ordinary, True))])
-        w = _fit(x, y)
-        s = np.append(x, np.ones((len(x), 1)), axis=1) @ w
-        order = np.argsort(-s, kind="stable")
-        hits = np.cumsum(y[order])
-        f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-        last = np.append(s[order][1:] < s[order][:-1], True)  # a threshold can't part equal scores
-        best = int(np.argmax(np.where(last, f1, -1)))
-        cut = (s[order][best] + (s[order][best + 1] if best + 1 < len(s) else s[order][best] - 1)) / 2
-        self.parts = (*train_dictionaries(toxic, ordinary), w, cut)
+        best = None
+        for kind, dictionaries in enumerate(train_dictionaries(third(toxic, False), third(ordinary, False))):
+            for window in WINDOWS:
+                d = Distance(*dictionaries, window)
+                w, cut, f1 = _calibrated(np.array([d.features(t) for t in tried]), y)
+                if best is None or f1 > best[0]:
+                    best = (f1, kind, window, w, cut)
+        _, kind, window, w, cut = best
+        self.parts = (*train_dictionaries(toxic, ordinary)[kind], window, w, cut)
 
     def scorer(self):
         if self.parts is None:
             return lambda text: 0.0
-        toxic, ordinary, w, cut = self.parts
-        distance, shift = Distance(toxic, ordinary), _logit(CUT) - cut
+        toxic, ordinary, window, w, cut = self.parts
+        distance, shift = Distance(toxic, ordinary, window), _logit(CUT) - cut
         return lambda text: float(1 / (1 + np.exp(-np.clip(np.dot(distance.features(text), w[:-1]) + w[-1] + shift, -30, 30))))
 
 

@@ -57,9 +57,9 @@ def test_toxicity_odd_rows(spark):
 
 def test_windows_cover_the_text():
     text = "One two THREE\tfour\n" * 30 + "x" * 5000
-    joined = b"".join(w.removesuffix(t.TAIL) for w in t.windows(text))
+    joined = b"".join(w.removesuffix(t.TAIL) for w in t.windows(text, 8))
     assert joined.split() == text.lower().encode().split() or b"".join(joined.split()) == b"".join(text.lower().encode().split())
-    assert t.windows("") == [] == t.windows(" \n")
+    assert t.windows("", 5) == [] == t.windows(" \n", 5)
 
 
 def test_quality(spark):
