@@ -8,7 +8,7 @@ Learning, on a bounded sample of labelled rows:
 As both share the ordinary text, an ordinary window compresses to the same length with either, and the difference of a
 window's two lengths says how much of it only the toxic dictionary knows.
 - A logistic model of a document's largest differences, their mean and the windows above fixed thresholds is fitted on
-  a third of the sample with dictionaries from the rest; its threshold is the one with the best F1 there, put at 0.3.
+  the sample, each third with dictionaries from the rest; its threshold is the one with the best F1, put at 0.3.
   The width of windows, and whether the toxic dictionary has whole words beside their starts, are chosen by that F1.
 
 Scoring: each whole text is cut into windows, each compressed twice. The model is a few KB.
@@ -34,6 +34,7 @@ RATIO = 15  # times as many different words before it, by the words of either cl
 KEEPS = 0.7  # a longer start replaces a shorter one that has no more than 1 / this of its documents
 AT = (1, 2, 3, 5)  # differences in bytes above which windows are counted
 CUT = 0.3
+FOLDS = 3  # of the sample; each is calibrated on with dictionaries from the others
 # Both dictionaries hold these bytes, and each window ends with them: else zstandard stores a short window as it is
 # whenever it can't save a few bytes, and small differences are lost. A fixed value.
 TAIL = bytes(range(128, 192))
@@ -189,18 +190,23 @@ class Model:
 
     def __init__(self, toxic: list[str], ordinary: list[str]):
         self.parts = None
-        if len(toxic) < 2 or len(ordinary) < 2:
+        if len(toxic) < FOLDS or len(ordinary) < FOLDS:
             return
-        third = lambda texts, own: [t for i, t in enumerate(texts) if (i % 3 == 0) == own]
-        tried = third(toxic, True) + third(ordinary, True)
-        y = np.repeat([1.0, 0.0], [len(third(toxic, True)), len(third(ordinary, True))])
+        fold = lambda texts, k, own: [t for i, t in enumerate(texts) if (i % FOLDS == k) == own]
+        found: dict[tuple[int, int], list] = defaultdict(list)
+        y: list[float] = []
+        for k in range(FOLDS):
+            left_out = fold(toxic, k, True) + fold(ordinary, k, True)
+            y += [1.0] * len(fold(toxic, k, True)) + [0.0] * len(fold(ordinary, k, True))
+            for kind, dictionaries in enumerate(train_dictionaries(fold(toxic, k, False), fold(ordinary, k, False))):
+                for window in WINDOWS:
+                    d = Distance(*dictionaries, window)
+                    found[kind, window] += [d.features(t) for t in left_out]
         best = None
-        for kind, dictionaries in enumerate(train_dictionaries(third(toxic, False), third(ordinary, False))):
-            for window in WINDOWS:
-                d = Distance(*dictionaries, window)
-                w, cut, f1 = _calibrated(np.array([d.features(t) for t in tried]), y)
-                if best is None or f1 > best[0]:
-                    best = (f1, kind, window, w, cut)
+        for (kind, window), x in sorted(found.items()):
+            w, cut, f1 = _calibrated(np.array(x), np.array(y))
+            if best is None or f1 > best[0]:
+                best = (f1, kind, window, w, cut)
         _, kind, window, w, cut = best
         self.parts = (*train_dictionaries(toxic, ordinary)[kind], window, w, cut)
 
