@@ -4,7 +4,9 @@ One pass over whole texts gives base counts (words, symbols, repeated lines and
 vocabulary, characters per token, the share of byte-fallback tokens and the entropy of the token ids. Bands then come
 from all documents that pass the base rules: for each language (the script where the language is null) the quartiles of
 each measure, taken exactly on a fixed grid, widened by FENCE times their distance. A document outside a band is
-rejected. Bands follow the corpus, and quartiles hold while under a quarter of a language's rows is junk of one side.
+rejected. A text counts once for each language, however many copies of it there are, so that no group of copies sets a
+band; every row is judged. Bands follow the corpus, and quartiles hold while under a quarter of a language's different
+texts is junk of one side. Texts that differ at all, near copies too, count each.
 
 The tables of bands have a row for each language and measure; the grid bounds what the quartiles are counted from.
 """
@@ -13,6 +15,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,30 +115,37 @@ def fertility(text: str, ids_of, is_byte: np.ndarray) -> tuple[float, float, flo
 
 
 def measure(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
-    """doc_id, key, the base counts and the measures <vocabulary>_<measure> of every row."""
+    """doc_id, key, a digest of the text, the base counts and the measures <vocabulary>_<measure> of every row."""
     names = [f"{v}_{m}" for v in vocabularies for m in (*MEASURES, "tokens")]
 
     def run(batches):
         readers = [reader(path) for path in vocabularies.values()]
         for batch in batches:
-            counts, keys, found = [], [], []
+            counts, keys, digests, found = [], [], [], []
             for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 text = text or ""
                 counts.append(base_counts(text))
+                digests.append(xxhash.xxh3_128_digest(text.encode()))
                 keys.append(lang if lang is not None else f"script:{script(text)}")
                 found.append([x for r in readers for x in fertility(text, *r)])
             longs = np.array(counts, np.int64).reshape(-1, len(_COUNTS)).T
             doubles = np.array(found, np.float64).reshape(-1, len(names)).T
-            columns = [batch.column(0), pa.array(keys, pa.string()), *map(pa.array, longs), *map(pa.array, doubles)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", *_COUNTS, *names])
+            columns = [batch.column(0), pa.array(keys, pa.string()), pa.array(digests, pa.binary()), *map(pa.array, longs), *map(pa.array, doubles)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "digest", *_COUNTS, *names])
 
     small_batches(docs.sparkSession)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    schema = ", ".join(["doc_id long", "key string", *(f"{c} long" for c in _COUNTS), *(f"{n} double" for n in names)])
+    schema = ", ".join(["doc_id long", "key string", "digest binary", *(f"{c} long" for c in _COUNTS), *(f"{n} double" for n in names)])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
     return rows.mapInArrow(run, schema).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
+def different(measured: DataFrame, names: list[str]) -> DataFrame:
+    """One row for each key and text that passes the base rules, whatever the number of its copies."""
+    passed = measured.where("not base_failed").select("key", "digest", "base_failed", *names)
+    return passed.dropDuplicates(["key", "digest"])  # copies collapse before the shuffle, too
+
+
 def bands(measured: DataFrame, names: list[str]) -> DataFrame:
     """key, measure, q1, q3 and reach: quartiles of all rows that pass the base rules, also of key "*", and the fence."""
     stacked = F.explode(F.array(*(F.struct(F.lit(n).alias("measure"), F.round(F.col(n) / GRID).cast("long").alias("bin")) for n in names)))
@@ -154,12 +164,12 @@ def quality_rules(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
     """The measures of every row with base_failed, outside (measures beyond their band) and kept.
 
     A null text has no words and fails the base rules, as every text under MIN_WORDS words. Null languages take the
-    bands of their script, a language with few passing rows those of all rows. Repeated rows give repeated results. An
-    empty table gives an empty result. Columns other than doc_id, text and lang are not looked at; lang may be missing.
+    bands of their script, a language with few passing rows those of all rows. Repeated rows give repeated results and
+    count once in the bands. An empty table gives an empty result. Columns other than doc_id, text and lang are not looked at; lang may be missing.
     """
     names = [f"{v}_{m}" for v in vocabularies for m in MEASURES]
     measured = stash(measure(docs, vocabularies), "fertility")
-    limits = bands(measured, names).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("q1", "q3", "reach")))).alias("bands"))
+    limits = bands(different(measured, names), names).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("q1", "q3", "reach")))).alias("bands"))
     limits = stash(limits, "bands")
     general = limits.where("key = '*'").select(F.col("bands").alias("general"))  # one row, or none
     own = limits.where("key <> '*'")
@@ -174,4 +184,4 @@ def quality_rules(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
 
     outside = F.array_compact(F.array(*(beyond(v, m) for v in vocabularies for m in MEASURES)))
     out = joined.withColumn("outside", outside).withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0))
-    return out.drop("bands", "general", "key")
+    return out.drop("bands", "general", "key", "digest")

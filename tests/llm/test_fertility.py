@@ -83,3 +83,21 @@ def test_bands_match_exact_quartiles(spark):
     band = next(r for r in f.bands(df, ["m"]).collect() if r.key == "en")
     ordered = np.sort(values)
     assert np.isclose(band.q1, ordered[99]) and np.isclose(band.q3, ordered[299])
+
+
+def test_copies_do_not_set_the_bands(spark):
+    rng = np.random.default_rng(2)
+    common = "the river runs past a quiet mill where grain is ground for bread and every morning".split()
+    rare = "sedimentary hydrology thermodynamic crystallography phenomenological".split()
+    prose = [" ".join(rng.choice(common + rare[: i % 6], 120)) for i in range(320)]
+    junk = ["".join(rng.choice(list("#$%qzxjk0123456789"), 1800)).replace("q", " ") for _ in range(6)]
+    langs = ["en"] * 120 + ["fr"] * 200 + ["en"] * 6
+    for same in (3, 320):  # a third of all rows, over half of its language
+        texts = prose + junk + [(prose + junk)[same]] * 163
+        rows = [(i, t, lang, None, None) for i, (t, lang) in enumerate(zip(texts, langs + ["en"] * 163, strict=True))]
+        out = {r.doc_id: r for r in f.quality_rules(documents(spark, rows), {"piece": PIECES}).collect()}
+        assert len(out) == len(rows) and not any(out[i].base_failed for i in (3, *range(320, 326)))
+        passed = [out[i] for i in range(320) if not out[i].base_failed]
+        assert len(passed) > 250 and sum(r.kept for r in passed) >= 0.98 * len(passed)
+        assert not any(out[i].kept for i in range(320, 326))
+        assert all(out[i].outside == out[same].outside for i in range(326, 489))
