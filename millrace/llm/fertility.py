@@ -3,10 +3,11 @@
 One pass over whole texts gives base counts (words, symbols, repeated lines and windows) and, for each public
 vocabulary, characters per token, the share of byte-fallback tokens and the entropy of the token ids. Bands then come
 from all documents that pass the base rules: for each language (the script where the language is null) the quartiles of
-each measure, taken exactly on a fixed grid, widened by FENCE times their distance. A document outside a band is
-rejected. A text counts once for each language, however many copies of it there are, so that no group of copies sets a
-band; every row is judged. Bands follow the corpus, and quartiles hold while under a quarter of a language's different
-texts is junk of one side. Texts that differ at all, near copies too, count each.
+each measure, taken exactly on a fixed grid, widened by FENCE times their distance. Each language has its own band,
+however few its texts; the fewer, the wider, by a part that falls with the root of their number. A document outside a
+band is rejected. A text counts once for each language, however many copies of it there are, so that no group of copies
+sets a band; every row is judged. Bands follow the corpus, and quartiles hold while under a quarter of a language's
+different texts is junk of one side. Texts that differ at all, near copies too, count each.
 
 The tables of bands have a row for each language and measure; the grid bounds what the quartiles are counted from.
 """
@@ -27,7 +28,7 @@ MIN_WORDS = 50
 GRID = 0.005  # measures are counted in steps of this
 FENCE = 2.5
 STEADY_TOKENS = 600  # a shorter text's measures spread more: its bands widen by the root of this over its tokens
-LEAST_ROWS = 100  # a language with fewer passing rows takes the bands of all languages
+FEW = 1.0  # bands of few texts widen by this over the root of their number: about 2.5 standard errors of a quartile
 LEAST_WIDTH = 0.02  # a band reaches at least this far beyond its quartiles
 
 # The symbols that count, and white space between words.
@@ -147,41 +148,36 @@ def different(measured: DataFrame, names: list[str]) -> DataFrame:
 
 
 def bands(measured: DataFrame, names: list[str]) -> DataFrame:
-    """key, measure, q1, q3 and reach: quartiles of all rows that pass the base rules, also of key "*", and the fence."""
+    """key, measure, q1, q3 and reach: quartiles of the rows of each key that pass the base rules, and the fence."""
     stacked = F.explode(F.array(*(F.struct(F.lit(n).alias("measure"), F.round(F.col(n) / GRID).cast("long").alias("bin")) for n in names)))
-    binned = measured.where("not base_failed").select(F.explode(F.array(F.col("key"), F.lit("*"))).alias("key"), stacked.alias("m"))
+    binned = measured.where("not base_failed").select("key", stacked.alias("m"))
     counted = binned.groupBy("key", "m.measure", "m.bin").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy("key", "measure")
     ranked = counted.withColumn("upto", F.sum("n").over(whole.orderBy("bin"))).withColumn("total", F.sum("n").over(whole))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin"))) * GRID
     quartiles = ranked.groupBy("key", "measure").agg(at(0.25).alias("q1"), at(0.75).alias("q3"), F.max("total").alias("rows"))
-    reach = F.greatest(FENCE * (F.col("q3") - F.col("q1")), F.lit(LEAST_WIDTH))
-    fenced = quartiles.where((F.col("key") == "*") | (F.col("rows") >= LEAST_ROWS))
-    return fenced.select("key", "measure", "q1", "q3", reach.alias("reach"))
+    reach = F.greatest(FENCE * (F.col("q3") - F.col("q1")), F.lit(LEAST_WIDTH)) * (1 + FEW / F.sqrt("rows"))
+    return quartiles.select("key", "measure", "q1", "q3", reach.alias("reach"))
 
 
 def quality_rules(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
     """The measures of every row with base_failed, outside (measures beyond their band) and kept.
 
     A null text has no words and fails the base rules, as every text under MIN_WORDS words. Null languages take the
-    bands of their script, a language with few passing rows those of all rows. Repeated rows give repeated results and
-    count once in the bands. An empty table gives an empty result. Columns other than doc_id, text and lang are not looked at; lang may be missing.
+    bands of their script. A language with one text that passes the base rules has a band around that text. Repeated
+    rows give repeated results and count once in the bands. An empty table gives an empty result. Columns other than
+    doc_id, text and lang are not looked at; lang may be missing.
     """
     names = [f"{v}_{m}" for v in vocabularies for m in MEASURES]
     measured = stash(measure(docs, vocabularies), "fertility")
     limits = bands(different(measured, names), names).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("q1", "q3", "reach")))).alias("bands"))
-    limits = stash(limits, "bands")
-    general = limits.where("key = '*'").select(F.col("bands").alias("general"))  # one row, or none
-    own = limits.where("key <> '*'")
-    joined = measured.join(own, "key", "left").join(F.broadcast(general), F.lit(True), "left")
-    band = F.coalesce("bands", "general")
-
+    joined = measured.join(stash(limits, "bands"), "key", "left")
 
     def beyond(vocabulary: str, name: str):
-        value, own_band = F.col(f"{vocabulary}_{name}"), band[f"{vocabulary}_{name}"]
+        value, own_band = F.col(f"{vocabulary}_{name}"), F.col("bands")[f"{vocabulary}_{name}"]
         reach = own_band["reach"] * F.sqrt(F.greatest(F.lit(1.0), STEADY_TOKENS / F.greatest(F.col(f"{vocabulary}_tokens"), F.lit(1.0))))
         return F.when((value < own_band["q1"] - reach) | (value > own_band["q3"] + reach), F.lit(f"{vocabulary}_{name}"))
 
     outside = F.array_compact(F.array(*(beyond(v, m) for v in vocabularies for m in MEASURES)))
     out = joined.withColumn("outside", outside).withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0))
-    return out.drop("bands", "general", "key", "digest")
+    return out.drop("bands", "key", "digest")

@@ -101,3 +101,18 @@ def test_copies_do_not_set_the_bands(spark):
         assert len(passed) > 250 and sum(r.kept for r in passed) >= 0.98 * len(passed)
         assert not any(out[i].kept for i in range(320, 326))
         assert all(out[i].outside == out[same].outside for i in range(326, 489))
+
+
+def test_few_rows_have_bands_of_their_own(spark):
+    rng = np.random.default_rng(3)
+    words = "the river runs past a quiet mill where grain is ground for bread and every morning".split()
+    prose = [(" ".join(rng.choice(words, 160)), "en") for _ in range(200)]
+    for signs, lang in (("กขคงจชซญณดตถทธนบปผพฟภมยรลวสหอ", "th"), ("的一是不了人我在有他这为之大来以个中上们", "zh")):
+        prose += [(" ".join("".join(rng.choice(list(signs), 5)) for _ in range(140)), lang) for _ in range(12)]
+    few = " ".join(rng.choice("el perro come pan y la casa tiene un gato negro con ojos verdes".split(), 160))
+    prose += [(few + f" {i}", "es") for i in range(20)]
+    junk = [("".join(rng.choice(list("#$%qzxjk0123456789"), 1800)).replace("q", " "), "es")]
+    out = {r.doc_id: r for r in f.quality_rules(documents(spark, [(i, t, g, None, None) for i, (t, g) in enumerate(prose + junk)]), {"piece": PIECES}).collect()}
+    passed = [r for r in out.values() if not r.base_failed and r.doc_id < len(prose)]
+    assert len(passed) > 215 and not out[len(prose)].base_failed and not out[len(prose)].kept
+    assert sum(r.kept for r in passed if r.doc_id >= 200) >= 0.9 * sum(r.doc_id >= 200 for r in passed)
