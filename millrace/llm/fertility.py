@@ -109,8 +109,8 @@ def fertility(text: str, ids_of, is_byte: np.ndarray) -> tuple[float, float, flo
     n = len(ids)
     if not n:
         return 0.0, 0.0, 0.0, 0
-    times = np.bincount(ids)
-    times = times[times > 0]
+    ordered = np.sort(ids)
+    times = np.diff(np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True]))))
     entropy = float(np.log2(n) - (times * np.log2(times)).sum() / n)
     return len(text) / n, float(is_byte[ids].mean()), entropy / float(np.log2(max(n, 2))), n
 

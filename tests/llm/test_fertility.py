@@ -10,6 +10,7 @@ from support import LONG, ROWS, documents, empty
 from tokenizers import Tokenizer
 
 from millrace.llm import fertility as f
+from millrace.llm import queries
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -116,3 +117,8 @@ def test_few_rows_have_bands_of_their_own(spark):
     passed = [r for r in out.values() if not r.base_failed and r.doc_id < len(prose)]
     assert len(passed) > 215 and not out[len(prose)].base_failed and not out[len(prose)].kept
     assert sum(r.kept for r in passed if r.doc_id >= 200) >= 0.9 * sum(r.doc_id >= 200 for r in passed)
+
+
+def test_query_measures_with_both_vocabularies(spark):
+    columns = queries.op4_quality_rules(spark, "/root/testdata/sf0.001").columns
+    assert {f"{v}_{m}" for v in ("piece", "word") for m in (*f.MEASURES, "tokens")} <= set(columns)
