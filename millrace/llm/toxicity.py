@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from millrace.llm.tables import held_out, small_batches
 
 TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000  # labelled rows learned from, about
-SAMPLE_CHARS = 20_000  # characters of a text learned from; scoring reads whole texts
 WINDOWS = (5, 8)  # words; the better is chosen with the thresholds
 LONGEST = 1024  # bytes of a window; longer ones are cut
 ORDINARY_BYTES, TOXIC_BYTES = 8_192, 4_096
@@ -219,7 +218,7 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from a sample of labelled rows that are not held out; a document labelled both ways counts as toxic."""
+    """Model from a sample of labelled rows, whole texts, that are not held out; a document labelled both ways counts as toxic."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marked = marked.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = {r.toxic: r.n for r in marked.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -227,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         return Model([], [])
     share = F.when(F.col("toxic") > 0, F.lit(min(1.0, TOXIC_ROWS / n[1]))).otherwise(F.lit(min(1.0, ORDINARY_ROWS / n[0])))
     drawn = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic").where("text is not null").collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, r.text))
     return Model([r.text for r in rows if r.toxic > 0], [r.text for r in rows if r.toxic <= 0])

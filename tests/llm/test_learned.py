@@ -90,3 +90,11 @@ def test_co_training_gives_the_other_view_labels():
     w = q.co_train((views[0][few], views[1][few]), y[few], (views[0][100:], views[1][100:]))
     for v in (0, 1):
         assert np.mean((q._odds(views[v], w[v]) > 0) == y) > 0.9
+
+
+def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(t, "Model", lambda toxic, ordinary: (toxic, ordinary))
+    texts = {i: "plain words " * 2500 + f"the mark {i}" for i in range(40)}
+    rows = [(i, x, "en", None, None) for i, x in texts.items()]
+    toxic, ordinary = t.learn(documents(spark, rows), labels_of(spark, [(i, 1, i % 2) for i in texts]))
+    assert toxic and ordinary and set(toxic + ordinary) <= set(texts.values())
