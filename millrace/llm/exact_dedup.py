@@ -31,7 +31,11 @@ _SLOTS = "shard int, n int, pilots binary, digests binary, winners binary, sizes
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id and digest (binary) of each row; a null text counts as empty."""
-    return docs.select("doc_id", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
+    return docs.select("doc_id", _digest(F.col("text")).alias("digest"))
+
+
+def _digest(text):
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def history(rows: DataFrame) -> DataFrame:
@@ -167,8 +171,9 @@ def exact_dedup(docs: DataFrame, past: DataFrame | None = None) -> DataFrame:
 def first_copies(docs: DataFrame) -> DataFrame:
     """Rows of docs, columns as they are, less each row that is an exact copy of the winner of its group.
 
-    The ids to drop are anti-joined: rows without a doc_id stay, and the texts are shuffled only where Spark finds the
-    ids too many to broadcast.
+    The ids to drop are anti-joined with their digests, so that another text under the same doc_id stays: rows without a
+    doc_id stay, too, and the texts are shuffled only where Spark finds the ids too many to broadcast.
     """
-    dropped = exact_dedup(docs).where("not kept and doc_id is not null").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = exact_dedup(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("id"), F.col("digest").alias("of"))
+    same = (docs["doc_id"] == dropped["id"]) & (_digest(docs["text"]) == dropped["of"])
+    return docs.join(dropped, same, "left_anti").select(*docs.columns)

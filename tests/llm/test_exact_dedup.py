@@ -57,3 +57,9 @@ def test_filter_keeps_columns_and_rows_without_id(spark):
     out = e.first_copies(docs)
     assert out.columns == docs.columns
     assert sorted([r.doc_id for r in out.collect()], key=str) == sorted([3, 2, 4, 5, 5, 6, 7, 9, None, None, 10, 11], key=str)
+
+
+def test_filter_drops_rows_not_ids(spark):
+    rows = [(1, "A", None, None, None), (1, "B", None, None, None), (2, "B", None, None, None), (3, None, None, None, None), (4, "", None, None, None)]
+    out = e.first_copies(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(1, "A"), (2, "B"), (4, "")]
