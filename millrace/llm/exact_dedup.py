@@ -7,21 +7,25 @@
 3. `build_slots` deals the digests into shards by their first bits (even, as SHA-256 is) and builds a minimal perfect
    hash for each: a pilot per bucket of about three digests sends the shard's n digests to the slots 0..n-1 without
    collision. A slot holds the full digest, the winner's locator and the size.
-4. `look_up` sends each document to the lots of its shard. A shard has as many lots as its rows need, so copies of a hot
-   text spread over many tasks, each with the shard's slots (bounded) beside a bounded number of rows. The document's
-   slot is computed, and its 32 digest bytes are compared with those in the slot: equal is a member of the history.
-5. Nonmembers, which any perfect hash sends to some slot too, fail that comparison and are grouped among themselves.
-
-Shards number at most MAX_SHARDS, so the table of lots that is broadcast has at most that many rows.
+4. `look_up` sends each document to a lot of its shard, by a row number that was written with its digest. A shard has as
+   many lots as its rows need, so copies of a hot text spread over many tasks whatever their ids, each with the shard's
+   slots (bounded) beside a bounded number of rows. The document's slot is computed, and its 32 digest bytes are compared
+   with those in the slot: equal is a member of the history.
+5. Nonmembers, which any perfect hash sends to some slot too, fail that comparison. They are grouped among themselves in
+   the same way, against the slots of their own digests.
+
+Shards number at most MAX_SHARDS, so the table of lots that is broadcast has at most that many rows (some 20 MB). Beyond
+MAX_SHARDS * SHARD_ROWS digests, half a billion, the slots of a shard grow in proportion to the digests: 200,000, some
+10 MB, at fifty billion.
 """
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import stash
+from millrace.llm.tables import numbered, stash, without
 
-MAX_SHARDS = 16384
+MAX_SHARDS = 1 << 18
 SHARD_ROWS = 2000  # digests a shard and rows a lot, while MAX_SHARDS allows it
 BUCKET = 3  # mean digests a bucket
 TRIES = 512  # pilots tried at once
@@ -31,15 +35,15 @@ _SLOTS = "shard int, n int, pilots binary, digests binary, winners binary, sizes
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id and digest (binary) of each row; a null text counts as empty."""
-    return docs.select("doc_id", _digest(F.col("text")).alias("digest"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(F.col("text")).alias("digest"))
 
 
 def _digest(text):
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
 
 
 def history(rows: DataFrame) -> DataFrame:
-    """One row per distinct digest: winner (largest doc_id; null if all are null) and size."""
+    """A row per distinct digest: winner (largest doc_id; null if all are null) and size."""
     return rows.groupBy("digest").agg(F.max("doc_id").alias("winner"), F.count(F.lit(1)).alias("size"))
 
 
@@ -100,10 +104,9 @@ def _build(rows: pa.Table) -> pa.Table:
     pilots, slots = pilots_of(words)
     held = np.empty_like(words)
     held[slots] = words
-    of = {}
-    for name in ("winner", "size"):
-        of[name] = np.empty(len(raw), np.int64)
-        of[name][slots] = rows[name].to_numpy()
+    of = {name: np.empty(len(raw), np.int64) for name in ("winner", "size")}
+    of["winner"][slots] = rows["winner"].fill_null(0).to_numpy()
+    of["size"][slots] = np.where(rows["winner"].is_null().to_numpy(), -1, 1) * rows["size"].to_numpy()  # below zero: no id in the group
     return pa.table({
         "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "n": pa.array([len(raw)], pa.int32()), "pilots": [pilots.astype("<i8").tobytes()],
         "digests": [held.tobytes()], "winners": [of["winner"].tobytes()], "sizes": [of["size"].tobytes()],
@@ -118,8 +121,7 @@ def _shard(shards: int):
 def build_slots(past: DataFrame, n: int) -> tuple[DataFrame, int]:
     """(a row of slots for each shard, number of shards) for a history of n rows."""
     shards = int(min(MAX_SHARDS, n // SHARD_ROWS + 1))
-    dealt = past.where(F.col("winner").isNotNull()).withColumn("shard", _shard(shards))
-    return dealt.groupBy("shard").applyInArrow(_build, _SLOTS), shards
+    return past.withColumn("shard", _shard(shards)).groupBy("shard").applyInArrow(_build, _SLOTS), shards
 
 
 def _find(rows: pa.Table, held: pa.Table) -> pa.Table:
@@ -131,19 +133,26 @@ def _find(rows: pa.Table, held: pa.Table) -> pa.Table:
         at = slot_of(words, np.frombuffer(one["pilots"], "<i8"), one["n"])
         member = (np.frombuffer(one["digests"], "<u8").reshape(-1, 4)[at] == words).all(axis=1)
         winner, size = np.frombuffer(one["winners"], "<i8")[at], np.frombuffer(one["sizes"], "<i8")[at]
-    return pa.table({"doc_id": rows["doc_id"], "digest": rows["digest"], "member": member, "winner": winner, "size": size})
+    winner, size = pa.array(winner, mask=size < 0), np.abs(size)
+    return pa.table({"row": rows["row"], "doc_id": rows["doc_id"], "digest": rows["digest"], "member": member, "winner": winner, "size": size})
 
 
 def look_up(rows: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
-    """doc_id, digest, member, winner and size of each row; the last two mean nothing where member is false."""
+    """doc_id, digest, member, winner and size of each of the numbered rows; the last two mean nothing where member is false."""
     dealt = rows.withColumn("shard", _shard(shards))
     per_lot = F.lit(SHARD_ROWS) if shards < MAX_SHARDS else F.greatest(F.lit(SHARD_ROWS), F.max("n_slots"))
     counted = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows")).join(slots.select("shard", F.col("n").alias("n_slots")), "shard", "left")
     lots = counted.groupBy("shard").agg(F.ceil(F.max("n_rows") / per_lot).cast("int").alias("lots"))  # at most MAX_SHARDS rows
     lots = F.broadcast(lots)
-    left = dealt.join(lots, "shard").withColumn("lot", F.pmod(F.xxhash64("doc_id"), F.col("lots")).cast("int")).drop("lots")
+    left = dealt.join(lots, "shard").withColumn("lot", F.pmod(F.xxhash64("row"), F.col("lots")).cast("int")).drop("lots")
     right = slots.join(lots, "shard").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
-    return left.groupBy("shard", "lot").cogroup(right.groupBy("shard", "lot")).applyInArrow(_find, "doc_id long, digest binary, member boolean, winner long, size long")
+    return left.groupBy("shard", "lot").cogroup(right.groupBy("shard", "lot")).applyInArrow(_find, "row long, doc_id long, digest binary, member boolean, winner long, size long")
+
+
+def _against(rows: DataFrame, past: DataFrame) -> DataFrame:
+    """Numbered rows looked up in a stashed history, stashed."""
+    slots, shards = build_slots(past, past.count())
+    return stash(look_up(rows, stash(slots, "slots"), shards), "lookups")
 
 
 def exact_dedup(docs: DataFrame, past: DataFrame | None = None) -> DataFrame:
@@ -153,27 +162,28 @@ def exact_dedup(docs: DataFrame, past: DataFrame | None = None) -> DataFrame:
     a member. Against an older history, the winner of a member's group is the older one, which isn't in docs, and
     group_size counts the older rows only.
 
-    Null texts equal empty ones. Rows that repeat a doc_id are copies that share one verdict: those of the winner are
-    all kept. A null doc_id never wins over another; a group of null ids only has a null keep_id and kept is true.
-    An empty table gives an empty result. Other columns of docs are not looked at.
+    Null texts equal empty ones; texts of any length have one digest, so a very long text costs its own reading only.
+    Ties: rows that repeat a doc_id are copies that share one verdict, and those of the winner are all kept. A null doc_id
+    never wins over another; a group of null ids only has a null keep_id and kept is true, unless it is an older one. An
+    empty table gives an empty result. Columns of docs other than doc_id and text, whatever their names, are not looked at.
     """
-    rows = stash(digests(docs), "digests")
-    old = stash(history(rows) if past is None else past, "history")
-    slots, shards = build_slots(old, old.count())
-    found = stash(look_up(rows, stash(slots, "slots"), shards), "lookups")
-    members = found.where("member").select("doc_id", "digest", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"))
-    others = found.where("not member").select("doc_id", "digest")
-    groups = history(others).select("digest", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"))
-    rest = others.join(groups, "digest").select("doc_id", "digest", "keep_id", "group_size")
-    return members.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    rows = stash(numbered(digests(docs)), "digests")
+    found = _against(rows, stash(history(rows) if past is None else past, "history"))
+    result = lambda df, kept: df.where("member").select("doc_id", "digest", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"))
+    own = F.col("doc_id").eqNullSafe(F.col("winner"))
+    if past is None:
+        return result(found, own)
+    others = found.where("not member").select("row", "doc_id", "digest")
+    among = _against(others, stash(history(others), "history"))  # with the same split of hot texts
+    return result(found, own & F.col("doc_id").isNotNull()).unionByName(result(among, own))
 
 
 def first_copies(docs: DataFrame) -> DataFrame:
     """Rows of docs, columns as they are, less each row that is an exact copy of the winner of its group.
 
-    The ids to drop are anti-joined with their digests, so that another text under the same doc_id stays: rows without a
-    doc_id stay, too, and the texts are shuffled only where Spark finds the ids too many to broadcast.
+    The losers' ids are anti-joined with their digests, so that another text under the same doc_id stays. Rows without a
+    doc_id stay. Nulls, empty and long texts, ties and repeated rows are as in `exact_dedup`: rows that repeat the
+    winner's doc_id and text all stay. An empty table gives an empty result; other columns are kept and not looked at.
     """
-    dropped = exact_dedup(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("id"), F.col("digest").alias("of"))
-    same = (docs["doc_id"] == dropped["id"]) & (_digest(docs["text"]) == dropped["of"])
-    return docs.join(dropped, same, "left_anti").select(*docs.columns)
+    losers = exact_dedup(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("id"), F.col("digest").alias("of")).distinct()
+    return without(docs, losers, lambda docs, losers: (docs["doc_id"] == losers["id"]) & (_digest(docs["text"]) == losers["of"]))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.piece_bpe import piece_bpe
-from millrace.llm.tables import small_batches, stash
+from millrace.llm.tables import slices, stash
 from millrace.llm.word_bpe import word_bpe
 
 MIN_WORDS = 50
@@ -121,7 +121,7 @@ def measure(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
 
     def run(batches):
         readers = [reader(path) for path in vocabularies.values()]
-        for batch in batches:
+        for batch in slices(batches):
             counts, keys, digests, found = [], [], [], []
             for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 text = text or ""
@@ -134,7 +134,6 @@ def measure(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
             columns = [batch.column(0), pa.array(keys, pa.string()), pa.array(digests, pa.binary()), *map(pa.array, longs), *map(pa.array, doubles)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "digest", *_COUNTS, *names])
 
-    small_batches(docs.sparkSession)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     schema = ", ".join(["doc_id long", "key string", "digest binary", *(f"{c} long" for c in _COUNTS), *(f"{n} double" for n in names)])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))

@@ -1,12 +1,13 @@
 """Language ID by multinomial naive Bayes over hashed character n-grams.
 
-Learning: a bounded sample of labelled rows is hashed on the executors into sparse counts (language, slot, count), which
-are summed in the JVM before at most SLOTS rows a language reach the driver. The model is a matrix of log-probabilities
-with LANGUAGES rows at most, so the broadcast has a fixed bound.
-
-Scoring: texts of a batch are laid end to end as code points, letters lower-cased and everything else a space. All
-n-grams of the batch are hashed by array operations, their log-probabilities gathered from the matrix, and summed by
-document. Whole texts are read, in pieces of bounded size.
+Learning: a bounded sample of labelled rows, whole texts, is hashed on the executors into sparse counts (language, slot,
+count), which are summed in the JVM before at most SLOTS rows a language reach the driver. The model is a matrix of
+log-probabilities, SLOTS by languages; MOST_LANGUAGES bounds the broadcast, and more labels than that are an error.
+
+Scoring: texts are laid end to end as code points, letters lower-cased and everything else a space, in blocks of bounded
+size; a text that is longer than a block goes on in the next one, with as many characters more as its last n-grams need.
+All n-grams of a block are hashed by array operations and counted into a sparse matrix (texts by slots, as rows of sorted
+slots with their counts), which is multiplied with the model's in parts of bounded size.
 """
 from functools import lru_cache
 
@@ -15,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import held_out, small_batches
+from millrace.llm.tables import held_out, slices
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3)
-SAMPLE_ROWS = 20_000  # labelled rows learned from, about
-SAMPLE_CHARS = 20_000  # characters of a text learned from; scoring reads whole texts
-LANGUAGES = 256  # most frequent labels learned
-PIECE = 1 << 20  # characters scored at once
+SAMPLE_ROWS = 20_000  # labelled rows learned from, about, shared by the languages
+MOST_LANGUAGES = 1024  # labels that a model may have: a broadcast of 256 MB
+BLOCK = 1 << 17  # code points hashed at once
+CELLS = 1 << 22  # of the product of the two matrices, computed at once
 STEADY = 60.0  # n-grams that count in full towards the score; longer texts are scored by their mean
 UNDETERMINED = "und"
 KEEP = 0.5  # least score of a document that `identified` keeps
@@ -39,49 +40,78 @@ def _folded() -> np.ndarray:
     return table
 
 
-def grams(text: str) -> np.ndarray:
-    """(position, order) slots of a text's n-grams; -1 where one has no letter or goes over the end."""
-    folded = _folded()[np.frombuffer(f" {text}  ".encode("utf-32-le"), "<u4")]
-    n, width = len(text) + 1, max(ORDERS)
-    out = np.empty((n, len(ORDERS)), np.int32)
+def blocks(texts: list[str | None], size: int = 0):
+    """Whole texts in blocks of at most `size` starts of n-grams, about: (rows, code points, starts) of each.
+
+    A block is the code points of its parts one after another; rows has the text's index for each part and starts the
+    number of its places where n-grams of that text start. A text starts at a space before it and ends before a space.
+    """
+    size, beyond = size or BLOCK, max(ORDERS) - 1
+    rows, parts, starts, held = [], [], [], 0
+    for i, text in enumerate(texts):
+        padded = f" {text or ''}"
+        for at in range(0, len(padded), size):
+            n = min(size, len(padded) - at)
+            rows.append(i)
+            parts.append(padded[at : at + n + beyond].ljust(n + beyond))
+            starts.append(n)
+            held += n
+            if held >= size or len(rows) >= SLOTS:
+                yield rows, "".join(parts), starts
+                rows, parts, starts, held = [], [], [], 0
+    if rows:
+        yield rows, "".join(parts), starts
+
+
+def hashed(points: str) -> np.ndarray:
+    """(order, place): the slots of the n-grams that start at each code point; -1 where one has no letter."""
+    beyond = max(ORDERS) - 1
+    folded = _folded()[np.frombuffer((points + " " * beyond).encode("utf-32-le", "surrogatepass"), "<u4")]
+    n = len(folded) - beyond
+    out = np.empty((len(ORDERS), n), np.int32)
     letters = folded != 32
     h, any_letter = np.zeros(n, np.uint32), np.zeros(n, bool)
-    for k in range(width):
-        part = folded[k : k + n]
+    for k in range(max(ORDERS)):
         with np.errstate(over="ignore"):
-            h = (h ^ part) * np.uint32(0x01000193) + np.uint32(0x9E3779B9)
-        any_letter = any_letter | letters[k : k + n]
-        if k + 1 in ORDERS:
-            with np.errstate(over="ignore"):
+            h = (h ^ folded[k : k + n]) * np.uint32(0x01000193) + np.uint32(0x9E3779B9)
+            any_letter = any_letter | letters[k : k + n]
+            if k + 1 in ORDERS:
                 mixed = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-            out[:, ORDERS.index(k + 1)] = np.where(any_letter, (mixed >> np.uint32(16)) & np.uint32(SLOTS - 1), -1)
+                out[ORDERS.index(k + 1)] = np.where(any_letter, (mixed >> np.uint32(16)) & np.uint32(SLOTS - 1), -1)
     return out
 
 
-def _texts(texts: list[str | None]):
-    """(index, part) with whole texts cut into parts of at most PIECE characters that share the ends of their n-grams."""
-    for i, text in enumerate(texts):
-        text = text or ""
-        for at in range(0, max(len(text), 1), PIECE):
-            yield i, text[at : at + PIECE]
+def sparse(rows: list[int], points: str, starts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, count) of a block, sorted by row and slot, each pair once. Rows number at most SLOTS."""
+    names, row = np.unique(np.array(rows, np.int64), return_inverse=True)
+    beyond, slots = max(ORDERS) - 1, hashed(points)
+    widths = np.array(starts, np.int64)
+    row_of = np.repeat(row.astype(np.uint32), widths + beyond)
+    ends = np.cumsum(widths + beyond)
+    real = np.ones(len(row_of), bool)
+    for k in range(1, beyond + 1):
+        real[ends - k] = False
+    row_of, slots = row_of[real], slots[:, real]
+    keys = np.concatenate([(row_of[s >= 0] << np.uint32(16)) | s[s >= 0].astype(np.uint32) for s in slots])
+    keys.sort()
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    keys, n = keys[first], np.diff(np.append(first, len(keys)))
+    return names[keys >> np.uint32(16)], (keys & np.uint32(SLOTS - 1)).astype(np.int64), n
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """lang, slot, n over docs (doc_id, text, lang): what naive Bayes learns from."""
+    """lang, slot, n over docs (text, lang), whole texts: what naive Bayes learns from."""
 
     def run(batches):
-        for batch in batches:
-            own: dict[str, np.ndarray] = {}
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                slots = grams(text).ravel()
-                into = own.setdefault(lang, np.zeros(SLOTS, np.int64))
-                into += np.bincount(slots[slots >= 0], minlength=SLOTS)
-            for lang, n in own.items():
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at])], names=["lang", "slot", "n"])
+        for batch in slices(batches):
+            langs = batch.column(1).to_pylist()
+            number = {lang: i for i, lang in enumerate(sorted(set(langs)))}
+            names = pa.array(sorted(number), pa.string())
+            for rows, points, starts in blocks(batch.column(0).to_pylist()):
+                of, slot, n = sparse([number[langs[i]] for i in rows], points, starts)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(of)), pa.array(slot.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "slot", "n"])
 
-    found = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang").mapInArrow(run, "lang string, slot int, n long")
-    return found.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    return docs.select("text", "lang").mapInArrow(run, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
 
 
 class Model:
@@ -90,14 +120,22 @@ class Model:
     def __init__(self, langs: list[str], logp: np.ndarray):
         self.langs, self.logp = langs, logp
 
+    def sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihoods by text and language, and the n-grams of each text."""
+        width = max(len(self.langs), 1)
+        sums, ns = np.zeros((len(texts), width)), np.zeros(len(texts))
+        for block in blocks(texts):
+            row, slot, n = sparse(*block)
+            ns += np.bincount(row, n, minlength=len(texts))
+            for at in range(0, len(row) if self.langs else 0, max(1, CELLS // width)):
+                part = slice(at, at + max(1, CELLS // width))
+                cells = self.logp[slot[part]] * n[part, None].astype(np.float32)
+                first = np.flatnonzero(np.concatenate(([True], np.diff(row[part]) > 0)))
+                sums[row[part][first]] += np.add.reduceat(cells, first, axis=0, dtype=np.float64)
+        return sums, ns
+
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        sums, ns = np.zeros((len(texts), max(len(self.langs), 1))), np.zeros(len(texts))
-        for i, part in _texts(texts):
-            slots = grams(part).ravel()
-            slots = slots[slots >= 0]
-            if self.langs:
-                sums[i] += np.take(self.logp, slots, axis=0).sum(axis=0, dtype=np.float64)
-            ns[i] += len(slots)
+        sums, ns = self.sums(texts)
         sums *= np.minimum(1.0, STEADY / np.maximum(ns, 1.0))[:, None]
         best = sums.argmax(axis=1)
         odds = np.exp(sums - sums.max(axis=1, keepdims=True))
@@ -107,38 +145,45 @@ class Model:
 
 
 def learn(docs: DataFrame) -> Model:
-    """Model from rows with a language that are not held out. Ties in frequency go to the smaller label."""
+    """Model from rows with a language that are not held out, SAMPLE_ROWS of them, about, each language with its share.
+
+    Rows are drawn by a hash of doc_id and text, whole: rows that repeat both are drawn together. A language whose texts
+    have no letter isn't learned. More than MOST_LANGUAGES labels raise a ValueError.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("lang is not null and lang <> 'und'").where(~F.coalesce(held_out(), F.lit(False)))
-    by_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    by_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
     langs = sorted(r.lang for r in by_lang)
+    if len(langs) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in lang")
     if not langs:
         return Model([], np.zeros((SLOTS, 0), np.float32))
     # each language has a share of the bound, so that rare ones are learned in full
     share = {r.lang: min(1.0, SAMPLE_ROWS / len(langs) / r.n) for r in by_lang}
-    part = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(share[lang]))))
-    drawn = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))) < part[F.col("lang")]
-    small_batches(docs.sparkSession)
-    n = np.zeros((SLOTS, len(langs)))
+    shares = docs.sparkSession.createDataFrame(list(share.items()), "of string, share double")
+    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = rows.where("text is not null").join(F.broadcast(shares), F.col("lang") == F.col("of")).where(chance < F.col("share"))
+    n = np.zeros((SLOTS, len(langs)), np.float32)
     number = {lang: i for i, lang in enumerate(langs)}
-    for r in counts(rows.where(F.col("lang").isin(langs)).where(drawn).where("text is not null")).toLocalIterator():
+    for r in counts(drawn).toLocalIterator():
         n[r.slot, number[r.lang]] = r.n
-    seen = n.sum(axis=0) > 0  # a language of texts without a letter teaches nothing
-    langs, n = [lang for lang, s in zip(langs, seen, strict=True) if s], n[:, seen]
-    return Model(langs, (np.log(n + 0.5) - np.log((n + 0.5).sum(axis=0))).astype(np.float32))
+    seen = n.any(axis=0)  # a language of texts without a letter teaches nothing
+    if not seen.all():
+        langs, n = [lang for lang, s in zip(langs, seen, strict=True) if s], n[:, seen]
+    n += 0.5
+    total = n.sum(axis=0, dtype=np.float64)
+    return Model(langs, np.subtract(np.log(n, out=n), np.log(total).astype(np.float32), out=n))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The columns `keep` of docs (doc_id by default) with the predicted language and score of each row, under `names`."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = keep or ["doc_id"]
     rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
     at, width = rows.columns.index("text"), len(keep)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = shared.value.score(batch.column(at).to_pylist())
             columns = [*batch.columns[:width], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], *names])
@@ -148,7 +193,11 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, names:
 
 
 def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """Rows of docs, columns as they are, whose language the model can tell: neither `und` nor of a score under KEEP."""
+    """Rows of docs, columns as they are, whose language the model can tell: neither `und` nor of a score under KEEP.
+
+    Nulls, empty and very long texts, ties and repeated rows are as in `language_id`, and every copy of a kept row stays.
+    Without anything to learn from all rows go. An empty table gives an empty result; other columns are kept.
+    """
     lang, score = "_millrace_lang", "_millrace_score"
     found = predict(docs, model or learn(docs), docs.columns, (lang, score))
     return found.where((F.col(lang) != UNDETERMINED) & (F.col(score) >= KEEP)).drop(lang, score)
@@ -159,8 +208,10 @@ def language_id(docs: DataFrame) -> DataFrame:
 
     A null text, and one without a letter, gets `und` and score 0; so does every text if nothing can be learned. The
     score is the share of the best language in the posterior, tempered to STEADY n-grams. Ties go to the smaller label.
+    A very long text is read as a whole, block after block, and its n-grams are those of one pass.
     Repeated rows give repeated results; a null doc_id is learned from and its held_out is false. An empty table gives
-    an empty result. Columns other than doc_id, text and lang are not looked at.
+    an empty result. Columns other than doc_id, text and lang, whatever
+    their names, are not looked at.
     """
     found = predict(docs.select("doc_id", "text"), learn(docs))
     return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -2,8 +2,8 @@
 
 1. `pieces`: each whole text becomes ids and an end id, cut into full windows and a remainder: a piece only ever is a
    cut one if its document is overlong. Rows carry positions and a checksum, not ids.
-2. Pieces are dealt to groups by a hash of document and start: an overlong document spreads over many groups, and no
-   source or document makes a hot one. A group has a bounded number of pieces, whatever the input's size.
+2. Pieces are dealt to groups by a hash of the row number they were written with: no source, document, repeated or null
+   doc_id makes a hot group. A group has a bounded number of pieces, whatever the input's size.
 3. In a group, pieces go in by falling length. A segment tree over remaining capacities finds the tightest open window
    that holds the piece; without one a new window opens.
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import small_batches, stash
+from millrace.llm.tables import numbered, slices, stash
 from millrace.llm.word_bpe import word_bpe
 
 WINDOW = 4096
@@ -32,7 +32,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
 
     def run(batches):
         bpe, end = word_bpe(tokenizer_path), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = bpe.encode(text) + end
@@ -44,7 +44,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
             kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * with_ids
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)]) if out else pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)])
 
-    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, _PIECES + ", ids array<long>" * with_ids)
 
@@ -101,25 +100,27 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> tuple[list[
 
 
 def pack(cut: DataFrame, n: int, window: int = WINDOW) -> DataFrame:
-    """`cut` (n pieces) with sequence_id and offset."""
+    """`cut` (n stashed pieces with their numbers, row) with sequence_id and offset in the place of row."""
     groups = max(1, ceil(n / GROUP_PIECES))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.drop("row").schema)
 
     def place(rows: pa.Table) -> pa.Table:
         group = rows["g"][0].as_py()
-        rows = rows.drop(["g"]).sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        rows = rows.drop(["g"]).sort_by([("length", "descending"), ("row", "ascending")]).drop(["row"])
         where, offset, _ = best_fit_decreasing(rows["length"].to_pylist(), window)
         return rows.append_column("sequence_id", pa.array(np.array(where, np.int64) + (group << 32))).append_column("offset", pa.array(offset, pa.int64()))
 
-    dealt = cut.withColumn("g", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    dealt = cut.withColumn("g", F.pmod(F.xxhash64("row"), F.lit(groups)))
     return dealt.groupBy("g").applyInArrow(place, f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A null or empty text is its end id alone. Rows that repeat a doc_id are packed once each, and a null doc_id is kept.
-    An empty table gives no piece. Other columns of docs are not looked at. A window's padding comes after its pieces.
+    A null or empty text is its end id alone; a very long one is cut into full windows and a rest, read as a whole. Rows
+    that repeat a doc_id are packed once each, and a null doc_id is kept. Ties: pieces of equal length go in the order of
+    their rows. An empty table gives no piece. Other columns of docs, whatever their names, are not looked at. A window's
+    padding comes after its pieces.
     """
-    cut = stash(pieces(docs, tokenizer_path, window, end_id, with_ids), "pieces")
+    cut = stash(numbered(pieces(docs, tokenizer_path, window, end_id, with_ids)), "pieces")
     return pack(cut, cut.count(), window)

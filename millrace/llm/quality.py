@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import held_out, small_batches
+from millrace.llm.tables import held_out, sample, slices
 
 LABELLED_ROWS = 6000  # of either class together, about
 POOL_ROWS = 4000  # unlabelled rows, about
@@ -78,13 +78,12 @@ def views(rows: DataFrame, *keep: str) -> DataFrame:
     """doc_id, text_view and meta_view (32-bit floats as bytes) of rows from _read, with the columns `keep`."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts, sources, langs = ([x for x in batch.column(c).to_pylist()] for c in ("text", "source", "lang"))
             a = [text_view(t or "").tobytes() for t in texts]
             b = [meta_view(s, lang, t or "").tobytes() for s, lang, t in zip(sources, langs, texts, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(a, pa.binary()), pa.array(b, pa.binary()), *(batch.column(k) for k in keep)], names=["doc_id", "text_view", "meta_view", *keep])
 
-    small_batches(rows.sparkSession)
     return rows.mapInArrow(run, ", ".join(["doc_id long, text_view binary, meta_view binary", *(f"{k} int" for k in keep)]))
 
 
@@ -180,13 +179,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, p_text, p_meta and score of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             a = np.array([text_view(t) for t in texts]).reshape(-1, TEXT_SIZE)
             b = np.array([meta_view(s, lang, t) for s, lang, t in zip(batch.column("source").to_pylist(), batch.column("lang").to_pylist(), texts, strict=True)]).reshape(-1, META_SIZE)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, model.score(a, b))], names=["doc_id", "p_text", "p_meta", "score"])
 
-    small_batches(docs.sparkSession)
     return _read(docs).mapInArrow(run, "doc_id long, p_text double, p_meta double, score double")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.forest import Forest, grow
 from millrace.llm.secret_findings import BENIGN_NAMES, PROSE, WORDS, Finding, labelled_findings
-from millrace.llm.tables import small_batches
+from millrace.llm.tables import slices
 
 THRESHOLD = 0.5
 AROUND = 48  # characters before and after a candidate
@@ -98,7 +98,6 @@ class Scanner:
 
 
 def _shared(docs: DataFrame, findings: list[Finding] | None):
-    small_batches(docs.sparkSession)
     return docs.sparkSession.sparkContext.broadcast(Scanner(findings or labelled_findings()))
 
 
@@ -116,7 +115,7 @@ def secret_scan(docs: DataFrame, findings: list[Finding] | None = None) -> DataF
     shared = _shared(docs, findings)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out = [
                 (d, a, b, hashlib.sha256(t[a:b].encode()).hexdigest(), s)
@@ -137,7 +136,7 @@ def redact(docs: DataFrame, findings: list[Finding] | None = None) -> DataFrame:
     schema, at = docs.schema, docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             new = []
             for text, spans in zip(texts, shared.value.scan([t or "" for t in texts], [p or "" for p in batch.column(batch.num_columns - 1).to_pylist()]), strict=True):

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.piece_bpe import piece_bpe
-from millrace.llm.tables import small_batches
+from millrace.llm.tables import slices
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
@@ -19,7 +18,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches):
         bpe = piece_bpe(model_path)
-        for batch in batches:
+        for batch in slices(batches):
             ids = pa.array([bpe.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
@@ -31,7 +30,7 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches):
         bpe = piece_bpe(model_path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = pa.array([bpe.decode(ids or ()) for ids in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], names=["doc_id", "text"])
 
@@ -53,7 +52,7 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
         def render(ids):  # a chunk's decoded text keeps its space: decode() drops that of the first chunk only
             return len(ids), ",".join(map(str, ids)), " " + bpe.decode(ids)
 
-        for batch in batches:
+        for batch in slices(batches):
             n, spelt, decoded = [], [], []
             for text in batch.column(1).to_pylist():
                 if text and bpe.single_spaced(text):

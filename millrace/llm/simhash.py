@@ -7,8 +7,11 @@
 3. `links`: with fingerprints cut into b blocks, two that differ in at most d < b bits agree on some b - d blocks
    entirely. Each choice of b - d blocks is a key; rows meet in the bucket of a key, and there every pair's distance is
    verified. b grows with the count so that a bucket's mean stays small; any b gives the same links.
-   Buckets are dealt to groups of bounded size. A bucket over CHUNK rows is cut into chunks, and each pair of chunks is
-   a lot of its own, so no task holds more than two chunks of a bucket, and no pair is left out.
+   Buckets are dealt to groups of bounded size. A bucket over CHUNK rows is split: its rows differ in the other bits
+   only, so these are cut into blocks of their own, enough that a bucket of a finer key has about CHUNK / 16 rows, and
+   rows meet there. The distance still leaves one choice of blocks alike, so no pair is lost, and a bucket of n rows gives
+   some multiple of n rows, not of its square. What is over CHUNK even then is cut into chunks, and each pair of chunks
+   is a lot of its own: no task holds more than two chunks, and no pair is left out.
    A lot gives a spanning forest of its links (at most one row a member), never all pairs.
 4. `components`: large-star and small-star rounds over those links, each cut into the shared folder.
 """
@@ -21,13 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import small_batches, stash
+from millrace.llm.tables import slices, stash, without
 
 SEED = 42
 BITS = 64
 CHUNK = 2048  # rows of one bucket in one lot, half
 GROUP_ROWS = 2048  # rows of all buckets in one group, about
 BUCKET_MEAN = 256  # mean rows a bucket before more blocks are used
+HOT = 1000  # a fingerprint of more than one in so many rows is joined by broadcast
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -54,27 +58,27 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
     """doc_id and fp (signed long with the fingerprint's bits) of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], "<u8").view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
 
-    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def block_keys(blocks: int, distance: int) -> list[int]:
-    """A mask of bits for each choice of blocks that a pair within the distance may share."""
-    cuts = [round(BITS * i / blocks) for i in range(blocks + 1)]
-    masks = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:], strict=False)]
+def block_keys(blocks: int, distance: int, within: int = (1 << BITS) - 1) -> list[int]:
+    """A mask of the bits of `within` for each choice of blocks of them that a pair within the distance may share."""
+    bits = [1 << b for b in range(BITS) if within >> b & 1]
+    cuts = [round(len(bits) * i / blocks) for i in range(blocks + 1)]
+    masks = [sum(bits[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
     return [sum(chosen) for chosen in combinations(masks, blocks - distance)]
 
 
-def blocks_for(n: int, distance: int) -> int:
-    """Fewest blocks whose shortest key leaves BUCKET_MEAN of n rows in a bucket, within sixteen blocks."""
-    for blocks in range(distance + 1, 16):
-        if n <= BUCKET_MEAN << (BITS // blocks * (blocks - distance)):
+def blocks_for(n: int, distance: int, bits: int = BITS, mean: int = BUCKET_MEAN, most: int = 16) -> int:
+    """Fewest blocks of the bits whose shortest key leaves `mean` of n rows in a bucket, within `most` blocks."""
+    for blocks in range(distance + 1, most):
+        if n <= mean << (bits // blocks * (blocks - distance)):
             return blocks
-    return 16
+    return most
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -121,29 +125,52 @@ def spanning(key: np.ndarray, fp: np.ndarray, rep: np.ndarray, distance: int) ->
     return rep[root[moved]], rep[moved]
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _finer(keys: list[int], distance: int):
+    """For a row of a bucket of n rows (t: its key's place in keys) the finer keys that it is sent to."""
+    widths = range(distance + 1, distance + 4)
+    wanted = F.lit(widths[-1])
+    for blocks in reversed(widths[:-1]):
+        least = min(BITS - k.bit_count() for k in keys) // blocks * (blocks - distance)
+        wanted = F.when(F.col("n") <= (CHUNK // 16) << least, F.lit(blocks)).otherwise(wanted)
+    masks = F.array(*(
+        F.array(*(F.array(*(F.lit(_signed(m)).cast("long") for m in block_keys(blocks, distance, ~k & ((1 << BITS) - 1)))) for blocks in widths))
+        for k in keys
+    ))
+    own = F.element_at(F.element_at(masks, F.col("t") + 1), wanted - distance)
+    return F.transform(own, lambda m, i: F.xxhash64("key", i, m.bitwiseAND(F.col("fp"))))
+
+
 def links(reps: DataFrame, n: int, distance: int = 4) -> DataFrame:
     """(low, high) ids of n distinct fingerprints (fp, rep), enough to join all those within the distance."""
     keys = block_keys(blocks_for(n, distance), distance)
     groups = max(1, ceil(n * len(keys) / GROUP_ROWS))
-    signed = [m - (1 << 64) if m >> 63 else m for m in keys]
-    tables = F.array(*(F.struct(F.lit(i).alias("t"), F.lit(m).cast("long").bitwiseAND(F.col("fp")).alias("bits")) for i, m in enumerate(signed)))
-    dealt = reps.select("fp", "rep", F.explode(tables).alias("k")).select("fp", "rep", F.xxhash64("k.t", "k.bits").alias("key"))
-    large = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK)
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), chunks - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
-    none = F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j")))
-    lots = dealt.join(large, "key", "left").select("fp", "rep", "key", F.explode(F.when(F.col("n").isNull(), none).otherwise(pairs)).alias("lot"))
-    # buckets that fit share a group; each lot of a large one has its own
-    group = F.when(F.col("lot.i") < 0, F.pmod(F.col("key"), F.lit(groups))).otherwise(F.xxhash64("key", "lot.i", "lot.j"))
+    tables = F.array(*(F.struct(F.lit(i).alias("t"), F.lit(_signed(m)).cast("long").bitwiseAND(F.col("fp")).alias("bits")) for i, m in enumerate(keys)))
+    dealt = reps.select("fp", "rep", F.explode(tables).alias("k")).select("fp", "rep", F.col("k.t").alias("t"), F.xxhash64("k.t", "k.bits").alias("key"))
+    over = lambda rows: rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK)
+    large = stash(over(dealt), "large-buckets")
+    small = dealt.join(large, "key", "left_anti").select("fp", "rep", "key", F.pmod(F.col("key"), F.lit(groups)).alias("g"), F.lit(True).alias("whole"))
 
     def verify(rows: pa.Table) -> pa.Table:
         own = [rows[c].to_numpy() for c in ("key", "fp", "rep")]
         low, high = spanning(own[0], own[1].view(np.uint64), own[2], distance)
         return pa.table({"low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
 
-    found = lots.select("fp", "rep", "key", group.alias("g"), (F.col("lot.i") < 0).alias("whole"))
-    return found.groupBy("whole", "g").applyInArrow(verify, "low long, high long").distinct()
+    rows = small
+    if held := large.agg(F.sum("n")).first()[0]:
+        split = dealt.join(large, "key").select("fp", "rep", F.explode(_finer(keys, distance)).alias("key"))
+        still = stash(over(split), "large-buckets")
+        groups = max(1, ceil(held * len(keys) / GROUP_ROWS))
+        finer = split.join(still, "key", "left_anti").select("fp", "rep", "key", (-1 - F.pmod(F.col("key"), F.lit(groups))).alias("g"), F.lit(True).alias("whole"))
+        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+        own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
+        pairs = F.transform(F.sequence(F.lit(0), chunks - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
+        lots = split.join(still, "key").select("fp", "rep", "key", F.explode(pairs).alias("lot"))
+        rows = small.unionByName(finer).unionByName(lots.select("fp", "rep", "key", F.xxhash64("key", "lot.i", "lot.j").alias("g"), F.lit(False).alias("whole")))
+    return rows.groupBy("whole", "g").applyInArrow(verify, "low long, high long").distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -175,21 +202,27 @@ def _mark(edges: DataFrame) -> tuple:
 def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id and kept for every row.
 
-    Null and wordless texts have fingerprint zero and link with one another. Rows that repeat a doc_id each have their
-    own fingerprint; their links meet in that id. Rows without a doc_id keep their fingerprint but link with nothing:
-    component_id is null and kept is true. kept is true for the smallest doc_id of a component. An empty table gives
-    an empty result. Other columns of docs are not looked at.
+    Null and wordless texts have fingerprint zero and link with one another. Very long texts are read as a whole, one at
+    a time. Ties: equal fingerprints are one before anything is joined. Rows that repeat a doc_id each have their own
+    fingerprint; their links meet in that id. Rows without a doc_id keep their fingerprint but link with nothing:
+    component_id is null and kept is true. kept is true for the smallest doc_id of a component. An empty table gives an
+    empty result. Columns of docs other than doc_id and text, whatever their names, are not looked at.
     """
     rows = stash(fingerprints(docs, width), "fingerprints")
     known = rows.where("doc_id is not null")
-    reps = stash(known.groupBy("fp").agg(F.min("doc_id").alias("rep")), "representatives")
-    n = reps.count()
+    reps = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "representatives")
+    own = reps.where("rep is not null").select("fp", "rep")
+    n, total = own.count(), reps.agg(F.sum("n")).first()[0] or 0
     # a doc_id under several fingerprints joins them
     twice = known.distinct().join(known.groupBy("doc_id").agg(F.count_distinct("fp").alias("fps")).where("fps > 1"), "doc_id")
-    same_id = twice.join(reps, "fp").select(F.least("doc_id", "rep").alias("low"), F.greatest("doc_id", "rep").alias("high"))
-    found = components(links(reps, n, distance).unionByName(same_id))
-    placed = reps.join(found, reps.rep == found.id, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.join(placed, "fp", "left").select(
+    same_id = twice.join(own, "fp").select(F.least("doc_id", "rep").alias("low"), F.greatest("doc_id", "rep").alias("high"))
+    found = components(links(own, n, distance).unionByName(same_id))
+    placed = stash(reps.join(found, reps.rep == found.id, "left").select(F.col("fp").alias("of"), "n", F.coalesce("component", "rep").alias("component_id")), "placed")
+    # at most HOT fingerprints have that share of the rows; these rows are joined where they are, and no other key is hot
+    hot = placed.where(F.col("n") * HOT >= total).drop("n")
+    beside = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), F.col("fp") == F.col("of"), "left").drop("of")
+    cool = beside.where("hot is null").drop("hot", "component_id").join(placed.drop("n"), F.col("fp") == F.col("of")).drop("of")
+    out = beside.where("hot").drop("hot").unionByName(cool).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -198,8 +231,8 @@ def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """Rows of docs, columns as they are, less each row that has a smaller doc_id in its component.
 
-    The ids to drop are anti-joined: rows without a doc_id stay, and the texts are shuffled only where Spark finds the
-    ids too many to broadcast.
+    Rows without a doc_id stay, and rows that repeat the smallest doc_id all stay. Nulls, empty and long texts and ties are
+    as in `near_dedup`. An empty table gives an empty result; other columns are kept and not looked at.
     """
-    dropped = near_dedup(docs, width, distance).where("not kept and doc_id is not null").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = near_dedup(docs, width, distance).where("not kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
+    return without(docs, dropped, lambda docs, dropped: docs["doc_id"] == dropped["id"])

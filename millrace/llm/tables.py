@@ -1,4 +1,4 @@
-"""Reading the driver's tables and cutting lineage in the folder that all executors share."""
+"""Reading the driver's tables, samples of labelled rows, and cutting lineage in the folder that all executors share."""
 import re
 import tempfile
 import uuid
@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HELD_OUT = 2  # documents whose crc32(doc_id as text) mod 4 is this take no part in learning
+SLICE_ROWS = 500  # rows whose texts are Python objects at a time
+BROADCAST_ROWS = 250_000  # rows of a few dozen bytes each that may be sent to every executor; beyond, Spark shuffles
+OVERDRAWN = 1.3  # times the bound of a sample that is drawn by id, before the bound is enforced by row
+
+_made: list[str] = []  # folders that stash() wrote and discard() has not deleted yet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,19 +34,79 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bounds what one Arrow batch of whole texts holds, so that a run of long texts fits a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)
+def stashed() -> list[str]:
+    """The folders that stash() wrote so far and that are still there, in order."""
+    return list(_made)
+
+
+def discard(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Deletes stashed tables (all by default). Results that still read one must be written or collected before."""
+    for path in stashed() if paths is None else paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if path in _made:
+            _made.remove(path)
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """`df` with a column `row` that differs by row, to deal rows by. Stash the result: the numbers are fixed by writing."""
+    return df.withColumn("row", F.monotonically_increasing_id())
+
+
+def slices(batches, rows: int = SLICE_ROWS):
+    """Arrow batches in slices of few rows. Spark bounds a batch's bytes; this bounds what is unpacked of it at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def without(docs: DataFrame, dropped: DataFrame, same) -> DataFrame:
+    """Rows of docs that no row of `dropped` matches; same(docs, dropped) is the condition.
+
+    `dropped` is stashed and counted: up to BROADCAST_ROWS rows go to every executor and the texts of docs stay where
+    they are; beyond that Spark chooses, which shuffles docs.
+    """
+    dropped = stash(dropped, "dropped")
+    few = dropped.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(dropped) if few else dropped, same(docs, dropped), "left_anti").select(*(docs[c] for c in docs.columns))
 
 
 def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 4 == HELD_OUT
 
 
+def sample(docs: DataFrame, labels: DataFrame, bounds: dict[int, int], longest: int | None = None) -> DataFrame:
+    """Rows of docs (doc_id, text and more) with their label, a bounded sample of each label.
+
+    `labels` has distinct doc_id and label. Of label x at most bounds[x] rows are taken, in the order of a hash, counting
+    rows that repeat a doc_id and text once, however often they or their id repeat. `longest` bounds the bytes of all
+    texts: in that order, rows that would go beyond are left out whole. No text is cut.
+    """
+    spark = docs.sparkSession
+    n = {r.label: r.n for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("label").isin(list(bounds))).collect()}
+    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    few = None
+    for label, bound in bounds.items():
+        some = labels.where(F.col("label") == label).where(chance < min(1.0, OVERDRAWN * bound / max(1, n.get(label, 0))))
+        few = some if few is None else few.unionByName(some)
+    coded = docs.where("doc_id is not null and text is not null").withColumn("code", F.xxhash64("text"))
+    drawn = coded.select("doc_id", "code", F.octet_length("text").alias("bytes")).join(F.broadcast(few), "doc_id")
+    drawn = drawn.groupBy("doc_id", "code", "label").agg(F.max("bytes").alias("bytes"))
+    order = [F.xxhash64("doc_id", "code"), F.col("doc_id"), F.col("code")]
+    rows, used = [], 0
+    for label, bound in bounds.items():
+        for r in drawn.where(F.col("label") == label).orderBy(*order).limit(bound).collect():
+            if longest is None or used + r.bytes <= longest:
+                rows.append((r.doc_id, r.code, r.label))
+                used += r.bytes
+    chosen = spark.createDataFrame(rows, "doc_id long, code long, label int")
+    return coded.join(F.broadcast(chosen), ["doc_id", "code"]).dropDuplicates(["doc_id", "code"]).drop("code")
+
+
 def tokenizer(name: str) -> str:
     """Place of a public tokenizer's file; operators take any other path."""
     import public_tokenizers

@@ -1,36 +1,42 @@
 """Toxicity by compression distance: two zstandard dictionaries, window lengths compared, calibrated thresholds.
 
-Learning, on a bounded sample of labelled rows:
-- The ordinary dictionary is the most frequent words of ordinary documents.
-- The toxic dictionary has that text at the same distances, and before it what marks toxic documents: starts of words
-  that stand after many different words there (so that copies of one document don't count as evidence) and are many
-  times as frequent there as in ordinary documents.
-As both share the ordinary text, an ordinary window compresses to the same length with either, and the difference of a
-window's two lengths says how much of it only the toxic dictionary knows.
+Learning, on a bounded sample of labelled rows, whole texts:
+- The ordinary dictionary is trained by zstandard on the windows of ordinary documents.
+- The toxic dictionary is trained by zstandard on words of toxic documents: on those that begin with what marks them.
+  A start of a word marks toxic documents if it stands after many different words there (so that copies of one document
+  don't count as evidence) and many times as often as in ordinary documents. Most words of a toxic document are ordinary,
+  and a dictionary of all of them says nothing of a window.
+- A window's two lengths are that with the ordinary dictionary and that with both, the toxic one before the ordinary one.
+  Their difference says how much of the window only the toxic dictionary knows, and is no more than that: with either
+  dictionary alone the lengths differ by how well each happens to know the ordinary words of a window, too.
 - A logistic model of a document's largest differences, their mean and the windows above fixed thresholds is fitted on
-  the sample, each third with dictionaries from the rest; its threshold is the one with the best F1, put at 0.3.
-  The width of windows, and whether the toxic dictionary has whole words beside their starts, are chosen by that F1.
+  the sample, each fold with dictionaries from the others; its threshold is the one with the best F1, put at 0.3. The
+  width of windows, the size of the ordinary dictionary and how the toxic one is trained are chosen by that F1.
+Dictionaries are trained, and the sample's features made, in tasks; the driver sees dictionaries and features only.
 
-Scoring: each whole text is cut into windows, each compressed twice. The model is a few KB.
+Scoring: each whole text is cut into windows, each compressed twice. The model is under 100 KB.
 """
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import held_out, small_batches
+from millrace.llm.tables import held_out, sample, slices, stash
 
-TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000  # labelled rows learned from, about
+TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000  # labelled rows learned from, at most
+SAMPLE_BYTES = 64 << 20  # of their texts, at most: a row that would go beyond is left out whole
 WINDOWS = (5, 8)  # words; the better is chosen with the thresholds
 LONGEST = 1024  # bytes of a window; longer ones are cut
-ORDINARY_BYTES, TOXIC_BYTES = 8_192, 4_096
+ORDINARY_BYTES = (8_192, 65_536)  # size of the ordinary dictionary, at most; the better is chosen
+TOXIC_BYTES = 8_192
+SEGMENTS, REPEAT = (24, 40), 6  # of the trainer: bytes that it takes at once (the better is chosen), and of what it counts
 STARTS = range(4, 10)  # bytes of a word's start, with the space before it
 LEAST_DOCS, LEAST_BEFORE, LEAST_SHARE = 2, 4, 0.006  # documents, different words before it, and share of both that a start needs
 RATIO = 15  # times as many different words before it, by the words of either class
-KEEPS = 0.7  # a longer start replaces a shorter one that has no more than 1 / this of its documents
 AT = (1, 2, 3, 5)  # differences in bytes above which windows are counted
 CUT = 0.3
 FOLDS = 3  # of the sample; each is calibrated on with dictionaries from the others
@@ -57,14 +63,14 @@ def _starts(word: bytes) -> list[bytes]:
     return [*(w[:k] for k in STARTS if len(w) >= k), w + b" "]
 
 
-def _supported(texts: list[str], least: dict[str, float]) -> tuple[dict, Counter]:
-    """Starts with enough different words before them and enough texts: the number of the former, and of texts.
+def _supported(texts: list[str], least: dict[str, float]) -> dict[bytes, int]:
+    """Starts with enough different words before them and enough texts: the number of the former.
 
     Support falls as a start grows, so each length looks only at starts whose shorter start has it; few are held at once.
     """
     same: dict[bytes, bytes] = {}
     words = [[same.setdefault(w, b" " + w) for w in _words(t)] for t in texts]
-    found, in_texts, alive = {}, Counter(), None
+    found, alive = {}, None
     for k in (*STARTS, None):
         before, docs = defaultdict(set), Counter()
         for own in words:
@@ -80,15 +86,14 @@ def _supported(texts: list[str], least: dict[str, float]) -> tuple[dict, Counter
                 last = w
             docs.update(seen)
         alive = {s: len(c) for s, c in before.items() if len(c) >= least["before"] and docs[s] >= least["docs"]}
-        in_texts.update({s: docs[s] for s in alive})
         found |= alive
-    return found, in_texts
+    return found
 
 
-def _marks(toxic: list[str], ordinary: list[str]) -> tuple[list[bytes], list[bytes]]:
-    """Starts of words that mark toxic texts, those after the most different words first, and whole words with them."""
+def _marks(toxic: list[str], ordinary: list[str]) -> set[bytes]:
+    """Starts of words that mark toxic texts."""
     share = LEAST_SHARE * len(toxic)
-    support, docs = _supported(toxic, {"before": max(LEAST_BEFORE, share), "docs": max(LEAST_DOCS, share)})
+    support = _supported(toxic, {"before": max(LEAST_BEFORE, share), "docs": max(LEAST_DOCS, share)})
     against = defaultdict(set)
     for text in ordinary:
         last = b""
@@ -98,41 +103,29 @@ def _marks(toxic: list[str], ordinary: list[str]) -> tuple[list[bytes], list[byt
                     against[s].add(last)
             last = w
     words = [max(1, sum(len(_words(t)) for t in texts)) for texts in (toxic, ordinary)]
-    chosen = {s for s, n in support.items() if n / words[0] >= RATIO * (len(against.get(s, ())) + 0.5) / words[1]}
-    best_of, forms = set(), Counter()
-    for w, n in Counter(w for text in toxic for w in _words(text)).items():
-        best = None
-        for s in _starts(w):
-            if s in chosen and (best is None or docs[s] >= KEEPS * docs[best]):
-                best = s
-        if best is not None:
-            best_of.add(best)
-            forms[b" " + w + b" "] += n
-    forms = [w for w, n in sorted(forms.items(), key=lambda x: (-x[1], x[0])) if n > 1]
-    return sorted(best_of, key=lambda s: (-support[s], s)), forms
-
-
-def _joined(parts: list[bytes], size: int) -> bytes:
-    """The first parts that fit, the first at the end, where matches are cheapest."""
-    out, used = [], 0
-    for p in parts:
-        if used + len(p) > size:
-            break
-        out.append(p)
-        used += len(p)
-    return b"".join(reversed(out))
+    return {s for s, n in support.items() if n / words[0] >= RATIO * (len(against.get(s, ())) + 0.5) / words[1]}
+
+
+def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """A dictionary that zstandard trains on the samples; it refuses very few, so they are repeated. Empty if it gives none."""
+    for _ in range(8 if samples else 0):
+        try:
+            return zstandard.train_dictionary(size, samples, k=segment, d=REPEAT).as_bytes()
+        except zstandard.ZstdError:
+            samples = samples * 3
+    return b""
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> list[tuple[bytes, bytes]]:
-    """(toxic, ordinary) dictionary contents: the toxic one with starts of words alone, and with whole words too."""
-    common = Counter(w for text in ordinary for w in _words(text))
-    shared = _joined([w + b" " for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))], ORDINARY_BYTES)
-    starts, forms = _marks(toxic, ordinary)
-    return [(_joined(marks, TOXIC_BYTES) + b" " + shared + TAIL, b" " + shared + TAIL) for marks in (starts, starts + forms)]
+def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[list[bytes], list[bytes]]:
+    """The toxic dictionary for each of SEGMENTS, and the ordinary one for each of ORDINARY_BYTES."""
+    marks = _marks(toxic, ordinary)
+    telling = [b" " + w + b" " for text in toxic for w in _words(text) if any(s in marks for s in _starts(w))]
+    plain = [w.removesuffix(TAIL) for text in ordinary for w in windows(text, max(WINDOWS))]
+    return [_trained(telling, TOXIC_BYTES, segment) for segment in SEGMENTS], [_trained(plain, size, SEGMENTS[-1]) for size in ORDINARY_BYTES]
 
 
 class Distance:
-    """Differences of compressed lengths: ordinary dictionary less toxic dictionary."""
+    """Differences of compressed lengths: with the ordinary dictionary, less with the toxic one before it."""
 
     def __init__(self, toxic: bytes, ordinary: bytes, window: int):
         self.window = window
@@ -142,7 +135,7 @@ class Distance:
         )
         raw = zstandard.DICT_TYPE_RAWCONTENT
         self.toxic, self.ordinary = (
-            zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=raw), compression_params=how).compress for d in (toxic, ordinary)
+            zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d + TAIL, dict_type=raw), compression_params=how).compress for d in (toxic + ordinary, ordinary)
         )
 
     def features(self, text: str | None) -> list[float]:
@@ -185,63 +178,76 @@ def _logit(p: float) -> float:
 
 
 class Model:
-    """Dictionaries, weights, and the shift that puts the best threshold at CUT. None without both classes to learn from."""
-
-    def __init__(self, toxic: list[str], ordinary: list[str]):
-        self.parts = None
-        if len(toxic) < FOLDS or len(ordinary) < FOLDS:
-            return
-        fold = lambda texts, k, own: [t for i, t in enumerate(texts) if (i % FOLDS == k) == own]
-        found: dict[tuple[int, int], list] = defaultdict(list)
-        y: list[float] = []
-        for k in range(FOLDS):
-            left_out = fold(toxic, k, True) + fold(ordinary, k, True)
-            y += [1.0] * len(fold(toxic, k, True)) + [0.0] * len(fold(ordinary, k, True))
-            for kind, dictionaries in enumerate(train_dictionaries(fold(toxic, k, False), fold(ordinary, k, False))):
-                for window in WINDOWS:
-                    d = Distance(*dictionaries, window)
-                    found[kind, window] += [d.features(t) for t in left_out]
-        best = None
-        for (kind, window), x in sorted(found.items()):
-            w, cut, f1 = _calibrated(np.array(x), np.array(y))
-            if best is None or f1 > best[0]:
-                best = (f1, kind, window, w, cut)
-        _, kind, window, w, cut = best
-        self.parts = (*train_dictionaries(toxic, ordinary)[kind], window, w, cut)
+    """Dictionaries, the width of windows, weights, and the shift that puts the best threshold at CUT."""
+
+    def __init__(self, toxic: bytes, ordinary: bytes, window: int, weights: np.ndarray, cut: float):
+        self.parts = (toxic, ordinary, window, weights, cut)
 
     def scorer(self):
-        if self.parts is None:
-            return lambda text: 0.0
         toxic, ordinary, window, w, cut = self.parts
         distance, shift = Distance(toxic, ordinary, window), _logit(CUT) - cut
         return lambda text: float(1 / (1 + np.exp(-np.clip(np.dot(distance.features(text), w[:-1]) + w[-1] + shift, -30, 30))))
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from a sample of labelled rows, whole texts, that are not held out; a document labelled both ways counts as toxic."""
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    marked = marked.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = {r.toxic: r.n for r in marked.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not (n.get(0) and n.get(1)):
-        return Model([], [])
-    share = F.when(F.col("toxic") > 0, F.lit(min(1.0, TOXIC_ROWS / n[1]))).otherwise(F.lit(min(1.0, ORDINARY_ROWS / n[0])))
-    drawn = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic").where("text is not null").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text))
-    return Model([r.text for r in rows if r.toxic > 0], [r.text for r in rows if r.toxic <= 0])
+def _train(rows: pa.Table) -> pa.Table:
+    """The dictionaries of one job."""
+    texts = {x: sorted(rows.filter(pa.compute.equal(rows["label"], x))["text"].to_pylist()) for x in (0, 1)}
+    toxic, ordinary = train_dictionaries(texts[1], texts[0])
+    job = rows["job"][0].as_py()
+    return pa.table({"job": pa.array([job], pa.int32()), "toxic": pa.array([toxic], pa.list_(pa.binary())), "ordinary": pa.array([ordinary], pa.list_(pa.binary()))})
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every row."""
+def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """Model from a sample of labelled rows that are not held out, or None if either class has under FOLDS rows.
+
+    A document labelled both ways counts as toxic. The sample's bounds are TOXIC_ROWS, ORDINARY_ROWS and SAMPLE_BYTES.
+    """
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).cast("int").alias("label"))
+    marked = marked.where("doc_id is not null and label is not null").where(~held_out()).groupBy("doc_id").agg(F.max("label").alias("label"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    drawn = sample(texts, marked, {1: TOXIC_ROWS, 0: ORDINARY_ROWS}, SAMPLE_BYTES)
+    rows = stash(drawn.withColumn("fold", F.pmod(F.xxhash64("text", "doc_id"), F.lit(FOLDS)).cast("int")).repartition(16), "toxicity-sample")
+    n = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if min(n.get(0, 0), n.get(1, 0)) < FOLDS:
+        return None
+    # job k leaves out fold k; job FOLDS leaves out none
+    jobs = F.explode(F.filter(F.array(*map(F.lit, range(FOLDS + 1))), lambda k: k != F.col("fold")))
+    found = rows.select("text", "label", jobs.alias("job")).groupBy("job").applyInArrow(_train, "job int, toxic array<binary>, ordinary array<binary>").collect()
+    dictionaries = {(r.job, i, j): (bytes(toxic), bytes(ordinary)) for r in found for i, toxic in enumerate(r.toxic) for j, ordinary in enumerate(r.ordinary)}
+    kinds = [(i, j, window) for i in range(len(SEGMENTS)) for j in range(len(ORDINARY_BYTES)) for window in WINDOWS]
+
+    def run(batches):
+        distances = {}
+        for batch in slices(batches):
+            out = []
+            for text, label, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "fold")), strict=True):
+                for kind, (i, j, window) in enumerate(kinds):
+                    if (fold, i, j) in dictionaries:
+                        if (d := distances.get((fold, kind))) is None:
+                            d = distances[fold, kind] = Distance(*dictionaries[fold, i, j], window)
+                        out.append((kind, label, d.features(text)))
+            columns = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.list_(pa.float64())), strict=True)], names=["kind", "label", "x"])
+
+    features = rows.mapInArrow(run, "kind int, label int, x array<double>").collect()
+    best = None
+    for kind, (i, j, window) in enumerate(kinds):
+        own = sorted((r.x, r.label) for r in features if r.kind == kind)
+        w, cut, f1 = _calibrated(np.array([x for x, _ in own]), np.array([y for _, y in own], np.float64))
+        if best is None or f1 > best[0]:
+            best = (f1, Model(*dictionaries[FOLDS, i, j], window, w, cut))
+    return best[1]
+
+
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id and score of every row; 0 without a model."""
 
     def run(batches):
-        one = model.scorer()
-        for batch in batches:
+        one = model.scorer() if model else lambda text: 0.0
+        for batch in slices(batches):
             scores = pa.array([one(t) for t in batch.column(1).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["doc_id", "score"])
 
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double")
 
@@ -249,9 +255,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of docs.
 
-    Null, empty and wordless texts have no window; they get the score of one without differences. If the labels lack
-    either class every score is 0. Repeated rows give repeated results, and a null doc_id is never held out. An empty
-    table gives an empty result. Columns other than doc_id and text are not looked at.
+    Null, empty and wordless texts have no window; they get the score of one without differences. Very long texts are
+    scored as a whole, window after window. If the labels lack either class every score is 0. Ties: equal texts have equal
+    scores, and repeated rows give repeated results; a null doc_id is never held out. An empty table gives an empty
+    result. Columns of docs other than doc_id and text, whatever their names, are not looked at.
     """
     found = score(docs, learn(docs, labels))
     return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -1,6 +1,10 @@
 import random
+import resource
+import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from support import ROWS, documents, empty
 
 from millrace.llm import language_id as lid
@@ -41,17 +45,78 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in lid.language_id(documents(spark, [(1, "words", None, None, None)])).collect()} == {"und"}
 
 
-def test_parts_of_a_long_text_add_up(monkeypatch):
-    model = lid.Model(["a", "b"], np.random.default_rng(0).normal(size=(lid.SLOTS, 2)).astype(np.float32))
-    monkeypatch.setattr(lid, "PIECE", 100)
-    assert model.score(["abc " * 1000])[0] in (["a"], ["b"])
+def plain_grams(text):
+    """Slots by the definition, n-gram by n-gram, one text at a time."""
+    fold = lambda c: (c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " "
+    padded = [fold(c) for c in f" {text}  "]
+    out = Counter()
+    for start in range(len(text) + 1):
+        h = 0
+        for k in range(3):
+            h = ((h ^ ord(padded[start + k])) * 0x01000193 + 0x9E3779B9) % 2**32
+            if any(c != " " for c in padded[start : start + k + 1]):
+                out[((h ^ h >> 15) * 0x2C1B3C6D % 2**32) >> 16 & lid.SLOTS - 1] += 1
+    return out
+
+
+ODD = ["", None, "a", "  ", "Ünïcödé 日本語 😀 x", "aB1", "12 !?", "der Fluß\tund\nİstanbul", "abc " * 300, "x"]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100, 1 << 17])
+def test_blocks_of_any_size_count_each_ngram_once(size):
+    found = [Counter() for _ in ODD]
+    for block in lid.blocks(ODD, size):
+        for row, slot, n in zip(*(c.tolist() for c in lid.sparse(*block)), strict=True):
+            found[row][slot] += n
+    assert found == [plain_grams(t) if t else Counter() for t in ODD]
+
+
+@pytest.mark.parametrize("cells", [1, 5, 1 << 22])
+def test_scores_against_plain_naive_bayes(monkeypatch, cells):
+    monkeypatch.setattr(lid, "CELLS", cells)
+    monkeypatch.setattr(lid, "BLOCK", 64)
+    rng = np.random.default_rng(0)
+    model = lid.Model(["a", "b", "c"], rng.normal(size=(lid.SLOTS, 3)).astype(np.float32))
+    sums, ns = model.sums(ODD)
+    for t, s, n in zip(ODD, sums, ns, strict=True):
+        grams = plain_grams(t or "") if t else Counter()
+        assert n == sum(grams.values()) and np.allclose(s, sum((k * model.logp[g].astype(float) for g, k in grams.items()), np.zeros(3)), atol=1e-3)
     assert model.score([]) == ([], [])
 
 
-def test_grams_by_hand():
-    found = lid.grams("aB1")
-    assert found.shape == (4, len(lid.ORDERS)) and (found[0, 0] == -1) and (found[3, 0] == -1)
-    assert (lid.grams("AB!") == lid.grams("ab?")).all()
+def test_learned_model_against_plain_counts(spark):
+    rows = corpus(60)
+    model, wanted = lid.learn(documents(spark, rows)), {}
+    for doc, text, lang, *_ in rows:
+        if zlib.crc32(str(doc).encode()) % 4 != 2:
+            wanted.setdefault(lang, Counter()).update(plain_grams(text))
+    assert model.langs == sorted(wanted)
+    for i, lang in enumerate(model.langs):
+        n = np.full(lid.SLOTS, 0.5)
+        for slot, k in wanted[lang].items():
+            n[slot] += k
+        assert np.allclose(model.logp[:, i], np.log(n / n.sum()), atol=1e-4)
+
+
+def test_many_languages_in_bounded_memory():
+    logp = np.zeros((lid.SLOTS, 1000), np.float32)
+    logp[:, 7] = 1
+    text = "".join(chr(97 + i * i % 26) + " " * (i % 5 == 0) for i in range(2_000_000))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert lid.Model([f"l{i:03}" for i in range(1000)], logp).score([text])[0] == ["l007"]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 700_000  # kB, with the matrix of 262 MB
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(lid, "MOST_LANGUAGES", 3)
+    with pytest.raises(ValueError):
+        lid.learn(documents(spark, corpus(40)))
+
+
+def test_learns_from_whole_texts(spark):
+    late = documents(spark, [(i, "a " * 30_000 + ("zork " if i % 2 else "blim ") * 50, "xx" if i % 2 else "yy", None, None) for i in range(20)])
+    model = lid.learn(late)
+    assert model.score(["zork", "blim"])[0] == ["xx", "yy"]
 
 
 def test_filter_keeps_columns(spark):

@@ -1,11 +1,14 @@
 """Toxicity and quality: held-out accuracy on made documents, and odd rows."""
+import math
 import random
 import zlib
 
 import numpy as np
+import zstandard
 from support import ROWS, documents, empty
 
 from millrace.llm import quality as q
+from millrace.llm import tables
 from millrace.llm import toxicity as t
 
 SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve".split()
@@ -92,9 +95,65 @@ def test_co_training_gives_the_other_view_labels():
         assert np.mean((q._odds(views[v], w[v]) > 0) == y) > 0.9
 
 
-def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
-    monkeypatch.setattr(t, "Model", lambda toxic, ordinary: (toxic, ordinary))
+def test_toxicity_learns_from_whole_texts(spark):
     texts = {i: "plain words " * 2500 + f"the mark {i}" for i in range(40)}
     rows = [(i, x, "en", None, None) for i, x in texts.items()]
-    toxic, ordinary = t.learn(documents(spark, rows), labels_of(spark, [(i, 1, i % 2) for i in texts]))
-    assert toxic and ordinary and set(toxic + ordinary) <= set(texts.values())
+    marked = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, label int")
+    found = tables.sample(documents(spark, rows).select("doc_id", "text"), marked, {0: 100, 1: 100}).collect()
+    assert {(r.doc_id, r.text, r.label) for r in found} == {(i, x, i % 2) for i, x in texts.items()}
+
+
+def test_samples_are_bounded_by_row(spark):
+    """One labelled id 6,000 times, with the same text and with others, fills no more than its share."""
+    rows = [(7, "the same again", None, None, None)] * 3000 + [(7, f"other text {i}", None, None, None) for i in range(3000)] + [(100 + i, f"text {i}", None, None, None) for i in range(300)]
+    marked = spark.createDataFrame([(7, 1)] + [(100 + i, i % 2) for i in range(300)], "doc_id long, label int")
+    found = tables.sample(documents(spark, rows, clashing=False).select("doc_id", "text"), marked, {1: 500, 0: 100}).collect()
+    assert sum(r.label == 1 for r in found) == 500 and 60 <= sum(r.label == 0 for r in found) <= 100
+    assert len({(r.doc_id, r.text) for r in found}) == len(found)
+    few = tables.sample(documents(spark, rows, clashing=False).select("doc_id", "text"), marked, {1: 500, 0: 100}, longest=1000).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 1000
+
+
+def plain_score(model, text):
+    """Window by window with compressors of its own, as the definition has it."""
+    toxic, ordinary, width, w, cut = model.parts
+    words, lengths = text.lower().encode().split(), []
+    for i in range(0, len(words), width):
+        whole = b" " + b" ".join(words[i : i + width]) + b" "
+        for part in [whole] if len(whole) <= t.LONGEST else [whole[j : j + t.LONGEST] for j in range(0, len(whole), t.LONGEST)]:
+            sizes = []
+            for content in (ordinary, toxic + ordinary):
+                how = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+                dictionary = zstandard.ZstdCompressionDict(content + t.TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                sizes.append(len(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=how).compress(part + t.TAIL)))
+            lengths.append(sizes[0] - sizes[1])
+    x = [0.0] * (len(w) - 1)
+    if lengths:
+        top, above = sorted(lengths, reverse=True), [sum(d >= a for d in lengths) for a in t.AT]
+        x = [top[0], sum(top[:3]) / len(top[:3]), sum(max(d, 0) for d in lengths) / len(lengths), math.log(len(lengths))]
+        x += [math.log1p(n) for n in above] + [20 * n / (len(lengths) + 5) for n in above]
+    odds = sum(a * b for a, b in zip(x, w, strict=False)) + w[-1] + math.log(t.CUT / (1 - t.CUT)) - cut
+    return 1 / (1 + math.exp(-max(-30, min(30, odds))))
+
+
+def test_toxicity_against_plain_scores(spark):
+    docs, labels = corpus(300)
+    docs += [(d if d is None else d + 5000, *r) for d, *r in ROWS]
+    frame, known = documents(spark, docs), labels_of(spark, labels)
+    model = t.learn(frame, known)
+    assert all(len(d) <= size for d, size in zip(model.parts[:2], (t.TOXIC_BYTES, max(t.ORDINARY_BYTES)), strict=True)) and len(model.parts[0]) > 100
+    found = sorted(((str(r.doc_id), round(r.score, 6)) for r in t.score(frame, model).collect()))
+    assert found == sorted((str(d), round(plain_score(model, x or ""), 6)) for d, x, *_ in docs)
+
+
+def test_toxicity_does_not_learn_held_out_labels(spark):
+    docs, labels = corpus(200)
+    other = [(d, q_, 1 - x if held(d) else x) for d, q_, x in labels]
+    scores = [sorted((r.doc_id, r.score) for r in t.toxicity(documents(spark, docs), labels_of(spark, x)).collect()) for x in (labels, other)]
+    assert scores[0] == scores[1]
+
+
+def test_dictionaries_of_very_few_texts():
+    toxic, ordinary = t.train_dictionaries(["you idiot here"] * 2, ["plain words"])
+    assert len(toxic) == len(t.SEGMENTS) and len(ordinary) == len(t.ORDINARY_BYTES)
+    assert t.train_dictionaries([], []) == ([b""] * len(t.SEGMENTS), [b""] * len(t.ORDINARY_BYTES))
