@@ -3,10 +3,10 @@
 Views:
 - text: byte shares, transitions between kinds of characters, and repetition of words and lines, of the whole text;
 - metadata: source, language, length and layout (lines, their lengths), nothing of what the text says.
-Each view has a logistic model. In each round a model labels those rows of an unlabelled pool that it is surest of, as
-many of either class as the labelled rows' proportion asks for, and these join the other model's rows. At last each
-model is calibrated on labelled rows that neither learned from, and a logistic model of the two calibrated log-odds
-combines them.
+Each view has a logistic model. In each round a model, calibrated on labelled rows that neither learns from, labels those
+rows of an unlabelled pool that it is surest of, as many of either class as the labelled rows' proportion asks for. These
+join the other model's rows if its loss on the calibration rows doesn't grow by them. At last each model is calibrated
+on those rows, and a logistic model of the two calibrated log-odds combines them.
 
 Fitting takes a bounded sample of labelled rows and a bounded pool; both bounds are parameters. Features of sampled rows
 are made on the executors. Scoring covers all rows and whole texts in one pass, without a shuffle.
@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import held_out, sample, slices
+from millrace.llm.tables import held_out, sample, slices, unlabelled
 
-LABELLED_ROWS = 6000  # of either class together, about
-POOL_ROWS = 4000  # unlabelled rows, about
+LABELLED_ROWS = 6000  # of either class together, at most
+POOL_ROWS = 4000  # unlabelled rows, at most
 ROUNDS = 4
-SURE = 0.9  # least probability of a pseudo-label
-EACH_ROUND = 0.1  # of the labelled rows, as pseudo-labels a view gives a round
+UNSURE = 0.1  # greatest calibrated chance that a pseudo-label is wrong
+EACH_ROUND = 0.1  # of the pool, at most, gets pseudo-labels from a view in a round
 KEEP = 0.5
 SOURCES, LANGS = 64, 16  # slots for hashed names
 
@@ -108,27 +108,51 @@ def _share(odds):
     return 1 / (1 + np.exp(-odds))
 
 
-def co_train(x: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the two views' models after ROUNDS exchanges of pseudo-labels."""
-    own = [(v, y) for v in x]
-    free = np.ones(len(pool[0]), bool)
-    want = {1: max(1, round(EACH_ROUND * y.sum())), 0: max(1, round(EACH_ROUND * (len(y) - y.sum())))}
+def _calibrated(x: np.ndarray, w: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """A view's log-odds, put right by its slope and shift."""
+    return _odds(_odds(x, w)[:, None], slope)
+
+
+def _loss(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Mean log-loss of a view's model on calibration rows, once calibrated there."""
+    odds = _calibrated(x, w, _fit(_odds(x, w)[:, None], y))
+    return float(np.logaddexp(0, np.where(y > 0, -odds, odds)).mean())
+
+
+def co_train(x, y: np.ndarray, pool, rest, rest_y: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+    """Weights of the two views' models after ROUNDS exchanges of pseudo-labels, and the labels each view took over.
+
+    x, pool and rest hold both views' rows. In a round each view's model is calibrated on `rest`, and offers the other
+    view the labels of up to EACH_ROUND of the pool, as many of either class as the labelled rows' proportion asks for,
+    surest first. It is sure where its calibrated chance of error is at most UNSURE, and at most a fifth of that of always
+    saying this label: a view that can't tell good from bad offers none. The other view takes them over if its loss on
+    `rest` doesn't grow by them; else they stay in the pool.
+    """
+    own, taken = [(v, y) for v in x], [0, 0]
+    w = [_fit(*rows) for rows in own]
+    loss = [_loss(rest[view], rest_y, w[view]) for view in (0, 1)]
+    free, good = np.ones(len(pool[0]), bool), float(y.mean())
+    want = {1: round(EACH_ROUND * len(free) * good), 0: round(EACH_ROUND * len(free) * (1 - good))}
+    error = {1: min(UNSURE, (1 - good) / 5), 0: min(UNSURE, good / 5)}
     for _ in range(ROUNDS):
-        w = [_fit(*rows) for rows in own]
-        given = []
+        offers = []
         for view in (0, 1):
-            p, chosen = _share(_odds(pool[view], w[view])), []
+            p, chosen = _share(_calibrated(pool[view], w[view], _fit(_odds(rest[view], w[view])[:, None], rest_y))), []
             for label, n in want.items():
-                sure = p if label else 1 - p
-                best = np.argsort(-np.where(free, sure, -1), kind="stable")[:n]
-                chosen += [(i, label) for i in best if free[i] and sure[i] >= SURE]
-            given.append(chosen)
-        for view, chosen in ((1, given[0]), (0, given[1])):
+                wrong = np.where(free, 1 - p if label else p, 2.0)
+                chosen += [(i, label) for i in np.argsort(wrong, kind="stable")[:n] if wrong[i] <= error[label]]
+            offers.append(chosen)
+        for view, chosen in ((1, offers[0]), (0, offers[1])):
+            chosen = [(i, label) for i, label in chosen if free[i]]
             if chosen:
                 at, labels = (np.array(c) for c in zip(*chosen, strict=True))
-                own[view] = (np.vstack([own[view][0], pool[view][at]]), np.append(own[view][1], labels))
-                free[at] = False
-    return tuple(_fit(*rows) for rows in own)
+                more = np.vstack([own[view][0], pool[view][at]]), np.append(own[view][1], labels)
+                after = _fit(*more)
+                if (now := _loss(rest[view], rest_y, after)) <= loss[view]:
+                    own[view], w[view], loss[view] = more, after, now
+                    taken[view] += len(at)
+                    free[at] = False
+    return w, taken
 
 
 class Model:
@@ -139,9 +163,9 @@ class Model:
         fit, rest = ~calibrate, calibrate
         if len(set(y[fit])) < 2 or len(set(y[rest])) < 2:
             return
-        w = co_train((x[0][fit], x[1][fit]), y[fit], pool)
+        w, _ = co_train((x[0][fit], x[1][fit]), y[fit], pool, (x[0][rest], x[1][rest]), y[rest])
         slopes = [_fit(_odds(x[v][rest], w[v])[:, None], y[rest]) for v in (0, 1)]
-        both = np.column_stack([_odds(_odds(x[v][rest], w[v])[:, None], slopes[v]) for v in (0, 1)])
+        both = np.column_stack([_calibrated(x[v][rest], w[v], slopes[v]) for v in (0, 1)])
         self.parts = (w, slopes, _fit(both, y[rest]))
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,29 +173,27 @@ class Model:
         if self.parts is None:
             return (np.full(len(text), 0.5),) * 3
         w, slopes, combined = self.parts
-        odds = [_odds(_odds(v, w[i])[:, None], slopes[i]) for i, v in enumerate((text, meta))]
+        odds = [_calibrated(v, w[i], slopes[i]) for i, v in enumerate((text, meta))]
         return _share(odds[0]), _share(odds[1]), _share(_odds(np.column_stack(odds), combined))
 
 
-def _drawn(share):
-    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share
-
-
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from labelled rows that are not held out; a document labelled both ways counts as of low quality."""
-    rows = _read(docs).where("doc_id is not null and text is not null")
+    """Model from labelled rows that are not held out; a document labelled both ways counts as of low quality.
+
+    At most LABELLED_ROWS labelled rows are taken, in the labels' proportion, and POOL_ROWS unlabelled ones.
+    """
+    rows = _read(docs)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null")
-    known = known.groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("quality"))
-    n = {r.quality: r.n for r in known.where(~held_out()).groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = min(1.0, LABELLED_ROWS / max(1, sum(n.values())))
-    few = known.where(~held_out()).where(_drawn(F.lit(share)))
-    labelled = views(rows.join(F.broadcast(few), "doc_id"), "quality").collect()
-    some = rows.where(_drawn(F.lit(min(1.0, POOL_ROWS / max(1, docs.count())))))
-    pool = views(some.join(known, "doc_id", "left_anti")).collect()
+    known = known.groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("label"))
+    ours = known.where(~held_out())
+    n = {r.label: r.n for r in ours.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bounds = {label: max(1, LABELLED_ROWS * k // sum(n.values())) for label, k in n.items()}
+    labelled = views(sample(rows, ours, bounds), "label").collect() if bounds else []
+    pool = views(unlabelled(rows, known, POOL_ROWS)).collect()
     labelled, pool = (sorted(r, key=lambda r: (r.doc_id, bytes(r.text_view))) for r in (labelled, pool))
     whole = lambda found, name, size: np.frombuffer(b"".join(r[name] for r in found), "<f4").reshape(-1, size)
     x, u = ((whole(found, "text_view", TEXT_SIZE), whole(found, "meta_view", META_SIZE)) for found in (labelled, pool))
-    y = np.array([r.quality for r in labelled], np.float64)
+    y = np.array([r.label for r in labelled], np.float64)
     return Model(x, y, u, np.array([zlib.crc32(f"fold {r.doc_id}".encode()) % 4 == 0 for r in labelled], bool))
 
 
@@ -191,10 +213,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, p_text, p_meta, score and kept of every row.
 
-    Null and empty texts have features of zero and are scored like others. Without labels of both classes every score is
-    a half and all rows are kept. Null or missing source and lang share the slot of the empty name. Repeated rows give
-    repeated results; a null doc_id is never held out. An empty table gives an empty result. Columns other than doc_id,
-    text, source and lang are not looked at.
+    Null and empty texts have features of zero and are scored like others; very long ones are read as a whole, one at a
+    time. Without labels of both classes every score is a half and all rows are kept. Null or missing source and lang
+    share the slot of the empty name. Ties: a score of exactly KEEP is kept, and equal rows have equal scores. Repeated
+    rows give repeated results; a null doc_id is never held out. An empty table gives an empty result. Columns other than
+    doc_id, text, source and lang, whatever their names, are not looked at.
     """
     found = score(docs, learn(docs, labels))
     return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "p_text", "p_meta", "score", (F.col("score") >= KEEP).alias("kept"))

@@ -79,6 +79,21 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 4 == HELD_OUT
 
 
+def _share(*columns: str):
+    """A hash of the columns as a number from 0 to below 1."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def _coded(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null and text is not null").withColumn("code", F.xxhash64("text"))
+
+
+def _taken(coded: DataFrame, keys: list[tuple], schema: str) -> DataFrame:
+    """The rows of the keys (doc_id, code and more), one each."""
+    chosen = coded.sparkSession.createDataFrame(keys, schema)
+    return coded.join(F.broadcast(chosen), ["doc_id", "code"]).dropDuplicates(["doc_id", "code"]).drop("code")
+
+
 def sample(docs: DataFrame, labels: DataFrame, bounds: dict[int, int], longest: int | None = None) -> DataFrame:
     """Rows of docs (doc_id, text and more) with their label, a bounded sample of each label.
 
@@ -86,25 +101,29 @@ def sample(docs: DataFrame, labels: DataFrame, bounds: dict[int, int], longest:
     rows that repeat a doc_id and text once, however often they or their id repeat. `longest` bounds the bytes of all
     texts: in that order, rows that would go beyond are left out whole. No text is cut.
     """
-    spark = docs.sparkSession
     n = {r.label: r.n for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("label").isin(list(bounds))).collect()}
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     few = None
     for label, bound in bounds.items():
-        some = labels.where(F.col("label") == label).where(chance < min(1.0, OVERDRAWN * bound / max(1, n.get(label, 0))))
+        some = labels.where(F.col("label") == label).where(_share("doc_id") < min(1.0, OVERDRAWN * bound / max(1, n.get(label, 0))))
         few = some if few is None else few.unionByName(some)
-    coded = docs.where("doc_id is not null and text is not null").withColumn("code", F.xxhash64("text"))
+    coded = _coded(docs)
     drawn = coded.select("doc_id", "code", F.octet_length("text").alias("bytes")).join(F.broadcast(few), "doc_id")
     drawn = drawn.groupBy("doc_id", "code", "label").agg(F.max("bytes").alias("bytes"))
-    order = [F.xxhash64("doc_id", "code"), F.col("doc_id"), F.col("code")]
-    rows, used = [], 0
+    keys, used = [], 0
     for label, bound in bounds.items():
-        for r in drawn.where(F.col("label") == label).orderBy(*order).limit(bound).collect():
+        for r in drawn.where(F.col("label") == label).orderBy(F.xxhash64("doc_id", "code"), "doc_id", "code").limit(bound).collect():
             if longest is None or used + r.bytes <= longest:
-                rows.append((r.doc_id, r.code, r.label))
+                keys.append((r.doc_id, r.code, r.label))
                 used += r.bytes
-    chosen = spark.createDataFrame(rows, "doc_id long, code long, label int")
-    return coded.join(F.broadcast(chosen), ["doc_id", "code"]).dropDuplicates(["doc_id", "code"]).drop("code")
+    return _taken(coded, keys, "doc_id long, code long, label int")
+
+
+def unlabelled(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
+    """At most `bound` rows of docs whose doc_id has no label, in the order of a hash, as in `sample`."""
+    coded = _coded(docs)
+    drawn = coded.select("doc_id", "code").where(_share("doc_id", "code") < min(1.0, OVERDRAWN * bound / max(1, docs.count()))).distinct()
+    keys = drawn.join(labels, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id", "code"), "doc_id", "code").limit(bound).collect()
+    return _taken(coded, [tuple(r) for r in keys], "doc_id long, code long")
 
 
 def tokenizer(name: str) -> str:

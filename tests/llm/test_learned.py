@@ -84,15 +84,76 @@ def test_quality_odd_rows(spark):
     assert {r.score for r in unlabelled} == {0.5} and all(r.kept for r in unlabelled)
 
 
+def plain_co_train(x, y, pool, rest, rest_y):
+    """The exchange row by row, with the operator's fit of one logistic model."""
+    share = lambda rows, w: [1 / (1 + math.exp(-max(-30, min(30, float(np.dot(r, w[:-1]) + w[-1]))))) for r in rows]
+    odds = lambda rows, w: [max(-30, min(30, float(np.dot(r, w[:-1]) + w[-1]))) for r in rows]
+
+    def calibrated(rows, view, w):
+        line = q._fit(np.array(odds(rest[view], w))[:, None], rest_y)
+        return share([[o] for o in odds(rows, w)], line)
+
+    def loss(view, w):
+        return sum(-math.log(p if label else 1 - p) for p, label in zip(calibrated(rest[view], view, w), rest_y, strict=True)) / len(rest_y)
+
+    own = [(list(v), list(y)) for v in x]
+    w = [q._fit(np.array(a), np.array(b)) for a, b in own]
+    free, good = set(range(len(pool[0]))), sum(y) / len(y)
+    for _ in range(q.ROUNDS):
+        offers = []
+        for view in (0, 1):
+            p, chosen = calibrated(pool[view], view, w[view]), []
+            for label, share_of in ((1, good), (0, 1 - good)):
+                wrong = {i: 1 - p[i] if label else p[i] for i in free}
+                best = sorted(free, key=lambda i: (wrong[i], i))[: round(q.EACH_ROUND * len(p) * share_of)]
+                chosen += [(i, label) for i in best if wrong[i] <= min(q.UNSURE, (1 - share_of) / 5)]
+            offers.append(chosen)
+        for view, chosen in ((1, offers[0]), (0, offers[1])):
+            chosen = [(i, label) for i, label in chosen if i in free]
+            if chosen:
+                more = own[view][0] + [pool[view][i] for i, _ in chosen], own[view][1] + [float(label) for _, label in chosen]
+                after = q._fit(np.array(more[0]), np.array(more[1]))
+                if loss(view, after) <= loss(view, w[view]):
+                    own[view], w[view] = more, after
+                    free -= {i for i, _ in chosen}
+    return w
+
+
+def two_views(n, seed, noise=0.6):
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, 2, n).astype(float)
+    return y, tuple(np.column_stack([y * 2 - 1 + rng.normal(0, noise, n), rng.normal(size=n)]) for _ in range(2))
+
+
+def exchange(y, views, few, rest, pool):
+    part = lambda at: tuple(v[at] for v in views)
+    return part(few), y[few], part(pool), part(rest), y[rest]
+
+
+def test_co_training_against_a_plain_version():
+    y, views = two_views(300, 1)
+    args = exchange(y, views, np.arange(12), np.arange(12, 52), np.arange(52, 300))
+    (w, taken), wanted = q.co_train(*args), plain_co_train(*args)
+    assert sum(taken) > 0 and all(np.allclose(a, b, atol=1e-6) for a, b in zip(w, wanted, strict=True))
+
+
 def test_co_training_gives_the_other_view_labels():
-    """With one labelled row of each class per view, rounds on the pool teach both views."""
-    rng = np.random.default_rng(0)
-    y = rng.integers(0, 2, 600).astype(float)
-    views = tuple(np.column_stack([y * 2 - 1 + rng.normal(0, 0.6, 600), rng.normal(size=600)]) for _ in range(2))
-    few = np.concatenate([np.flatnonzero(y == 0)[:4], np.flatnonzero(y == 1)[:4]])
-    w = q.co_train((views[0][few], views[1][few]), y[few], (views[0][100:], views[1][100:]))
+    """With a few labelled rows of each class, rounds on the pool teach both views."""
+    y, views = two_views(1600, 0)
+    few = np.concatenate([np.flatnonzero(y[:100] == 0)[:4], np.flatnonzero(y[:100] == 1)[:4]])
+    w, taken = q.co_train(*exchange(y, views, few, np.arange(100, 200), np.arange(200, 1000)))
+    assert min(taken) > 50
     for v in (0, 1):
-        assert np.mean((q._odds(views[v], w[v]) > 0) == y) > 0.9
+        alone = q._fit(views[v][few], y[few])
+        right = [np.mean((q._odds(views[v][1000:], x) > 0) == y[1000:]) for x in (alone, w[v])]
+        assert right[1] > 0.9 and right[1] >= right[0]
+
+
+def test_a_view_that_knows_nothing_gives_no_labels():
+    y, views = two_views(1200, 3)
+    noise = np.random.default_rng(5).normal(size=(1200, 2))
+    w, taken = q.co_train(*exchange(y, (views[0], noise), np.arange(60), np.arange(60, 200), np.arange(200, 1200)))
+    assert taken[0] == 0 and np.mean((q._odds(views[0][200:], w[0]) > 0) == y[200:]) > 0.9
 
 
 def test_toxicity_learns_from_whole_texts(spark):
