@@ -10,7 +10,7 @@ Before that a text is cut wherever no piece of the vocabulary spans the two char
 place. Runs of the space mark are cut off as units: their pieces share one score, so that there the order of merges is
 by position alone and pairs don't decide; the runs are merged by position instead.
 
-Tables are built once a Python worker and hold the vocabulary; caches are bounded by entries.
+Tables are built once a worker process and hold the vocabulary; caches are bounded by entries.
 """
 from functools import lru_cache
 from itertools import chain
@@ -29,6 +29,7 @@ class PieceBPE:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        _refuse_others(model)
         size = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(size)]
         self.byte_id = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
@@ -45,7 +46,6 @@ class PieceBPE:
         self._pairs: dict[int, bool] = {}
         self._segments: dict[str, tuple[int, ...]] = {}
         self._ids: dict[str, tuple[int, ...]] = {}
-        self.raw: dict[str, bytes] = {}
         self.rendered: dict[str, tuple[int, str, str]] = {}
         self.automaton = ahocorasick.Automaton()
         for p in self.id_of:
@@ -224,6 +224,30 @@ class PieceBPE:
         return "".join(out)
 
 
+def _refuse_others(model) -> None:
+    """Raises a ValueError for a model whose normaliser changes texts, or that lacks what the encoder builds on."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+    norm, train = spec.normalizer_spec, spec.trainer_spec
+    wrong = [
+        name
+        for name, bad in {
+            "not of merge type": train.model_type != train.BPE,
+            "a normaliser that changes texts": norm.precompiled_charsmap or norm.normalization_rule_tsv,
+            "white space is removed": norm.remove_extra_whitespaces,
+            "spaces are not marked": not norm.escape_whitespaces,
+            "no space mark before the text": not norm.add_dummy_prefix,
+            "the space mark is a suffix": train.treat_whitespace_as_suffix,
+            "no byte fallback": not train.byte_fallback,
+            "user-defined symbols": any(p.type == p.USER_DEFINED for p in spec.pieces),
+        }.items()
+        if bad
+    ]
+    if wrong:
+        raise ValueError(f"this encoder can't read the model: {', '.join(wrong)}")
+
+
 def _utf8(raw: bytes) -> str:
     """Whole characters as they are, each byte that belongs to none as U+FFFD."""
     out, at = [], 0

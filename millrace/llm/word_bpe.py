@@ -5,6 +5,7 @@ white space one after another. A run of ASCII and Latin-1 letters is lower-cased
 alternatives, and each part's ids come from the library once; any other run goes to the library whole, as does a run
 with the string of a special token.
 """
+import os
 import re
 from array import array
 from functools import lru_cache
@@ -23,6 +24,7 @@ class WordBPE:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         self.library = Tokenizer.from_file(path)
         self._parts: dict[str, bytes] = {}
         self._runs: dict[str, bytes] = {}
@@ -39,6 +41,22 @@ class WordBPE:
                 self._parts[text] = known
         return known
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """encode() of each text, keeping parts but not runs: those that are not known go to the library together."""
+        split = [[_PARTS.findall(r.lower()) if _PLAIN.fullmatch(r) and "<|" not in r else r for r in (_SPACE.split(t) if _ODD.search(t) else t.split())] for t in texts]
+        parts = self._parts
+        if len(parts) >= CACHE:
+            parts.clear()
+        new = list({p for runs in split for r in runs if type(r) is list for p in r if p not in parts})
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            parts.update(zip(some, (array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+        out = [b"".join([b"".join([parts[p] for p in r]) if type(r) is list else self._whole(r) for r in runs]) for runs in split]
+        for p in new:
+            if len(p) > LONG:
+                del parts[p]
+        return out
+
     def _run(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or "<|" in text:
             known = self._whole(text)

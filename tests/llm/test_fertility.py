@@ -1,8 +1,10 @@
+import math
 import re
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,3 +124,79 @@ def test_few_rows_have_bands_of_their_own(spark):
 def test_query_measures_with_both_vocabularies(spark):
     columns = queries.op4_quality_rules(spark, "/root/testdata/sf0.001").columns
     assert {f"{v}_{m}" for v in ("piece", "word") for m in (*f.MEASURES, "tokens")} <= set(columns)
+
+
+def plain_measures(text, encode, is_byte):
+    ids = encode(text)
+    if not ids:
+        return 0.0, 0.0, 0.0, 0
+    entropy = -sum(n / len(ids) * math.log2(n / len(ids)) for n in Counter(ids).values())
+    return len(text) / len(ids), sum(map(is_byte, ids)) / len(ids), entropy / math.log2(max(2, len(ids))), len(ids)
+
+
+def plain_verdicts(rows):
+    """band, outside and kept of (doc_id, text, lang) rows, with the libraries on whole texts and lists for bands."""
+    library, words = sentencepiece.SentencePieceProcessor(model_file=PIECES), Tokenizer.from_file(WORDS)
+    encoders = {"piece": (library.encode, library.is_byte), "word": (lambda t: words.encode(t, add_special_tokens=False).ids, lambda i: False)}
+    measured, values = [], {}
+    for doc, text, lang in rows:
+        text = text or ""
+        n, *_, repeated = plain_counts(text)
+        failed = n < 50 or 100 * repeated > 50 * n
+        key = lang if lang is not None else f"script:{f.script(text)}"
+        found = {v: plain_measures(text, *e) for v, e in encoders.items()}
+        measured.append((doc, key, failed, found))
+        if not failed:
+            for v in encoders:
+                for name, x in zip(f.MEASURES, found[v], strict=False):
+                    values.setdefault((key, f"{v}_{name}"), {})[text] = math.floor(x / f.GRID + 0.5)
+    limits = {}
+    for of, by_text in values.items():
+        bins = sorted(by_text.values())
+        q1, q3 = (bins[math.ceil(q * len(bins)) - 1] * f.GRID for q in (0.25, 0.75))
+        limits[of] = q1, q3, max(f.FENCE * (q3 - q1), f.LEAST_WIDTH) * (1 + f.FEW / math.sqrt(len(bins)))
+    out = {}
+    for doc, key, failed, found in measured:
+        outside = []
+        for v in encoders:
+            for name, x in zip(f.MEASURES, found[v], strict=False):
+                if (key, f"{v}_{name}") in limits:
+                    q1, q3, reach = limits[key, f"{v}_{name}"]
+                    reach *= math.sqrt(max(1, f.STEADY_TOKENS / max(found[v][3], 1)))
+                    if x < q1 - reach or x > q3 + reach:
+                        outside.append(f"{v}_{name}")
+        out[doc] = key, outside, not failed and not outside
+    return out
+
+
+def test_verdicts_against_a_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(f, "BLOCK", 5000)
+    monkeypatch.setattr(f, "STEP", 300)
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()]
+    rows += [(10_000 + i, t, lang) for i, (_, t, lang, *_) in enumerate(ROWS)] + [(20_000 + i, t, None) for i, (_, t, _) in enumerate(rows[:40])]
+    rows += [(30_000, "  two  spaces " + rows[0][1], "en"), (30_001, "▁ " + rows[1][1], "en"), (30_002, rows[2][1].replace(" ", "\u3000"), "en"), (30_003, rows[3][1].replace(" ", "\n"), "en")]
+    docs = documents(spark, [(*r, None, None) for r in rows])
+    out = {r.doc_id: (r.band, r.outside, r.kept) for r in f.quality_rules(docs, {"piece": PIECES, "word": WORDS}).collect()}
+    assert out == plain_verdicts(rows) and sum(bool(o) for _, o, _ in out.values()) > 5
+
+
+def test_a_full_table_starts_anew(monkeypatch):
+    texts = ["a b c d", "the mill grinds", "", "x" * 100 + " y", "  a  b ", "the mill grinds", "日本 語 z"]
+    whole = f.Vocabularies({"piece": PIECES, "word": WORDS}).measures(texts)
+    for size in (0, 1, 3, 10):
+        monkeypatch.setattr(f, "CACHE", size)
+        table = f.Vocabularies({"piece": PIECES, "word": WORDS})
+        found = [np.hstack(x) for x in zip(*(table.measures([t]) for t in texts), strict=True)]
+        assert all((a == b).all() for a, b in zip(found, whole, strict=True)) and len(table.number) <= size
+
+
+def test_other_models_are_refused():
+    from sentencepiece import sentencepiece_model_pb2
+
+    from millrace.llm import piece_bpe
+
+    spec = sentencepiece_model_pb2.ModelProto.FromString(sentencepiece.SentencePieceProcessor(model_file=PIECES).serialized_model_proto())
+    piece_bpe._refuse_others(sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString()))
+    spec.normalizer_spec.remove_extra_whitespaces = True
+    with pytest.raises(ValueError, match="white space"):
+        piece_bpe._refuse_others(sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString()))
