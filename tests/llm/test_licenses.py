@@ -1,6 +1,7 @@
 import re
 
 import duckdb
+import licence_texts
 import pytest
 from support import ROWS, documents, empty
 
@@ -69,3 +70,50 @@ def test_rules_name_known_identifiers():
 def test_native_plan(spark):
     plan = lic.license_scan(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+LEADERS = {"plain": ("", "", ""), "hash": ("", "# ", ""), "slashes": ("", "// ", ""), "stars": ("/*\n", " * ", " */\n"), "dashes": ("", "-- ", "")}
+
+
+def compared(spark, texts):
+    """licenses and n_unknown of each text by Spark, after a comparison with the SQL."""
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    df = lic.license_scan(documents(spark, rows, clashing=False))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    found = sorted(tuple(r) for r in df.collect())
+    assert sorted(con.sql(lic.sql()).fetchall()) == found
+    return [(licenses, n) for _, licenses, _, n in found]
+
+
+def test_canonical_notices(spark):
+    wanted, texts = [], []
+    for (first, leader, last), (name, text) in [(way, item) for way in LEADERS.values() for item in licence_texts.TEXTS.items()]:
+        texts.append("Some prose before.\n\n" + first + "".join((leader + line).rstrip() + "\n" for line in text.splitlines()) + last + "\nint main() { return 0; }\n")
+        wanted.append((name, 0))
+    assert compared(spark, texts) == wanted
+
+
+def test_tags_and_titles(spark):
+    cases = [
+        *((f"// SPDX-License-Identifier: {name}\nint x;", name, 0) for name in lic.SPDX),
+        ("/* SPDX-License-Identifier: MIT */", "MIT", 0),
+        ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\ncode", "Apache-2.0,MIT", 0),
+        ("# SPDX-License-Identifier: GPL-2.0-only AND MIT", "GPL-2.0-only,MIT", 0),
+        ("SPDX-License-Identifier: Nobody-1.0", "", 1),
+        ("MIT License", "MIT", 0),
+        ("# The MIT License (MIT)\n\nSome prose.", "MIT", 0),
+        ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)", "BSL-1.0", 0),
+        ("                                 Apache License\n                           Version 2.0, January 2004\n", "Apache-2.0", 0),
+        ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n", "GPL-3.0-only", 0),
+    ]
+    assert compared(spark, [t for t, *_ in cases]) == [c[1:] for c in cases]
+
+
+def test_a_used_rule_parts_its_neighbours(spark):
+    sentence = lambda i: max(lic.SENTENCES[i], key=len) + ". "
+    bsd = "".join(map(sentence, ["bsd-grant", "bsd-source", "bsd-binary"]))
+    texts = [sentence("mit-grant") + bsd + sentence("mit-notice"), bsd + bsd, sentence("mit-grant") + sentence("mit-notice") + bsd]
+    texts.append("".join(map(sentence, ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"])) * 2)
+    assert compared(spark, texts) == [("BSD-2-Clause", 0), ("BSD-2-Clause", 0), ("BSD-2-Clause,MIT", 0), ("BSD-3-Clause", 0)]
