@@ -16,7 +16,7 @@ class Finding(NamedTuple):
 
 
 # What stands before a secret, and before what merely looks like one; words of identifiers and prose.
-SECRET_NAMES = ["token", "api_key", "apiKey", "secret", "client_secret", "access_token", "auth_token", "password", "passwd", "private_key", "SECRET_KEY", "AWS_SECRET_ACCESS_KEY", "credential"]
+SECRET_NAMES = ["token", "api_key", "apiKey", "secret", "client_secret", "access_token", "auth_token", "password", "passwd", "private_key", "SECRET_KEY", "AWS_SECRET_ACCESS_KEY", "credential", "Bearer", "access_key", "signing_key"]
 BENIGN_NAMES = ["commit", "sha1", "sha256", "md5", "checksum", "digest", "uuid", "id", "build", "revision", "etag", "integrity", "version", "trace", "order", "invoice", "file", "href"]
 WORDS = ["user", "name", "value", "test", "data", "config", "server", "client", "service", "account", "number", "string", "example", "default", "manager", "handler", "request", "response", "session", "index", "count", "update", "create", "delete", "image", "public", "static", "final", "class", "method", "return", "internal", "module", "package", "project", "version", "release", "document", "report", "customer", "product", "order", "payment", "address", "email", "phone", "date", "time", "table", "column"]
 PROSE = ["the", "of", "and", "with", "that", "was", "on", "for", "de", "la", "le", "que", "der", "die", "und", "en", "un", "est", "from", "this"]
@@ -34,7 +34,7 @@ def labelled_findings(n: int = 4000, seed: int = 7) -> list[Finding]:
     prose = lambda: " ".join(rng.choices(PROSE + WORDS, k=rng.randint(2, 6)))
 
     def secret() -> str:
-        kind = rng.randrange(10)
+        kind = rng.randrange(11)
         return [
             lambda: some(_HEX, rng.choice([32, 40, 40, 48, 64])),
             lambda: some(_BASE64, rng.choice([24, 32, 40, 44, 64])),
@@ -46,6 +46,7 @@ def labelled_findings(n: int = 4000, seed: int = 7) -> list[Finding]:
             lambda: some(_UPPER + _LOWER + _DIGITS + "_-", rng.randint(20, 48)),
             lambda: some(_HEX, rng.randint(12, 24)),
             lambda: some(_LOWER + _DIGITS, rng.randint(10, 24)),
+            lambda: some(_UPPER + _LOWER, rng.choice([20, 32, 40])),
         ][kind]()
 
     def benign() -> str:
@@ -70,8 +71,8 @@ def labelled_findings(n: int = 4000, seed: int = 7) -> list[Finding]:
         hexadecimal = not wanted and set(candidate) <= set(_HEX) and len(set(candidate)) > 4
         named = rng.random() < 0.85
         name = rng.choice(SECRET_NAMES) if (wanted and named) or (not wanted and not hexadecimal and rng.random() < 0.3) else rng.choice(BENIGN_NAMES) if hexadecimal or rng.random() < 0.5 else ""
-        if wanted and name not in SECRET_NAMES and set(candidate) <= set(_HEX + _LOWER):
-            name = rng.choice(SECRET_NAMES)  # a bare hexadecimal string is a secret only under a name
+        if wanted and name not in SECRET_NAMES and (set(candidate) <= set(_HEX + _LOWER) or candidate.isalpha()):
+            name = rng.choice(SECRET_NAMES)  # a bare string of hexadecimal digits or of letters is a secret only under a name
         quote = rng.choice(['"', "'", ""])
         joint = rng.choice([" = ", "=", ": ", " "]) if name else " "
         out.append(Finding(rng.choice(MOCK_PATHS if mock else PATHS), f"{prose()} {name}{joint}{quote}", candidate, f"{quote} {prose()}", wanted))

@@ -1,7 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are found in whole texts: private key blocks, values assigned to secret names, and long strings of letters
-and digits. A forest scores each from its length and alphabet, its character transitions (against those of labelled
+Candidates are found in whole texts: private key blocks (encrypted ones and ones that are cut off, too), values assigned
+to secret names, bearer tokens, passwords in URLs, and long strings of letters and digits. A forest scores each from its length and alphabet, its character transitions (against those of labelled
 secrets and others), how much of it dictionary words cover, the path, and the words around it. The forest is trained on
 the driver from labelled findings, a bounded set, and is small; scoring runs in the pass that finds candidates.
 """
@@ -25,10 +25,16 @@ TREES, DEPTH = 40, 10
 REDACTED = "[SECRET]"
 
 # Patterns of candidates, secret names and public key prefixes.
-_BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+-----END [A-Z ]*PRIVATE KEY-----"
-_ASSIGNED = r"(?i:(?:api_?-?key|secret|token|passw(?:or)?d|passwd|pwd|credential)s?)[\"']?\s*[:=]\s*[\"']?(?P<value>[^\s\"'&]{8,})"
+_BEGIN = r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_BLOCK = _BEGIN + r"(?:(?!-----)[\s\S])+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_CUT_OFF = _BEGIN + r"(?:(?:\s|\\[rn])+(?:[A-Za-z][A-Za-z-]*:[^\n]*|[A-Za-z0-9+/=]{16,}(?![A-Za-z0-9+/=])))+"
+_ASSIGNED = r"(?ai:(?:api_?-?key|secret|token|passw(?:or)?d|passwd|pwd|credential|(?:access|secret|private|auth|account|encryption|signing)_?-?key)s?)[\"']?\s*[:=]\s*[\"']?(?P<assigned>[^\s\"'&]{8,})"
+_BEARER = r"(?ai:\bbearer)[ \t]+(?P<bearer>[A-Za-z0-9._~+/\-]{16,}=*)"
+_IN_URL = r"://[^\s:/@]+:(?P<in_url>[^\s:/@]{6,})@"
 _LONG = r"(?<![A-Za-z0-9_+/=.\-])(?=[A-Za-z_+/=.\-]*[0-9])[A-Za-z0-9_+/=.\-]{16,}"
-_CANDIDATE = re.compile(f"{_BLOCK}|{_ASSIGNED}|{_LONG}")
+_CANDIDATE = re.compile("|".join([_BLOCK, _CUT_OFF, _ASSIGNED, _BEARER, _IN_URL, _LONG]))
+_HINTS = ["private key", "://", "key", "secret", "token", "passw", "pwd", "credential", "bearer"]  # all patterns but _LONG need one
+_LONG_ONLY = re.compile(_LONG)
 _SECRET_NAME = re.compile(r"(?i)(token|secret|api.?key|passw|pwd|credential|auth|bearer|private.?key|access.?key)")
 _BENIGN_NAME = re.compile("(?i)\\b(" + "|".join(BENIGN_NAMES + ["hash", "url", "http", "https", "phone", "card"]) + ")\\b")
 _PREFIX = re.compile(r"(AKIA|ASIA|gh[pousr]_|sk_live_|rk_live_|sk-|xox[abprs]-|AIza|eyJ|-----BEGIN)")
@@ -87,7 +93,9 @@ class Scanner:
 
     def candidates(self, text: str) -> list[tuple[int, int]]:
         """(start, end) of each candidate in order; they don't overlap."""
-        return [m.span("value") if m.group("value") is not None else m.span() for m in _CANDIDATE.finditer(text)]
+        low = text.lower()
+        found = (_CANDIDATE if any(hint in low for hint in _HINTS) else _LONG_ONLY).finditer(text)
+        return [m.span(m.lastgroup) if m.lastgroup else m.span() for m in found]
 
     def scan(self, texts: list[str], paths: list[str]) -> list[list[tuple[int, int, float]]]:
         """(start, end, score) of the candidates of each text. A private key block is a secret as it stands."""
@@ -108,9 +116,10 @@ def _path(docs: DataFrame):
 def secret_scan(docs: DataFrame, findings: list[Finding] | None = None) -> DataFrame:
     """A row per candidate: doc_id, start, end (characters), sha256 of it, score and is_secret.
 
-    Null and empty texts have none. The path is the column source where there is one, null counting as empty. Repeated
-    rows give repeated results; candidates in one text don't overlap, the leftmost one wins. An empty table gives an
-    empty result. Columns other than doc_id, text and source are not looked at.
+    Null and empty texts have none; very long ones are scanned as a whole. The path is the column source where there is
+    one, null counting as empty. Repeated rows give repeated results. Ties: candidates in one text don't overlap, the
+    leftmost one wins, and a score of exactly THRESHOLD is a secret. An empty table gives an empty result. Columns other
+    than doc_id, text and source, whatever their names, are not looked at.
     """
     shared = _shared(docs, findings)
 
@@ -131,9 +140,16 @@ def secret_scan(docs: DataFrame, findings: list[Finding] | None = None) -> DataF
 
 
 def redact(docs: DataFrame, findings: list[Finding] | None = None) -> DataFrame:
-    """docs with each secret in text replaced by REDACTED; n_chars, where there is one, follows. Rows and columns stay."""
+    """docs with each secret in text replaced by REDACTED; n_chars, where there is one, follows. Rows and columns stay.
+
+    Null and empty texts stay as they are; very long ones are scanned as a whole. Rows without a doc_id and repeated rows
+    change like others. Ties are as in `secret_scan`. An empty table gives an empty result. Columns other than text, source
+    and n_chars, whatever their names, are kept and not looked at.
+    """
     shared = _shared(docs, findings)
-    schema, at = docs.schema, docs.columns.index("text")
+    schema, at, name = docs.schema, docs.columns.index("text"), "path"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
 
     def run(batches):
         for batch in slices(batches):
@@ -148,5 +164,5 @@ def redact(docs: DataFrame, findings: list[Finding] | None = None) -> DataFrame:
             columns[at] = pa.array(new, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    out = docs.withColumn("_path", _path(docs)).mapInArrow(run, schema)
+    out = docs.withColumn(name, _path(docs)).mapInArrow(run, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

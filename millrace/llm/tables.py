@@ -72,7 +72,7 @@ def without(docs: DataFrame, dropped: DataFrame, same) -> DataFrame:
     """
     dropped = stash(dropped, "dropped")
     few = dropped.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(dropped) if few else dropped, same(docs, dropped), "left_anti").select(*(docs[c] for c in docs.columns))
+    return docs.join(F.broadcast(dropped) if few else dropped, same(docs, dropped), "left_anti")
 
 
 def held_out(doc_id: str = "doc_id"):
