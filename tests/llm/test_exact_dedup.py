@@ -6,6 +6,7 @@ import pytest
 from support import ROWS, documents, empty
 
 from millrace.llm import exact_dedup as e
+from millrace.llm import tables
 
 
 def brute(rows):
@@ -43,6 +44,37 @@ def test_hot_text_over_many_lots(spark):
     assert rows_of(e.exact_dedup(documents(spark, rows, clashing=False))) == brute(rows)
 
 
+@pytest.mark.parametrize("ids", ["null but one", "null", "one id"])
+def test_hot_text_of_equal_ids_over_many_lots(spark, ids, monkeypatch):
+    """Copies spread by row: no lot holds much more than SHARD_ROWS of them, whatever their ids."""
+    n, lots = 20_000, []
+    docs = [(None if ids != "one id" else 5, "hot", None, None, None)] * n + [(i, f"text {i}", None, None, None) for i in range(50)]
+    if ids == "null but one":
+        docs.append((999, "hot", None, None, None))
+    rows = e.stash(e.numbered(e.digests(documents(spark, docs, clashing=False).repartition(8))), "test")
+    past = e.stash(e.history(rows), "test")
+    slots, shards = e.build_slots(past, past.count())
+    find = e._find
+    monkeypatch.setattr(e, "_find", lambda rows, held: (lambda out: out.set_column(0, "row", e.pa.array([rows.num_rows] * out.num_rows, e.pa.int64())))(find(rows, held)))
+    lots = [r.row for r in e.look_up(rows, slots, shards).collect()]
+    assert len(lots) == len(docs) and max(lots) < 2 * e.SHARD_ROWS
+    monkeypatch.undo()
+    assert rows_of(e.exact_dedup(documents(spark, docs, clashing=False))) == brute(docs)
+
+
+def test_hot_nonmembers(spark):
+    past = e.history(e.digests(documents(spark, [(1, "old", None, None, None)])))
+    rows = [(i % 7 if i % 2 else None, "hot", None, None, None) for i in range(9000)] + [(None, "idle", None, None, None)] * 3000 + [(70, "old", None, None, None)]
+    out = e.exact_dedup(documents(spark, rows, clashing=False), past).collect()
+    assert {(r.keep_id, r.group_size) for r in out} == {(6, 9000), (None, 3000), (1, 1)} and len(out) == len(rows)
+    assert sum(r.kept for r in out) == 3000 + sum(i % 2 and i % 7 == 6 for i in range(9000))
+
+
+def test_ids_of_other_types(spark):
+    docs = documents(spark, ROWS[:6]).withColumn("doc_id", e.F.col("doc_id").cast("int"))
+    assert rows_of(e.exact_dedup(docs)) == brute(ROWS[:6]) and e.first_copies(docs).schema == docs.schema
+
+
 def test_against_an_older_history(spark):
     old = documents(spark, [(100, "a b", None, None, None), (101, "a b", None, None, None), (102, "c", None, None, None)])
     new = documents(spark, [(1, "a b", None, None, None), (2, "new", None, None, None), (3, "new", None, None, None), (4, None, None, None, None)])
@@ -59,6 +91,16 @@ def test_filter_keeps_columns_and_rows_without_id(spark):
     assert sorted([r.doc_id for r in out.collect()], key=str) == sorted([3, 2, 4, 5, 5, 6, 7, 9, None, None, 10, 11], key=str)
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_filter_with_few_and_many_losers(spark, monkeypatch, most):
+    """A list of losers is sent to every executor only while it is short; both ways give the same rows."""
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", most)
+    rows = [(i, f"text {i % 50}", None, None, None) for i in range(200)]
+    out = e.first_copies(documents(spark, rows))
+    assert ("BroadcastExchange" in out._jdf.queryExecution().executedPlan().toString()) or most == 0
+    assert sorted(r.doc_id for r in out.collect()) == list(range(150, 200))
+
+
 def test_filter_drops_rows_not_ids(spark):
     rows = [(1, "A", None, None, None), (1, "B", None, None, None), (2, "B", None, None, None), (3, None, None, None, None), (4, "", None, None, None)]
     out = e.first_copies(documents(spark, rows)).collect()

@@ -1,9 +1,10 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from support import ROWS, documents, empty
 from tokenizers import Tokenizer
 
@@ -80,3 +81,12 @@ def test_many_groups_keep_padding_small(spark, monkeypatch):
 def test_with_ids(spark):
     out = p.pack_documents(documents(spark, ROWS[:5]), WORDS, with_ids=True).collect()
     assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in out)
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_equal_ids_make_no_hot_group(spark, doc_id):
+    n = 30_000
+    cut = spark.range(n).select(p.F.lit(doc_id).cast("long").alias("doc_id"), p.F.lit(0).cast("long").alias("start"), (1 + p.F.col("id") % 9).alias("length"))
+    out = p.pack(p.stash(p.numbered(cut.repartition(6)), "test"), n, 64)
+    groups = Counter(r.sequence_id >> 32 for r in out.select("sequence_id").collect())
+    assert sum(groups.values()) == n and len(groups) == 15 and max(groups.values()) < 1.3 * p.GROUP_PIECES

@@ -6,7 +6,7 @@ from test_simhash import plain_fingerprint
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from millrace.llm import queries, secret_scan
+from millrace.llm import queries, secret_scan, tables
 from millrace.llm.tables import stash
 
 
@@ -35,6 +35,8 @@ def test_stages_against_brute_force(spark):
     rows = corpus(120)
     text = rows[7][1]
     rows += [(200, text, "en", None, None), (201, text + " ", "en", None, None), (202, "12 34", "en", None, None), (203, None, "en", None, None), (204, rows[3][1] + ' token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" x', "en", None, None)]
+    rows += [(205, " ".join(t for _, t, *_ in rows[:120] if t) * 12, "en", None, None)]
+    assert len(rows[-1][1]) > 200_000
     docs = documents(spark, rows)
     names = docs.columns
     for _, stage in corpus_pipeline.STAGES[:-1]:
@@ -53,7 +55,10 @@ def test_empty_table(spark):
 
 
 def test_run_on_a_table(spark):
-    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 100
+    before = set(tables.stashed())
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = set(tables.stashed()) - before
+    assert out.count() > 100 and len(left) == 2 and any("stage-secret_scan" in path for path in left)
 
 
 def test_contract():

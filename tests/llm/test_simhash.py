@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -48,8 +49,7 @@ def test_fingerprint():
 
 
 def test_odd_rows(spark):
-    rows = [(d, t if t is None else t[:4000], *r) for d, t, *r in ROWS]
-    assert rows_of(s.near_dedup(documents(spark, rows))) == brute(rows)
+    assert rows_of(s.near_dedup(documents(spark))) == brute(ROWS)
     assert s.near_dedup(empty(spark)).count() == 0
 
 
@@ -72,6 +72,44 @@ def test_near_copies_match_all_pairs(spark, monkeypatch, chunk):
     assert rows_of(s.near_dedup(documents(spark, rows))) == brute(rows)
 
 
+def hot_fingerprints(n, seed=5):
+    """n different fingerprints that share the first 13 bits, so that one bucket holds them all; some in close groups."""
+    rng = np.random.default_rng(seed)
+    top = np.uint64(0x5A5) << np.uint64(51)
+    base = rng.integers(0, 1 << 51, n // 2, np.uint64)
+    near = rng.choice(base, n - n // 2) ^ (np.uint64(1) << rng.integers(0, 51, n - n // 2, np.uint64)) ^ (np.uint64(1) << rng.integers(0, 51, n - n // 2, np.uint64))
+    return np.unique(np.concatenate([base, near]) | top)
+
+
+@pytest.mark.parametrize("chunk", [16, 2048])
+def test_a_hot_bucket_matches_all_pairs(spark, monkeypatch, chunk):
+    monkeypatch.setattr(s, "CHUNK", chunk)
+    fp = hot_fingerprints(6000 if chunk == 2048 else 1200)
+    n = len(fp)
+    near = [np.flatnonzero(np.bitwise_count(fp[i] ^ fp[i + 1 :]) <= 4) + i + 1 for i in range(n)]
+    wanted = s._roots(n, np.repeat(np.arange(n), [len(b) for b in near]), np.concatenate(near))
+    reps = s.stash(spark.createDataFrame([(int(x.astype(np.int64)), i) for i, x in enumerate(fp)], "fp long, rep long"), "test")
+    found = {r.id: r.component for r in s.components(s.links(reps, n)).collect()}
+    assert [found.get(i, i) for i in range(n)] == wanted.tolist()
+
+
+def test_a_hot_bucket_gives_rows_in_proportion(spark, monkeypatch):
+    """Rows sent to verification grow with the bucket, not with its square."""
+    sent, monkey = [], monkeypatch
+    for n in (4000, 16_000):
+        fp = hot_fingerprints(n, 8)
+        reps = s.stash(spark.createDataFrame([(int(x.astype(np.int64)), i) for i, x in enumerate(fp)], "fp long, rep long"), "test")
+        monkey.setattr(s, "spanning", lambda key, fp, rep, distance: (np.full(1, len(key)), np.full(1, -1 - hash(tuple(key[:3])) % 1_000_000_007)))
+        sent.append(sum(r.low for r in s.links(reps, len(fp)).collect()) / len(fp))
+    assert sent[1] < 1.5 * sent[0]
+
+
+def test_hot_fingerprints_need_no_shuffle_of_their_rows(spark):
+    rows = [(i, "the same words again and again", None, None, None) for i in range(4000)] + [(5000 + i, f"a{i} b{i} c{i} d{i} e{i}", None, None, None) for i in range(1500)] + [(None, "the same words again and again", None, None, None)] * 500
+    found = Counter(r.component_id for r in s.near_dedup(documents(spark, rows, clashing=False)).collect())
+    assert found[0] == 4000 and found[None] == 500 and len(found) == 1502
+
+
 def test_a_doc_id_with_two_texts(spark):
     rows = [(5, "a b c d e f g", None, None, None), (5, "totally other words stand here now", None, None, None), (3, "a b c d e f g", None, None, None), (9, "totally other words stand here now", None, None, None)]
     assert {r.component_id for r in s.near_dedup(documents(spark, rows)).collect()} == {3}

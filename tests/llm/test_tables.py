@@ -1,6 +1,8 @@
 import zlib
+from pathlib import Path
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from millrace.llm import tables
@@ -30,3 +32,27 @@ def test_stash_keeps_rows_and_schema(spark):
     kept = tables.stash(df, "test")
     assert kept.schema == df.schema and sorted(kept.collect()) == sorted(df.collect())
     assert tables.stash(df.limit(0), "test").count() == 0
+
+
+def test_discard_deletes_what_was_stashed(spark):
+    before = tables.stashed()
+    kept = tables.stash(spark.range(3).toDF("a"), "test")
+    paths = [x for x in tables.stashed() if x not in before]
+    assert len(paths) == 1 and kept.count() == 3
+    tables.discard(spark, paths)
+    assert tables.stashed() == before and not Path(paths[0].removeprefix("file://")).exists()
+
+
+def test_slices_bound_rows():
+    batch = pa.RecordBatch.from_pydict({"a": list(range(1203))})
+    found = list(tables.slices([batch, batch.slice(0, 0)]))
+    assert [b.num_rows for b in found] == [500, 500, 203] and [x for b in found for x in b.column(0).to_pylist()] == list(range(1203))
+
+
+def test_session_settings_stay_as_they_were(spark):
+    from millrace.llm import queries
+
+    before = {r.key: r.value for r in spark.sql("SET").collect()}
+    for name in ("op3_simhash", "op5_secret_scan", "op8_language_id"):
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert {r.key: r.value for r in spark.sql("SET").collect()} == before
