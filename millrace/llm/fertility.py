@@ -12,7 +12,6 @@ different texts is junk of one side. Texts that differ at all, near copies too,
 The tables of bands have a row for each language and measure; the grid bounds what the quartiles are counted from.
 """
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import slices, stash
-from millrace.llm.word_bpe import word_bpe
+from millrace.llm.vocabularies import Vocabularies, blocks, vocabularies
 
 MIN_WORDS = 50
-CACHE = 1_000_000  # chunks in a worker's table; it starts anew when full, which costs time only
-LONG = 48  # characters; longer chunks are not kept
-BLOCK = 1 << 20  # characters measured at once, about
-STEP = 1 << 18  # chunks whose tokens are counted at once
 GRID = 0.005  # measures are counted in steps of this
 FENCE = 2.5
 STEADY_TOKENS = 600  # a shorter text's measures spread more: its bands widen by the root of this over its tokens
@@ -89,90 +84,17 @@ def script(text: str) -> str:
     return best if counts[best] else "none"
 
 
-def _pieces(path: str):
-    """(ids as bytes of each of many texts, whether an id is a fallback byte) of a sentencepiece file."""
-    import sentencepiece
+def measures(table: Vocabularies, texts: list[str]) -> list[np.ndarray]:
+    """For each vocabulary the rows chars_per_token, byte_share, token_entropy (of that of as many different tokens) and
+    tokens, a column a text; 0 for a text without tokens."""
+    chars = np.fromiter(map(len, texts), np.float64, len(texts))
+    return [_measures(steps, chars, is_byte) for steps, (_, is_byte) in zip(table.gather(texts), table.readers, strict=True)]
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
-    return lambda texts: [array("I", ids).tobytes() for ids in model.encode(texts, num_threads=1)], is_byte
 
-
-def _words(path: str):
-    """The same of a word-end file, which has no fallback bytes."""
-    words = word_bpe(path)
-    return words.many, np.zeros(words.library.get_vocab_size(), bool)
-
-
-class Vocabularies:
-    """Measures of texts under some vocabularies, through one bounded table of what stands between single spaces.
-
-    No token goes across a single space, so a text's ids are those of its chunks one after another; a text with other
-    spaces at its ends or in a row, or with the space mark itself, is one chunk. The table has each chunk's place in one
-    array of ids for each vocabulary. Chunks over LONG characters, and those that come while it is full, leave it after
-    their block.
-    """
-
-    def __init__(self, paths: dict[str, str]):
-        self.readers = [_pieces(p) if p.endswith(".model") else _words(p) for p in paths.values()]
-        self.number: dict[str, int] = {}
-        self.ids = [array("I") for _ in self.readers]
-        self.ends = [array("Q", [0]) for _ in self.readers]
-
-    def _add(self, chunks: list[str]) -> None:
-        for (encode, _), ids, ends in zip(self.readers, self.ids, self.ends, strict=True):
-            for found in encode(chunks):
-                ids.frombytes(found)
-                ends.append(len(ids))
-        for chunk in chunks:
-            self.number[chunk] = len(self.number)
-
-    def _drop(self, chunks: list[str]) -> None:
-        """Forgets the chunks, which were added last."""
-        for chunk in chunks:
-            del self.number[chunk]
-        for ids, ends in zip(self.ids, self.ends, strict=True):
-            del ends[len(self.number) + 1 :]
-            del ids[ends[-1] :]
-
-    def measures(self, texts: list[str]) -> list[np.ndarray]:
-        """For each vocabulary the rows chars_per_token, byte_share, token_entropy (of that of as many different tokens)
-        and tokens, a column a text; 0 for a text without tokens."""
-        words, many = [], []
-        for t in texts:
-            own = (t.split(" ") if single_spaced(t) else [t]) if t else []
-            words += own
-            many.append(len(own))
-        new = set(words).difference(self.number)
-        if len(self.number) + len(new) > CACHE:
-            self._drop(list(self.number))
-            new = set(words)
-        short, long = [c for c in new if len(c) <= LONG][:CACHE], []
-        self._add(short)
-        if len(short) < len(new):
-            long = list(new.difference(short))
-            self._add(long)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        of_word = np.repeat(np.arange(len(texts)), many)
-        chars = np.fromiter(map(len, texts), np.float64, len(texts))
-        out = [_measures(at, of_word, chars, np.frombuffer(ids, "<u4") if ids else np.zeros(0, "<u4"), np.frombuffer(ends, "<u8").astype(np.int64), is_byte) for (_, is_byte), ids, ends in zip(self.readers, self.ids, self.ends, strict=True)]
-        self._drop(long)
-        return out
-
-
-def single_spaced(text: str) -> bool:
-    """Whether every space stands alone between other characters, and no space mark is in the text itself."""
-    return not ("  " in text or text[:1] == " " or text[-1:] == " " or "▁" in text)
-
-
-def _measures(at, of_word, chars, ids, ends, is_byte) -> np.ndarray:
+def _measures(steps, chars: np.ndarray, is_byte: np.ndarray) -> np.ndarray:
     n_texts = len(chars)
     tokens, fallback, keys, times = np.zeros(n_texts), np.zeros(n_texts), [], []
-    for a in range(0, len(at), STEP):
-        place, text = at[a : a + STEP], of_word[a : a + STEP]
-        lengths = ends[place + 1] - ends[place]
-        text = np.repeat(text, lengths)
-        own = ids[np.arange(len(text)) + np.repeat(ends[place] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)]
+    for text, own in steps:
         tokens += np.bincount(text, minlength=n_texts)
         fallback += np.bincount(text, is_byte[own], minlength=n_texts)
         key = (text.astype(np.uint64) << np.uint64(32)) | own
@@ -180,8 +102,9 @@ def _measures(at, of_word, chars, ids, ends, is_byte) -> np.ndarray:
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         keys.append(key[first])
         times.append(np.diff(np.append(first, len(key))))
+    several = len(keys) > 1  # then a text may stand in two steps
     keys, times = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (keys, times))
-    if len(at) > STEP:  # a text may stand in two steps
+    if several:
         keys, where = np.unique(keys, return_inverse=True)
         times = np.bincount(where, times, minlength=len(keys))
     spread = np.bincount((keys >> np.uint64(32)).astype(np.int64), times * np.log2(np.maximum(times, 1)), minlength=n_texts)
@@ -191,32 +114,19 @@ def _measures(at, of_word, chars, ids, ends, is_byte) -> np.ndarray:
     return np.array([np.where(some, chars / n, 0), fallback / n, np.where(some, entropy, 0), tokens])
 
 
-def _blocks(texts: list[str]):
-    """The texts in runs of at most BLOCK characters, about."""
-    block, held = [], 0
-    for t in texts:
-        block.append(t)
-        held += len(t)
-        if held >= BLOCK:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
-
-
-def measure(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
+def measure(docs: DataFrame, files: dict[str, str]) -> DataFrame:
     """doc_id, key, a digest of the text, the base counts and the measures <vocabulary>_<measure> of every row."""
-    names = [f"{v}_{m}" for v in vocabularies for m in (*MEASURES, "tokens")]
+    names = [f"{v}_{m}" for v in files for m in (*MEASURES, "tokens")]
 
     def run(batches):
-        table = Vocabularies(vocabularies)
+        table = vocabularies(*files.values())
         for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             counts = [base_counts(t) for t in texts]
             digests = [xxhash.xxh3_128_digest(t.encode()) for t in texts]
             keys = [lang if lang is not None else f"script:{script(t)}" for t, lang in zip(texts, batch.column(2).to_pylist(), strict=True)]
             longs = np.array(counts, np.int64).reshape(-1, len(_COUNTS)).T
-            doubles = np.hstack([np.vstack(table.measures(block)) for block in _blocks(texts)])
+            doubles = np.hstack([np.vstack(measures(table, block)) for block in blocks(texts)])
             columns = [batch.column(0), pa.array(keys, pa.string()), pa.array(digests, pa.binary()), *map(pa.array, longs), *map(pa.array, doubles)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "digest", *_COUNTS, *names])
 
@@ -245,7 +155,7 @@ def bands(measured: DataFrame, names: list[str]) -> DataFrame:
     return quartiles.select("key", "measure", "q1", "q3", reach.alias("reach"))
 
 
-def quality_rules(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
+def quality_rules(docs: DataFrame, files: dict[str, str]) -> DataFrame:
     """The measures of every row with base_failed, band (whose bands it is held to), outside (measures beyond) and kept.
 
     A null text has no words and fails the base rules, as every text under MIN_WORDS words. Null languages take the
@@ -254,8 +164,8 @@ def quality_rules(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
     language have equal results. Repeated rows give repeated results and count once in the bands. An empty table gives an
     empty result. Columns other than doc_id, text and lang, whatever their names, are not looked at; lang may be missing.
     """
-    names = [f"{v}_{m}" for v in vocabularies for m in MEASURES]
-    measured = stash(measure(docs, vocabularies), "fertility")
+    names = [f"{v}_{m}" for v in files for m in MEASURES]
+    measured = stash(measure(docs, files), "fertility")
     limits = bands(different(measured, names), names).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("q1", "q3", "reach")))).alias("bands"))
     joined = measured.join(stash(limits, "bands"), "key", "left")
 
@@ -264,6 +174,6 @@ def quality_rules(docs: DataFrame, vocabularies: dict[str, str]) -> DataFrame:
         reach = own_band["reach"] * F.sqrt(F.greatest(F.lit(1.0), STEADY_TOKENS / F.greatest(F.col(f"{vocabulary}_tokens"), F.lit(1.0))))
         return F.when((value < own_band["q1"] - reach) | (value > own_band["q3"] + reach), F.lit(f"{vocabulary}_{name}"))
 
-    outside = F.array_compact(F.array(*(beyond(v, m) for v in vocabularies for m in MEASURES)))
+    outside = F.array_compact(F.array(*(beyond(v, m) for v in files for m in MEASURES)))
     out = joined.withColumn("outside", outside).withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0))
     return out.withColumnRenamed("key", "band").drop("bands", "digest")

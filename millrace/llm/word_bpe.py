@@ -11,7 +11,7 @@ from array import array
 from functools import lru_cache
 
 CACHE = 1_000_000  # entries; cleared when full, which costs time only
-LONG = 48  # characters; longer runs are not cached
+LONG = 48  # characters; longer texts are not cached
 
 # The file's white space is Unicode's White_Space; its alternatives, for plain runs, are fixed values.
 _SPACE = re.compile("[%s]+" % "".join(c for c in map(chr, range(0x3001)) if c.isspace() and not "\x1c" <= c <= "\x1f"))
@@ -26,58 +26,61 @@ class WordBPE:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         self.library = Tokenizer.from_file(path)
-        self._parts: dict[str, bytes] = {}
-        self._runs: dict[str, bytes] = {}
+        self._ids: dict[str, bytes] = {}  # of runs and of parts, since a part is a run with itself as its only part
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _part(self, text: str) -> bytes:
-        if (known := self._parts.get(text)) is None:
-            known = self._whole(text)
-            if len(text) <= LONG:
-                if len(self._parts) >= CACHE:
-                    self._parts.clear()
-                self._parts[text] = known
-        return known
+    def _kept(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= LONG:
+            if len(self._ids) >= CACHE:
+                self._ids.clear()
+            self._ids[text] = ids
+        return ids
 
-    def many(self, texts: list[str]) -> list[bytes]:
-        """encode() of each text, keeping parts but not runs: those that are not known go to the library together."""
-        split = [[_PARTS.findall(r.lower()) if _PLAIN.fullmatch(r) and "<|" not in r else r for r in (_SPACE.split(t) if _ODD.search(t) else t.split())] for t in texts]
-        parts = self._parts
-        if len(parts) >= CACHE:
-            parts.clear()
-        new = list({p for runs in split for r in runs if type(r) is list for p in r if p not in parts})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            parts.update(zip(some, (array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-        out = [b"".join([b"".join([parts[p] for p in r]) if type(r) is list else self._whole(r) for r in runs]) for runs in split]
-        for p in new:
-            if len(p) > LONG:
-                del parts[p]
-        return out
+    def _part(self, text: str) -> bytes:
+        known = self._ids.get(text)
+        return self._kept(text, self._whole(text)) if known is None else known
 
     def _run(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or "<|" in text:
-            known = self._whole(text)
-        else:
-            known = b"".join(map(self._part, _PARTS.findall(text.lower())))
-        if len(text) <= LONG:
-            if len(self._runs) >= CACHE:
-                self._runs.clear()
-            self._runs[text] = known
-        return known
+            return self._kept(text, self._whole(text))
+        parts = _PARTS.findall(text.lower())
+        if len(parts) == 1 and parts[0] == text:
+            return self._part(text)
+        return self._kept(text, b"".join(map(self._part, parts)))
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        return _SPACE.split(text) if _ODD.search(text) else text.split()
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids of a text; none for null."""
         if not text:
             return b""
-        runs = _SPACE.split(text) if _ODD.search(text) else text.split()
-        found = list(map(self._runs.get, runs))
+        runs = self._split(text)
+        found = list(map(self._ids.get, runs))
         if None in found:
             found = [self._run(r) if f is None else f for r, f in zip(runs, found, strict=True)]
         return b"".join(found)
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """encode() of each text, for short texts that don't come again: parts are kept, runs aren't, and parts that are
+        not known go to the library together."""
+        split = [[_PARTS.findall(r.lower()) if _PLAIN.fullmatch(r) and "<|" not in r else r for r in self._split(t)] for t in texts]
+        known = self._ids
+        if len(known) >= CACHE:
+            known.clear()
+        new = list({p for runs in split for r in runs if type(r) is list for p in r if p not in known})
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            known.update(zip(some, (array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+        out = [b"".join([b"".join([known[p] for p in r]) if type(r) is list else self._whole(r) for r in runs]) for runs in split]
+        for p in new:
+            if len(p) > LONG:
+                del known[p]
+        return out
+
 
 @lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBPE:

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import sentencepiece_codec as codec
 from millrace.llm.piece_bpe import piece_bpe
+from millrace.llm import word_bpe as word_bpe_module
 from millrace.llm.word_bpe import word_bpe
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -94,3 +95,13 @@ def test_words_as_the_library(words, text):
 @pytest.mark.parametrize("text", [None, "", " ", "<|endoftext|>", "a<|startoftext|>b", "It's we'll I'd '''s !'s", "ÉCOLE ß İ ŉ Σ ΑΣ", "á é"])
 def test_words_odd(words, text):
     assert np.frombuffer(word_bpe(WORDS).encode(text), "<u4").tolist() == words.encode(text or "", add_special_tokens=False).ids
+
+
+def test_many_words_at_once_as_one_by_one(words, monkeypatch):
+    texts = ["the", "The,", "it's!!", "  two words\n", "", "ÉCOLE", "<|endoftext|>", "x" * 100, "a\x1cb", "the", "日本語 thé"]
+    for size in (1_000_000, 2):
+        monkeypatch.setattr(word_bpe_module, "CACHE", size)
+        bpe = word_bpe_module.WordBPE(WORDS)
+        for _ in range(3):
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in bpe.many(texts)] == [words.encode(t, add_special_tokens=False).ids for t in texts]
+            assert [bpe.encode(t) for t in texts] == bpe.many(texts)

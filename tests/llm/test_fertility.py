@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import fertility as f
 from millrace.llm import queries
+from millrace.llm import vocabularies as v
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -170,8 +171,8 @@ def plain_verdicts(rows):
 
 
 def test_verdicts_against_a_plain_version(spark, monkeypatch):
-    monkeypatch.setattr(f, "BLOCK", 5000)
-    monkeypatch.setattr(f, "STEP", 300)
+    monkeypatch.setattr(v, "BLOCK", 5000)
+    monkeypatch.setattr(v, "STEP", 300)
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()]
     rows += [(10_000 + i, t, lang) for i, (_, t, lang, *_) in enumerate(ROWS)] + [(20_000 + i, t, None) for i, (_, t, _) in enumerate(rows[:40])]
     rows += [(30_000, "  two  spaces " + rows[0][1], "en"), (30_001, "▁ " + rows[1][1], "en"), (30_002, rows[2][1].replace(" ", "\u3000"), "en"), (30_003, rows[3][1].replace(" ", "\n"), "en")]
@@ -182,11 +183,11 @@ def test_verdicts_against_a_plain_version(spark, monkeypatch):
 
 def test_a_full_table_starts_anew(monkeypatch):
     texts = ["a b c d", "the mill grinds", "", "x" * 100 + " y", "  a  b ", "the mill grinds", "日本 語 z"]
-    whole = f.Vocabularies({"piece": PIECES, "word": WORDS}).measures(texts)
+    whole = f.measures(v.Vocabularies(PIECES, WORDS), texts)
     for size in (0, 1, 3, 10):
-        monkeypatch.setattr(f, "CACHE", size)
-        table = f.Vocabularies({"piece": PIECES, "word": WORDS})
-        found = [np.hstack(x) for x in zip(*(table.measures([t]) for t in texts), strict=True)]
+        monkeypatch.setattr(v, "CACHE", size)
+        table = v.Vocabularies(PIECES, WORDS)
+        found = [np.hstack(x) for x in zip(*(f.measures(table, [t]) for t in texts), strict=True)]
         assert all((a == b).all() for a, b in zip(found, whole, strict=True)) and len(table.number) <= size
 
 
