@@ -14,7 +14,12 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id and ids (array of int) of every row, without begin or end ids; null and empty texts have none."""
+    """doc_id and ids (array of int) of every row, without begin or end ids.
+
+    Null and empty texts have no ids. Very long texts are encoded as a whole, one at a time. There are no ties: a text has
+    one encoding, and repeated rows give repeated results. An empty table gives an empty result. Columns of docs other than
+    doc_id and text, whatever their names, are not looked at.
+    """
 
     def run(batches):
         bpe = piece_bpe(model_path)
@@ -26,7 +31,11 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
-    """doc_id and text of rows with doc_id and ids; null ids give an empty text."""
+    """doc_id and text of rows with doc_id and ids.
+
+    Null and empty ids give an empty text; of ids of any number the text is made as a whole. Repeated rows give repeated
+    results, an empty table an empty one. Columns other than doc_id and ids, whatever their names, are not looked at.
+    """
 
     def run(batches):
         bpe = piece_bpe(model_path)
@@ -42,7 +51,9 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
 
     Each text is encoded and its ids decoded again; the digests are those of the decimal ids joined by commas and of
     the decoded UTF-8. What is the same for a chunk wherever it stands is kept by chunk, ids and decoded text alike.
-    Null texts are as empty ones; repeated rows give repeated results; other columns are not looked at.
+    Null texts are as empty ones. Very long texts are read as a whole, one at a time. There are no ties: a text has one
+    encoding, and repeated rows give repeated results. An empty table gives an empty result. Columns of docs other than
+    doc_id and text, whatever their names, are not looked at.
     """
 
     def run(batches):

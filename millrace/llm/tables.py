@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HELD_OUT = 2  # documents whose crc32(doc_id as text) mod 4 is this take no part in learning
-SLICE_ROWS = 500  # rows whose texts are Python objects at a time
+SLICE_ROWS = 500  # rows whose texts are unpacked at a time
 BROADCAST_ROWS = 250_000  # rows of a few dozen bytes each that may be sent to every executor; beyond, Spark shuffles
 OVERDRAWN = 1.3  # times the bound of a sample that is drawn by id, before the bound is enforced by row
 
