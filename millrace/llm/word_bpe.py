@@ -2,8 +2,8 @@
 
 The file's normaliser and splitter never join text across white space, so a text's ids are those of its runs between
 white space one after another. A run of ASCII and Latin-1 letters is lower-cased and split here by the file's own
-alternatives, and each part's ids come from the library once; any other run goes to the library whole, as does a run
-with the string of a special token.
+alternatives, and each part's ids come once from the library's merges, without its normaliser and splitter; any other run
+goes to the library whole, as does a run with the string of a special token.
 """
 import os
 import re
@@ -18,6 +18,9 @@ _SPACE = re.compile("[%s]+" % "".join(c for c in map(chr, range(0x3001)) if c.is
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
 _PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
 _ODD = re.compile("[\x1c-\x1f]")  # white space to str.split only
+# Byte-level vocabularies spell a byte that isn't printable in Latin-1 as a character from 256 on, in order.
+_ODD_BYTES = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_SPELT = {b: 256 + i for i, b in enumerate(_ODD_BYTES)}
 
 
 class WordBPE:
@@ -26,11 +29,17 @@ class WordBPE:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         self.library = Tokenizer.from_file(path)
+        self._merges = self.library.model.tokenize
         self._ids: dict[str, bytes] = {}  # of runs and of parts, since a part is a run with itself as its only part
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _merged(self, part: str) -> bytes:
+        """Ids of a part of a plain run."""
+        spelt = part if part.isascii() else part.encode().decode("latin-1").translate(_SPELT)
+        return array("I", [t.id for t in self._merges(spelt)]).tobytes()
+
     def _kept(self, text: str, ids: bytes) -> bytes:
         if len(text) <= LONG:
             if len(self._ids) >= CACHE:
@@ -40,7 +49,7 @@ class WordBPE:
 
     def _part(self, text: str) -> bytes:
         known = self._ids.get(text)
-        return self._kept(text, self._whole(text)) if known is None else known
+        return self._kept(text, self._merged(text)) if known is None else known
 
     def _run(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or "<|" in text:
@@ -65,16 +74,13 @@ class WordBPE:
         return b"".join(found)
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """encode() of each text, for short texts that don't come again: parts are kept, runs aren't, and parts that are
-        not known go to the library together."""
+        """encode() of each text, for short texts that the caller keeps: parts are kept here, runs aren't."""
         split = [[_PARTS.findall(r.lower()) if _PLAIN.fullmatch(r) and "<|" not in r else r for r in self._split(t)] for t in texts]
         known = self._ids
         if len(known) >= CACHE:
             known.clear()
-        new = list({p for runs in split for r in runs if type(r) is list for p in r if p not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            known.update(zip(some, (array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+        new = {p for runs in split for r in runs if type(r) is list for p in r}.difference(known)
+        known.update((p, self._merged(p)) for p in new)
         out = [b"".join([b"".join([known[p] for p in r]) if type(r) is list else self._whole(r) for r in runs]) for runs in split]
         for p in new:
             if len(p) > LONG:
