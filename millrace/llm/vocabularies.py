@@ -12,7 +12,7 @@ import numpy as np
 
 from millrace.llm.word_bpe import word_bpe
 
-CACHE = 1_000_000  # chunks in a worker's table; it starts anew when full, which costs time only
+CACHE = 500_000  # chunks in a worker's table; it starts anew when full, which costs time only
 LONG = 48  # characters; longer chunks leave the table after their block
 BLOCK = 1 << 20  # characters of a block of texts, about
 STEP = 1 << 18  # chunks whose ids are gathered at once
