@@ -1,11 +1,11 @@
 """Toxicity by compression distance: two zstandard dictionaries, window lengths compared, calibrated thresholds.
 
 Learning, on a bounded sample of labelled rows, whole texts:
-- The ordinary dictionary is trained by zstandard on the windows of ordinary documents.
-- The toxic dictionary is trained by zstandard on words of toxic documents: on those that begin with what marks them.
-  A start of a word marks toxic documents if it stands after many different words there (so that copies of one document
-  don't count as evidence) and many times as often as in ordinary documents. Most words of a toxic document are ordinary,
-  and a dictionary of all of them says nothing of a window.
+- The ordinary dictionary is trained by zstandard on the words of ordinary documents.
+- The toxic dictionary is trained by zstandard on starts of words of toxic documents: on those that mark them, each as
+  often as it occurs. A start marks toxic documents if it stands after many different words there (so that copies of one
+  document don't count as evidence) and many times as often as in ordinary documents. Most words of a toxic document are
+  ordinary, and a dictionary of all of them says nothing of a window.
 - A window's two lengths are that with the ordinary dictionary and that with both, the toxic one before the ordinary one.
   Their difference says how much of the window only the toxic dictionary knows, and is no more than that: with either
   dictionary alone the lengths differ by how well each happens to know the ordinary words of a window, too.
@@ -17,6 +17,7 @@ Dictionaries are trained, and the sample's features made, in tasks; the driver s
 Scoring: each whole text is cut into windows, each compressed twice. The model is under 100 KB.
 """
 from collections import Counter, defaultdict
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,10 @@ TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000  # labelled rows learned from, at most
 SAMPLE_BYTES = 64 << 20  # of their texts, at most: a row that would go beyond is left out whole
 WINDOWS = (5, 8)  # words; the better is chosen with the thresholds
 LONGEST = 1024  # bytes of a window; longer ones are cut
-ORDINARY_BYTES = (8_192, 65_536)  # size of the ordinary dictionary, at most; the better is chosen
+ORDINARY_BYTES = (8_192, 32_768)  # size of the ordinary dictionary, at most; the better is chosen
 TOXIC_BYTES = 8_192
-SEGMENTS, REPEAT = (24, 40), 6  # of the trainer: bytes that it takes at once (the better is chosen), and of what it counts
+ORDINARY_WORDS = 400_000  # words that it is trained on, at most, evenly from whole texts
+SEGMENTS, ORDINARY_SEGMENT, REPEAT = (24, 40), 16, 6  # of the trainer: bytes that it takes at once (toxic: the better is chosen), and of what it counts
 STARTS = range(4, 10)  # bytes of a word's start, with the space before it
 LEAST_DOCS, LEAST_BEFORE, LEAST_SHARE = 2, 4, 0.006  # documents, different words before it, and share of both that a start needs
 RATIO = 15  # times as many different words before it, by the words of either class
@@ -119,9 +121,10 @@ def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
 def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[list[bytes], list[bytes]]:
     """The toxic dictionary for each of SEGMENTS, and the ordinary one for each of ORDINARY_BYTES."""
     marks = _marks(toxic, ordinary)
-    telling = [b" " + w + b" " for text in toxic for w in _words(text) if any(s in marks for s in _starts(w))]
-    plain = [w.removesuffix(TAIL) for text in ordinary for w in windows(text, max(WINDOWS))]
-    return [_trained(telling, TOXIC_BYTES, segment) for segment in SEGMENTS], [_trained(plain, size, SEGMENTS[-1]) for size in ORDINARY_BYTES]
+    telling = [max(own, key=len) for text in toxic for w in _words(text) if (own := [x for x in _starts(w) if x in marks])]
+    step = max(1, -(-sum(len(_words(text)) for text in ordinary) // ORDINARY_WORDS))
+    plain = [b" " + w + b" " for w in islice((w for text in ordinary for w in _words(text)), 0, None, step)]
+    return [_trained(telling, TOXIC_BYTES, segment) for segment in SEGMENTS], [_trained(plain, size, ORDINARY_SEGMENT) for size in ORDINARY_BYTES]
 
 
 class Distance:
