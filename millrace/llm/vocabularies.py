@@ -12,7 +12,8 @@ import numpy as np
 
 from millrace.llm.word_bpe import word_bpe
 
-CACHE = 500_000  # chunks in a worker's table; it starts anew when full, which costs time only
+CACHE = 500_000  # chunks in a worker's table; when it is full, others are encoded each time, which costs time only
+AGAIN = 4  # times as many others as that, and it starts anew, so that it follows the texts
 LONG = 48  # characters; longer chunks leave the table after their block
 BLOCK = 1 << 20  # characters of a block of texts, about
 STEP = 1 << 18  # chunks whose ids are gathered at once
@@ -39,6 +40,7 @@ class Vocabularies:
     def __init__(self, *paths: str):
         self.readers = [_pieces(p) if p.endswith(".model") else _words(p) for p in paths]
         self.number: dict[str, int] = {}
+        self.passed = 0
         self.ids = [array("I") for _ in self.readers]
         self.ends = [array("Q", [0]) for _ in self.readers]
 
@@ -66,13 +68,14 @@ class Vocabularies:
             words += own
             many.append(len(own))
         new = set(words).difference(self.number)
-        if len(self.number) + len(new) > CACHE:
+        if self.passed > AGAIN * CACHE:
             self._drop(list(self.number))
-            new = set(words)
-        short = [c for c in new if len(c) <= LONG][:CACHE]
+            self.passed, new = 0, set(words)
+        short = [c for c in new if len(c) <= LONG][: CACHE - len(self.number)]
         self._add(short)
         passing = list(new.difference(short)) if len(short) < len(new) else []
         self._add(passing)
+        self.passed += len(passing)
         at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         of_word = np.repeat(np.arange(len(texts)), many)
         # copies, as the arrays can't grow while something looks at them
