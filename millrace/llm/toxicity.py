@@ -233,6 +233,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.list_(pa.float64())), strict=True)], names=["kind", "label", "x"])
 
     features = rows.mapInArrow(run, "kind int, label int, x array<double>").collect()
+    if not features:  # all rows in one fold
+        return None
     best = None
     for kind, (i, j, window) in enumerate(kinds):
         own = sorted((r.x, r.label) for r in features if r.kind == kind)

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 import zstandard
 from support import ROWS, documents, empty
 
@@ -218,3 +219,17 @@ def test_dictionaries_of_very_few_texts():
     toxic, ordinary = t.train_dictionaries(["you idiot here"] * 2, ["plain words"])
     assert len(toxic) == len(t.SEGMENTS) and len(ordinary) == len(t.ORDINARY_BYTES)
     assert t.train_dictionaries([], []) == ([b""] * len(t.SEGMENTS), [b""] * len(t.ORDINARY_BYTES))
+
+
+@pytest.mark.parametrize("n", [2, 3, 5])
+def test_toxicity_of_very_few_labels(spark, n):
+    ids = [i for i in range(100) if not held(i)][: 2 * n]
+    docs = documents(spark, [(i, "you idiot word" if i % 2 else "plain word", "en", None, None) for i in range(100)])
+    out = t.toxicity(docs, labels_of(spark, [(i, 1, at % 2) for at, i in enumerate(ids)])).collect()
+    assert len(out) == 100 and all(0 <= r.score <= 1 for r in out)
+
+
+def test_toxicity_with_all_rows_in_one_fold(spark, monkeypatch):
+    monkeypatch.setattr(t, "FOLDS", 1)
+    docs, labels = corpus(40)
+    assert {r.score for r in t.toxicity(documents(spark, docs), labels_of(spark, labels)).collect()} == {0.0}
