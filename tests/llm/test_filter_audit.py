@@ -1,0 +1,128 @@
+"""The audit against a plain version, the scanner against Python's own words, odd rows."""
+import random
+from itertools import permutations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from support import LONG, documents, empty
+
+from millrace.llm import filter_audit as fa
+
+SPACES = "\t\n\x0b\x0c\r "
+
+
+def plain_words(text):
+    for c in SPACES[:-1]:
+        text = text.replace(c, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def plain_counts(text):
+    words = plain_words(text)
+    return [len(words), len(set(words)), sum("A" <= c <= "Z" for c in text), len(text), sum(c in "#$%&*|" for c in text)]
+
+
+def scanned(texts):
+    return fa.Scanner().scan(*fa.buffers(pa.array(texts, pa.string()))).tolist()
+
+
+ODD = ["", " ", "one", " one one\ttwo ", "Ünï 日本語 😀 Ünï   x y", "a\x00b a\x00b", "#$%&*| Z", "x" * 5000 + " " + "x" * 5000 + " " + "x" * 4999 + "y", "\n\n", "w" * 512 + " " + "w" * 513 + " " + "w" * 512, "abcdefgh abcdefg abcdefghi abcdefgh"]
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 64, 1 << 20])
+def test_scanner_against_plain_counts(monkeypatch, block):
+    monkeypatch.setattr(fa, "BLOCK", block)
+    rng = random.Random(1)
+    texts = ODD + ["".join(rng.choices("ab A#\nü", k=rng.randint(0, 60))) for _ in range(200)]
+    assert scanned(texts) == [plain_counts(t) for t in texts]
+
+
+def test_words_of_equal_hash_are_told_apart(monkeypatch):
+    scanner = fa.Scanner()
+    scanner.codes = np.ones(256, np.uint64)  # words of equal length have equal hashes
+    texts = ["ab cd ab ef cd", "a b a", "abc abd", ""]
+    assert scanner.scan(*fa.buffers(pa.array(texts)))[:, 1].tolist() == [3, 2, 2, 0]
+
+
+def test_buffers_of_slices():
+    column = pa.array(["aa", "b c", "", "D", "e#"])
+    found = fa.Scanner().scan(*fa.buffers(column.slice(1, 3))).tolist()
+    assert found == [plain_counts(t) for t in ("b c", "", "D")]
+    assert fa.Scanner().scan(*fa.buffers(pa.array(["x Y"], pa.large_string()))).tolist() == [plain_counts("x Y")]
+    assert fa.Scanner().scan(*fa.buffers(column.slice(0, 0))).tolist() == []
+
+
+def test_a_text_of_many_blocks():
+    text = LONG + " " + "y" * (3 << 20) + " " + "y" * (3 << 20) + " End#"
+    assert scanned(["a", text, "b B"]) == [plain_counts(t) for t in ("a", text, "b B")]
+
+
+def plain_audit(rows, labels):
+    failing = []
+    for doc, text, source in rows:
+        words, distinct, capitals, points, symbols = plain_counts(text or "")
+        same = [d for d, t, _ in rows if (t or "") == (text or "") and d is not None]
+        e = doc is not None and doc > min(same)
+        f = {x for x, c in zip("ABCDE", (words < 200, 100 * distinct < 50 * words, 100 * capitals > 2 * points, symbols > 0, e), strict=True) if c}
+        failing.append((source or "", f, any(d == doc and q == 1 for d, q, _ in labels), any(d == doc and t == 1 for d, _, t in labels)))
+    out = {}
+    for part in {p for p, *_ in failing}:
+        own = [x[1:] for x in failing if x[0] == part]
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = own
+            for step, x in enumerate(order, 1):
+                lost = [d for d in left if x in d[0]]
+                left = [d for d in left if x not in d[0]]
+                shapley[x] += len(lost)
+                fails = sum(x in f for f, *_ in own)
+                out[part, "".join(order), step] = [len(left), len(lost), fails - len(lost), sum(f == {x} for f, *_ in own), sum(g for _, g, _ in lost), sum(t for *_, t in lost)]
+        for (p, order, step), counts in out.items():
+            if p == part:
+                counts.append(shapley[order[step - 1]])
+    return out
+
+
+def got(df):
+    found = df.collect()
+    out = {(r.part, r.filter_order, r.step): [r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley] for r in found}
+    assert len(out) == len(found)
+    return out
+
+
+def corpus(n=150):
+    rng, rows = random.Random(3), []
+    for i in range(n):
+        words = [rng.choice(["ab", "Cd", "ef#", "the", f"w{rng.randrange(400)}", "ü"]) for _ in range(rng.choice([3, 150, 250, 600]))]
+        if rng.random() < 0.5:
+            words = [w.lower().replace("#", "") for w in words]
+        if rng.random() < 0.5:
+            words = [w + str(rng.randrange(300)) for w in words]
+        rows.append((i, " ".join(words), None, rng.choice(["s1", "s2", None, ""]), None))
+    rows += [(i + 1000 if i % 2 else -i, rows[i % 20][1], None, "s1", None) for i in range(60)]  # copies, a hot part
+    rows += [rows[3], rows[3], (None, rows[5][1], None, "s2", None), (None, "only null", None, "s2", None), (None, "only null", None, "s2", None), (7000, None, None, "s3", None), (7001, "", None, "s3", None), (7002, LONG, None, "s3", None)]
+    return rows
+
+
+def test_audit_against_a_plain_version(spark):
+    rows, rng = corpus(), random.Random(4)
+    labels = [(r[0], rng.choice([0, 1, None]), rng.choice([0, 1, None])) for r in rows if rng.random() < 0.6] + [(3, 1, 1), (3, 0, 0), (None, 1, 1), (99999, 1, 1)]
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = got(fa.audit(documents(spark, rows).repartition(5), known))
+    labels = [x for x in labels if x[0] is not None]
+    assert found == plain_audit([(r[0], r[1], r[3]) for r in rows], labels) and len(found) == 4 * 600
+
+
+def test_odd_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert fa.audit(empty(spark), none).count() == 0
+    found = got(fa.audit(documents(spark).drop("source"), none))
+    assert {p for p, *_ in found} == {""} and all(v[4:6] == [0, 0] for v in found.values())
+
+
+def test_a_hot_text_and_a_hot_part(spark):
+    rows = [(i, "the same text", None, "hot", None) for i in range(400)] + [(1000 + i, f"text {i}", None, f"s{i % 3}", None) for i in range(50)]
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    found = got(fa.audit(documents(spark, rows).repartition(8), none))
+    assert found["hot", "EABCD", 1][:4] == [1, 399, 0, 0] and found["hot", "AEBCD", 2][:3] == [0, 0, 399]
