@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, fertility, filter_audit, language_id, licenses, packing, quality, secret_scan, sentencepiece_codec, simhash, toxicity
+from millrace.llm import centroids, exact_dedup, fertility, filter_audit, language_id, licenses, packing, quality, secret_scan, sentencepiece_codec, simhash, toxicity
 from millrace.llm.tables import table, tokenizer
 
 
@@ -58,6 +58,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, cluster, distance, cluster_inertia, inertia and centroid_sha256 of every vector that is kept."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, seed=3, scale=1024, size=64).drop("centroid")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters keep, remove and lose, by part, order and step."""
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -74,11 +79,13 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_centroids": op12_centroids,
     "op13_filter_audit": op13_filter_audit,
 }
 
 SQL = {
     "op2_license_scan": licenses.sql(),
+    "op12_centroids": centroids.sql(),
     "op13_filter_audit": filter_audit.sql(),
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

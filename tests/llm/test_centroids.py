@@ -1,0 +1,107 @@
+"""Clusters against exact integers one by one, intervals against true values, odd rows."""
+import hashlib
+
+import numpy as np
+import pytest
+
+from millrace.llm import centroids as cl
+
+
+def table(spark, rows, extra=()):
+    names = ["cluster", "v", "x", "n", "distance", "inertia"] if extra else []
+    return spark.createDataFrame([(i, v, *["other"] * len(names)) for i, v in rows], ", ".join(["vec_id long", "embedding array<double>", *(f"{c} string" for c in names)]))
+
+
+def plain(rows, k=8, rounds=10, seed=3, size=64):
+    """Exact Python integers, vector by vector."""
+    kept = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows if v is not None and len(v) == size and all(x is not None and np.isfinite(x) for x in v)]
+    named = sorted(((hashlib.sha256(f"{seed}:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None))
+    c = [list(v) for _, v in named[:k]]
+    if not c:
+        return []
+    distance = lambda v, m: sum((a - b) ** 2 for a, b in zip(v, m, strict=True))
+    pick = lambda v: min(range(len(c)), key=lambda j: (distance(v, c[j]), j))
+    for _ in range(rounds):
+        own = [pick(v) for _, v in kept]
+        for j in set(own):
+            mine = [v for (_, v), o in zip(kept, own, strict=True) if o == j]
+            c[j] = [sum(x) // len(mine) for x in zip(*mine, strict=True)]
+    found = [(i, pick(v), v) for i, v in kept]
+    out = [(i, j, distance(v, c[j])) for i, j, v in found]
+    total = lambda j: sum(d for _, o, d in out if j is None or o == j)
+    return sorted(((i, j, d, total(j), total(None), hashlib.sha256(",".join(map(str, c[j])).encode()).hexdigest()) for i, j, d in out), key=str)
+
+
+def got(df):
+    return sorted(((r.vec_id, r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid_sha256) for r in df.collect()), key=str)
+
+
+def some(n, seed=0, size=64, spread=1.0):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(5, size))
+    return [(int(i), (middles[rng.integers(5)] + spread * rng.normal(size=size)).tolist()) for i in range(n)]
+
+
+def test_against_exact_integers(spark):
+    rows = some(150)
+    assert got(cl.cluster(table(spark, rows).repartition(5))) == plain(rows)
+
+
+def test_ties_and_odd_rows(spark):
+    rows = [(i, [float((i * 7 + j) % 3) / 1024 for j in range(64)]) for i in range(60)]  # many equal distances
+    rows += [(5, rows[5][1]), (5, rows[6][1]), (None, rows[7][1]), (100, None), (101, []), (102, [1.0] * 63), (103, [1.0] * 65), (104, [None] + [1.0] * 63), (105, [float("nan")] * 64), (106, [float("inf")] + [0.0] * 63), (107, [float("-inf")] + [0.0] * 63), (108, [-0.0004] * 64)]
+    found = got(cl.cluster(table(spark, rows, extra=True)))
+    assert found == plain(rows) and len(found) == 64
+
+
+def test_few_and_no_vectors(spark):
+    rows = some(3)
+    assert got(cl.cluster(table(spark, rows))) == plain(rows)
+    assert cl.cluster(table(spark, [])).count() == 0
+    assert cl.cluster(table(spark, [(None, [1.0] * 64)])).count() == 0
+
+
+def test_other_sizes(spark):
+    rows = some(90, 1, size=5)
+    found = got(cl.cluster(table(spark, rows), k=3, rounds=4, seed=9, size=5))
+    assert found == plain(rows, k=3, rounds=4, seed=9, size=5)
+
+
+def test_components_that_do_not_fit_are_an_error(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        cl.cluster(table(spark, [(1, [2e5] * 64)])).collect()
+
+
+def test_intervals_hold_the_true_values():
+    """Nearly equal distances at all sizes of components: whatever is screened out is farther in exact integers."""
+    rng = np.random.default_rng(2)
+    for size in (10, 1 << 12, 1 << 20, 1 << 26):
+        middle = rng.integers(-size, size, 64)
+        c = middle + rng.integers(-2, 3, (40, 64))
+        v = middle + rng.integers(-3, 4, (300, 64))
+        exact = np.array([[sum(int(a - b) ** 2 for a, b in zip(x, m, strict=True)) for m in c] for x in v])
+        left = cl.screened(v, c)
+        assert left[np.arange(len(v)), exact.argmin(axis=1)].all()
+        assert (cl.nearest(v, c) == exact.argmin(axis=1)).all()
+
+
+def test_screening_leaves_one_where_clusters_are_apart():
+    rng = np.random.default_rng(0)
+    c = rng.integers(-2000, 2000, (8, 64))
+    v = c[rng.integers(0, 8, 1000)] + rng.integers(-50, 50, (1000, 64))
+    assert (cl.screened(v, c).sum(axis=1) == 1).all()
+
+
+@pytest.mark.parametrize("cells", [1, 64, 70, 200, 1 << 20])
+def test_blocks_of_any_size(monkeypatch, cells):
+    rng = np.random.default_rng(1)
+    v, c = rng.integers(0, 2, (50, 4)), rng.integers(0, 2, (9, 4))  # most distances are equal
+    exact = ((v[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
+    monkeypatch.setattr(cl, "CELLS", cells)
+    assert (cl.nearest(v, c) == exact).all()
+
+
+def test_floor_below_zero(spark):
+    rows = [(0, [-1 / 1024] * 64), (1, [-2 / 1024] * 64), (2, [0.0] * 64)]
+    assert cl.cluster(table(spark, rows), k=1).first().centroid == [-1] * 64
+    assert cl.cluster(table(spark, rows[:2]), k=1).first().centroid == [-2] * 64
