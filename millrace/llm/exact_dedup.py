@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import numbered, stash, without
+from millrace.llm.tables import located, stash, without_rows
 
 MAX_SHARDS = 1 << 18
 SHARD_ROWS = 2000  # digests a shard and rows a lot, while MAX_SHARDS allows it
@@ -33,13 +33,11 @@ TRIES = 512  # pilots tried at once
 _SLOTS = "shard int, n int, pilots binary, digests binary, winners binary, sizes binary"
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id and digest (binary) of each row; a null text counts as empty."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(F.col("text")).alias("digest"))
-
-
-def _digest(text):
-    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+def digests(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id and digest (binary) of each row, and row: the column named so, or a number. A null text counts as empty."""
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest.alias("digest"), number.alias("row"))
 
 
 def history(rows: DataFrame) -> DataFrame:
@@ -138,7 +136,7 @@ def _find(rows: pa.Table, held: pa.Table) -> pa.Table:
 
 
 def look_up(rows: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
-    """doc_id, digest, member, winner and size of each of the numbered rows; the last two mean nothing where member is false."""
+    """row, doc_id, digest, member, winner and size of each of the rows; the last two mean nothing where member is false."""
     dealt = rows.withColumn("shard", _shard(shards))
     per_lot = F.lit(SHARD_ROWS) if shards < MAX_SHARDS else F.greatest(F.lit(SHARD_ROWS), F.max("n_slots"))
     counted = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows")).join(slots.select("shard", F.col("n").alias("n_slots")), "shard", "left")
@@ -146,7 +144,7 @@ def look_up(rows: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
     lots = F.broadcast(lots)
     left = dealt.join(lots, "shard").withColumn("lot", F.pmod(F.xxhash64("row"), F.col("lots")).cast("int")).drop("lots")
     right = slots.join(lots, "shard").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
-    return left.groupBy("shard", "lot").cogroup(right.groupBy("shard", "lot")).applyInArrow(_find, "row long, doc_id long, digest binary, member boolean, winner long, size long")
+    return left.groupBy("shard", "lot").cogroup(right.groupBy("shard", "lot")).applyInArrow(_find, f"row {rows.schema['row'].dataType.simpleString()}, doc_id long, digest binary, member boolean, winner long, size long")
 
 
 def _against(rows: DataFrame, past: DataFrame) -> DataFrame:
@@ -155,8 +153,10 @@ def _against(rows: DataFrame, past: DataFrame) -> DataFrame:
     return stash(look_up(rows, stash(slots, "slots"), shards), "lookups")
 
 
-def exact_dedup(docs: DataFrame, past: DataFrame | None = None) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and digest for every row of docs.
+def exact_dedup(docs: DataFrame, past: DataFrame | None = None, row: str | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, digest and row for every row of docs.
+
+    `row` names a column that tells rows apart, to be returned under that name; without it rows are numbered.
 
     `past` is a history of digests as `history` makes it; without one the history is that of docs, so that every row is
     a member. Against an older history, the winner of a member's group is the older one, which isn't in docs, and
@@ -167,9 +167,9 @@ def exact_dedup(docs: DataFrame, past: DataFrame | None = None) -> DataFrame:
     never wins over another; a group of null ids only has a null keep_id and kept is true, unless it is an older one. An
     empty table gives an empty result. Columns of docs other than doc_id and text, whatever their names, are not looked at.
     """
-    rows = stash(numbered(digests(docs)), "digests")
+    rows = stash(digests(docs, row), "digests")
     found = _against(rows, stash(history(rows) if past is None else past, "history"))
-    result = lambda df, kept: df.where("member").select("doc_id", "digest", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"))
+    result = lambda df, kept: df.where("member").select("row", "doc_id", "digest", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"))
     own = F.col("doc_id").eqNullSafe(F.col("winner"))
     if past is None:
         return result(found, own)
@@ -181,9 +181,10 @@ def exact_dedup(docs: DataFrame, past: DataFrame | None = None) -> DataFrame:
 def first_copies(docs: DataFrame) -> DataFrame:
     """Rows of docs, columns as they are, less each row that is an exact copy of the winner of its group.
 
-    The losers' ids are anti-joined with their digests, so that another text under the same doc_id stays. Rows without a
+    Losers are dropped by their place in docs' files, so texts stay where they are, however many are dropped. Rows without a
     doc_id stay. Nulls, empty and long texts, ties and repeated rows are as in `exact_dedup`: rows that repeat the
     winner's doc_id and text all stay. An empty table gives an empty result; other columns are kept and not looked at.
     """
-    losers = exact_dedup(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("id"), F.col("digest").alias("of")).distinct()
-    return without(docs, losers, lambda docs, losers: (docs["doc_id"] == losers["id"]) & (_digest(docs["text"]) == losers["of"]))
+    docs, place = located(docs)
+    losers = exact_dedup(docs, row=place).where("not kept and doc_id is not null").select(F.col("row").alias("place"))
+    return without_rows(docs, place, losers)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import held_out, slices
+from millrace.llm.tables import free_name, held_out, slices
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -198,7 +198,7 @@ def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     Nulls, empty and very long texts, ties and repeated rows are as in `language_id`, and every copy of a kept row stays.
     Without anything to learn from all rows go. An empty table gives an empty result; other columns are kept.
     """
-    lang, score = "_millrace_lang", "_millrace_score"
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     found = predict(docs, model or learn(docs), docs.columns, (lang, score))
     return found.where((F.col(lang) != UNDETERMINED) & (F.col(score) >= KEEP)).drop(lang, score)
 

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import centroids, exact_dedup, fertility, filter_audit, language_id, licenses, packing, quality, secret_scan, sentencepiece_codec, simhash, toxicity
+from millrace.llm import centroids, exact_dedup, fertility, filter_audit, language_id, licenses, line_dedup, packing, quality, secret_scan, sentencepiece_codec, simhash, toxicity
 from millrace.llm.tables import table, tokenizer
 
 
@@ -18,7 +18,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id (and kept) of every document."""
-    return simhash.near_dedup(table(spark, sf_dir, "documents"), width=4, distance=4)
+    return simhash.near_dedup(table(spark, sf_dir, "documents"), width=4, distance=4).drop("place")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped and kept_sha256 of every document."""
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"), least_length=40, least_documents=5)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, cluster, distance, cluster_inertia, inertia and centroid_sha256 of every vector that is kept."""
     return centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, seed=3, scale=1024, size=64).drop("centroid")
@@ -79,12 +85,14 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_line_dedup": op11_line_dedup,
     "op12_centroids": op12_centroids,
     "op13_filter_audit": op13_filter_audit,
 }
 
 SQL = {
     "op2_license_scan": licenses.sql(),
+    "op11_line_dedup": line_dedup.sql(),
     "op12_centroids": centroids.sql(),
     "op13_filter_audit": filter_audit.sql(),
     "op10_exact_dedup": """

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import slices, stash, without
+from millrace.llm.tables import located, slices, stash, without_rows
 
 SEED = 42
 BITS = 64
@@ -54,15 +54,16 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id and fp (signed long with the fingerprint's bits) of every row."""
+def fingerprints(docs: DataFrame, width: int = 4, place: str | None = None) -> DataFrame:
+    """doc_id and fp (signed long with the fingerprint's bits) of every row, and place: the binary column named so, or null."""
 
     def run(batches):
         for batch in slices(batches):
             found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], "<u8").view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), batch.column(2)], names=["doc_id", "fp", "place"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col(place) if place else F.lit(None).cast("binary")).alias("place"))
+    return rows.mapInArrow(run, "doc_id long, fp long, place binary")
 
 
 def block_keys(blocks: int, distance: int, within: int = (1 << BITS) - 1) -> list[int]:
@@ -199,8 +200,8 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and kept for every row.
+def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4, place: str | None = None) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id, kept and place (the column named so, or null) for every row.
 
     Null and wordless texts have fingerprint zero and link with one another. Very long texts are read as a whole, one at
     a time. Ties: equal fingerprints are one before anything is joined. Rows that repeat a doc_id each have their own
@@ -208,8 +209,8 @@ def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     component_id is null and kept is true. kept is true for the smallest doc_id of a component. An empty table gives an
     empty result. Columns of docs other than doc_id and text, whatever their names, are not looked at.
     """
-    rows = stash(fingerprints(docs, width), "fingerprints")
-    known = rows.where("doc_id is not null")
+    rows = stash(fingerprints(docs, width, place), "fingerprints")
+    known = rows.where("doc_id is not null").select("doc_id", "fp")
     reps = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "representatives")
     own = reps.where("rep is not null").select("fp", "rep")
     n, total = own.count(), reps.agg(F.sum("n")).first()[0] or 0
@@ -223,7 +224,7 @@ def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     beside = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), F.col("fp") == F.col("of"), "left").drop("of")
     cool = beside.where("hot is null").drop("hot", "component_id").join(placed.drop("n"), F.col("fp") == F.col("of")).drop("of")
     out = beside.where("hot").drop("hot").unionByName(cool).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "place"
     )
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -231,8 +232,10 @@ def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """Rows of docs, columns as they are, less each row that has a smaller doc_id in its component.
 
-    Rows without a doc_id stay, and rows that repeat the smallest doc_id all stay. Nulls, empty and long texts and ties are
-    as in `near_dedup`. An empty table gives an empty result; other columns are kept and not looked at.
+    Dropped rows go by their place in docs' files, so texts stay where they are, however many are dropped. Rows without a
+    doc_id stay, and rows that repeat the smallest doc_id all stay. Nulls, empty and long texts and ties are as in
+    `near_dedup`. An empty table gives an empty result; other columns are kept and not looked at.
     """
-    dropped = near_dedup(docs, width, distance).where("not kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
-    return without(docs, dropped, lambda docs, dropped: docs["doc_id"] == dropped["id"])
+    docs, place = located(docs)
+    dropped = near_dedup(docs, width, distance, place).where("not kept and doc_id is not null").select("place")
+    return without_rows(docs, place, dropped)

@@ -3,12 +3,14 @@ import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HELD_OUT = 2  # documents whose crc32(doc_id as text) mod 4 is this take no part in learning
 SLICE_ROWS = 500  # rows whose texts are unpacked at a time
-BROADCAST_ROWS = 250_000  # rows of a few dozen bytes each that may be sent to every executor; beyond, Spark shuffles
+BITMAPS = 8192  # of 4 KB each that may be sent to every executor at once
+MOST_GROUPS = 1024  # of files, each with its bitmaps
 OVERDRAWN = 1.3  # times the bound of a sample that is drawn by id, before the bound is enforced by row
 
 _made: list[str] = []  # folders that stash() wrote and discard() has not deleted yet
@@ -38,14 +40,28 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stash_sorted(df: DataFrame, label: str, keys: list[str], buckets: int) -> DataFrame:
+    """`df` written in `buckets` by `keys`, each sorted by them, and read back: joins of such tables by these keys shuffle neither.
+
+    The table is in the session's catalog, under a name of its own, with its files in the shared folder.
+    """
+    spark, name = df.sparkSession, f"millrace_{label}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    _made.append(path)
+    return spark.table(name)
+
+
 def stashed() -> list[str]:
-    """The folders that stash() wrote so far and that are still there, in order."""
+    """The folders that stash() and stash_sorted() wrote so far and that are still there, in order."""
     return list(_made)
 
 
 def discard(spark: SparkSession, paths: list[str] | None = None) -> None:
     """Deletes stashed tables (all by default). Results that still read one must be written or collected before."""
     for path in stashed() if paths is None else paths:
+        if (name := path.rpartition("/")[2]).startswith("millrace_"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
         if path in _made:
@@ -64,15 +80,70 @@ def slices(batches, rows: int = SLICE_ROWS):
             yield batch.slice(at, rows)
 
 
-def without(docs: DataFrame, dropped: DataFrame, same) -> DataFrame:
-    """Rows of docs that no row of `dropped` matches; same(docs, dropped) is the condition.
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that df doesn't have."""
+    while wanted.lower() in (c.lower() for c in df.columns):
+        wanted += "_"
+    return wanted
+
 
-    `dropped` is stashed and counted: up to BROADCAST_ROWS rows go to every executor and the texts of docs stay where
-    they are; beyond that Spark chooses, which shuffles docs.
+def located(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column of each row's place, and that column's name: 16 bytes of its file's path, 8 of the row's number in it.
+
+    The place of a row is the same whenever its file is read. docs must have rows that stem from one row of a Parquet file
+    each, as a scan with filters and selections has; another frame is written to the shared folder first.
+    """
+    try:
+        file = docs.metadataColumn("_metadata")
+        docs.select(file["row_index"])
+    except AnalysisException:
+        docs = stash(docs, "documents")
+        file = docs.metadataColumn("_metadata")
+    name = free_name(docs, "place")
+    return docs.withColumn(name, F.concat(F.unhex(F.md5(file["file_path"])), F.unhex(F.lpad(F.hex(file["row_index"]), 16, "0")))), name
+
+
+def bitmaps(rows: DataFrame) -> DataFrame:
+    """file, bucket and bits: which rows of a file are among `rows` (place), 32,768 rows a bitmap of 4 KB."""
+    number = F.conv(F.hex(F.substring("place", 17, 8)), 16, 10).cast("long") + 1  # these functions count from 1
+    of = rows.select(F.substring("place", 1, 16).alias("file"), number.alias("number"))
+    of = of.select("file", F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").alias("bit"))
+    return of.groupBy("file", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def marked(docs: DataFrame, place: str, rows: DataFrame, name: str) -> DataFrame:
+    """docs with a boolean column `name`: whether the row's place is among `rows` (place). Texts stay where they are.
+
+    Bitmaps go to the tasks that read their files. They are stashed and counted: where they are more than BITMAPS, files
+    are dealt to as many groups as it takes for none to have more (than the largest file alone, if that is more), and each
+    group is a scan of its own files, joined with its own bitmaps only.
     """
-    dropped = stash(dropped, "dropped")
-    few = dropped.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(dropped) if few else dropped, same(docs, dropped), "left_anti")
+    held = stash(bitmaps(rows), "bitmaps")
+    group = lambda file, n: F.pmod(F.xxhash64(file), F.lit(n))
+    most = lambda by: held.groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    groups, bound = 1, max(BITMAPS, most(F.col("file")))
+    while most(group(F.col("file"), groups)) > bound and groups < MOST_GROUPS:
+        groups *= 2
+    file = F.substring(F.col(place), 1, 16)
+    number = F.conv(F.hex(F.substring(F.col(place), 17, 8)), 16, 10).cast("long") + 1
+    position = F.bitmap_bit_position(number)
+    out = None
+    for g in range(groups):
+        own, bits = docs, held.select(F.col("file").alias(f"{place}f"), F.col("bucket").alias(f"{place}b"), F.col("bits").alias(f"{place}x"))
+        if groups > 1:  # a condition on the path alone: Spark leaves out the other files
+            own = docs.where(group(F.unhex(F.md5(docs.metadataColumn("_metadata")["file_path"])), groups) == g)
+            bits = bits.where(group(F.col(f"{place}f"), groups) == g)
+        own = own.join(F.broadcast(bits), (file == F.col(f"{place}f")) & (F.bitmap_bucket_number(number) == F.col(f"{place}b")), "left")
+        byte = F.conv(F.hex(F.substring(F.col(f"{place}x"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        own = own.withColumn(name, F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))).drop(f"{place}f", f"{place}b", f"{place}x")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def without_rows(docs: DataFrame, place: str, rows: DataFrame) -> DataFrame:
+    """docs, without the column `place`, less the rows whose place is among `rows` (place)."""
+    name = free_name(docs, "marked")
+    return marked(docs, place, rows, name).where(~F.col(name)).drop(name, place)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -1,7 +1,7 @@
 """Odd documents for every operator: nulls in each column, empty and very long texts, ties, repeated rows, clashing names."""
 from pyspark.sql import types as T
 
-CLASHING = ["digest", "winner", "size", "shard", "lot", "member", "fp", "rep", "key", "g", "u", "v", "low", "high", "id", "component", "score", "kept", "path", "start", "length", "lang_pred", "slot", "n", "held_out", "ids"]
+CLASHING = ["digest", "winner", "size", "shard", "lot", "member", "fp", "rep", "key", "g", "u", "v", "low", "high", "id", "component", "score", "kept", "path", "start", "length", "lang_pred", "slot", "n", "held_out", "ids", "path_", "_millrace_lang", "_millrace_score", "place", "marked", "placef", "row", "file", "bucket", "bits", "h1", "h2", "line", "loses", "drop", "part", "mask", "words"]
 
 WORDS = "the river runs past a quiet mill where grain is ground for bread and every morning the miller opens the gate".split()
 LONG = " ".join(WORDS[(i * i + 3 * i) % len(WORDS)] + str(i % 977) for i in range(60_000))

@@ -51,7 +51,7 @@ def test_hot_text_of_equal_ids_over_many_lots(spark, ids, monkeypatch):
     docs = [(None if ids != "one id" else 5, "hot", None, None, None)] * n + [(i, f"text {i}", None, None, None) for i in range(50)]
     if ids == "null but one":
         docs.append((999, "hot", None, None, None))
-    rows = e.stash(e.numbered(e.digests(documents(spark, docs, clashing=False).repartition(8))), "test")
+    rows = e.stash(e.digests(documents(spark, docs, clashing=False).repartition(8)), "test")
     past = e.stash(e.history(rows), "test")
     slots, shards = e.build_slots(past, past.count())
     find = e._find
@@ -91,13 +91,14 @@ def test_filter_keeps_columns_and_rows_without_id(spark):
     assert sorted([r.doc_id for r in out.collect()], key=str) == sorted([3, 2, 4, 5, 5, 6, 7, 9, None, None, 10, 11], key=str)
 
 
-@pytest.mark.parametrize("most", [0, 1000])
-def test_filter_with_few_and_many_losers(spark, monkeypatch, most):
-    """A list of losers is sent to every executor only while it is short; both ways give the same rows."""
-    monkeypatch.setattr(tables, "BROADCAST_ROWS", most)
+@pytest.mark.parametrize("most", [1, 8192])
+def test_filter_shuffles_no_text(spark, monkeypatch, most):
+    """However many rows are dropped, bitmaps of their places go to the files."""
+    monkeypatch.setattr(tables, "BITMAPS", most)
     rows = [(i, f"text {i % 50}", None, None, None) for i in range(200)]
-    out = e.first_copies(documents(spark, rows))
-    assert ("BroadcastExchange" in out._jdf.queryExecution().executedPlan().toString()) or most == 0
+    out = e.first_copies(documents(spark, rows).repartition(6))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan and (plan.count("BroadcastExchange") > 1) == (most == 1)
     assert sorted(r.doc_id for r in out.collect()) == list(range(150, 200))
 
 

@@ -56,3 +56,19 @@ def test_session_settings_stay_as_they_were(spark):
     for name in ("op3_simhash", "op5_secret_scan", "op8_language_id"):
         queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
     assert {r.key: r.value for r in spark.sql("SET").collect()} == before
+
+
+@pytest.mark.parametrize("most", [1, 8192])
+def test_marked_rows_by_place(spark, monkeypatch, most, tmp_path):
+    """Rows are told by file and number, in as many groups of files as it takes; row numbers beyond a bitmap too."""
+    monkeypatch.setattr(tables, "BITMAPS", most)
+    spark.range(0, 200_000, 1, 3).selectExpr("id as doc_id", "id % 7 as text").write.parquet(str(tmp_path / "t"))
+    docs, place = tables.located(spark.read.parquet(str(tmp_path / "t")))
+    out = tables.without_rows(docs, place, docs.where("doc_id % 5 = 0 and doc_id > 70000").select(tables.F.col(place).alias("place")))
+    assert out.columns == ["doc_id", "text"] and sorted(r.doc_id for r in out.collect()) == [i for i in range(200_000) if i % 5 or i <= 70_000]
+
+
+def test_places_of_rows_without_files(spark):
+    docs, place = tables.located(spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "doc_id long, place string"))
+    assert place == "place_" and len({bytes(r[place]) for r in docs.collect()}) == 3
+    assert tables.without_rows(docs, place, docs.where("false").select(tables.F.col(place).alias("place"))).count() == 3
