@@ -1,8 +1,8 @@
 """Language ID by multinomial naive Bayes over hashed character n-grams.
 
 Learning: a bounded sample of labelled rows, whole texts, is hashed on the executors into sparse counts (language, slot,
-count), which are summed in the JVM before at most SLOTS rows a language reach the driver. The model is a matrix of
-log-probabilities, SLOTS by languages; MOST_LANGUAGES bounds the broadcast, and more labels than that are an error.
+count), which are summed in the JVM and laid out as parts of a matrix in tasks; the driver puts these together. The model is
+a matrix of log-probabilities, SLOTS by languages; MOST_LANGUAGES bounds the broadcast, more labels than that are an error.
 
 Scoring: texts are laid end to end as code points, letters lower-cased and everything else a space, in blocks of bounded
 size; a text that is longer than a block goes on in the next one, with as many characters more as its last n-grams need.
@@ -16,15 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import free_name, held_out, slices
+from millrace.llm.tables import bottom, free_name, held_out, overdrawn, share, slices
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3)
-SAMPLE_ROWS = 20_000  # labelled rows learned from, about, shared by the languages
+SAMPLE_ROWS = 20_000  # labelled rows learned from, at most, shared by the languages
 MOST_LANGUAGES = 1024  # labels that a model may have: a broadcast of 256 MB
 BLOCK = 1 << 17  # code points hashed at once
 CELLS = 1 << 22  # of the product of the two matrices, computed at once
 STEADY = 60.0  # n-grams that count in full towards the score; longer texts are scored by their mean
+PART = 1 << 10  # slots of the matrix that one task lays out
 UNDETERMINED = "und"
 KEEP = 0.5  # least score of a document that `identified` keeps
 
@@ -144,29 +145,43 @@ class Model:
         return [self.langs[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)], np.where(known, share, 0.0).tolist()
 
 
+def matrix(found: DataFrame, langs: list[str]) -> np.ndarray:
+    """Counts (lang, slot, n) as a matrix, slots by languages: parts of it are laid out in tasks, the driver puts them together."""
+    number = {lang: i for i, lang in enumerate(langs)}
+
+    def lay(rows: pa.Table) -> pa.Table:
+        slot, part = rows["slot"].to_numpy(), np.zeros((PART, len(langs)), np.float32)
+        part[slot % PART, [number[lang] for lang in rows["lang"].to_pylist()]] = rows["n"].to_numpy()
+        return pa.table({"part": pa.array([slot[0] // PART], pa.int32()), "cells": pa.array([part.tobytes()], pa.binary())})
+
+    out = np.zeros((SLOTS, len(langs)), np.float32)
+    for r in found.groupBy(F.floor(F.col("slot") / PART)).applyInArrow(lay, "part int, cells binary").toLocalIterator():
+        out[r.part * PART : (r.part + 1) * PART] = np.frombuffer(r.cells, np.float32).reshape(PART, -1)
+    return out
+
+
 def learn(docs: DataFrame) -> Model:
-    """Model from rows with a language that are not held out, SAMPLE_ROWS of them, about, each language with its share.
+    """Model from rows with a language that are not held out, SAMPLE_ROWS of them at most, each language with its share.
 
-    Rows are drawn by a hash of doc_id and text, whole: rows that repeat both are drawn together. A language whose texts
-    have no letter isn't learned. More than MOST_LANGUAGES labels raise a ValueError.
+    Rows are taken whole, by the least hashes of doc_id and text, rows that repeat both counting once (`tables.bottom`). A
+    language whose texts have no letter isn't learned. More than MOST_LANGUAGES labels raise a ValueError.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where("lang is not null and lang <> 'und'").where(~F.coalesce(held_out(), F.lit(False)))
-    by_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
-    langs = sorted(r.lang for r in by_lang)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("label"))
+    rows = rows.where("label is not null and label <> 'und'").where(~F.coalesce(held_out(), F.lit(False)))
+    # about how many rows there are, however often one of them repeats
+    n = F.approx_count_distinct("doc_id") + F.count_if(F.col("doc_id").isNull())
+    by_lang = rows.groupBy("label").agg(n.alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    langs = sorted(r.label for r in by_lang)
     if len(langs) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages in lang")
     if not langs:
         return Model([], np.zeros((SLOTS, 0), np.float32))
     # each language has a share of the bound, so that rare ones are learned in full
-    share = {r.lang: min(1.0, SAMPLE_ROWS / len(langs) / r.n) for r in by_lang}
-    shares = docs.sparkSession.createDataFrame(list(share.items()), "of string, share double")
-    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = rows.where("text is not null").join(F.broadcast(shares), F.col("lang") == F.col("of")).where(chance < F.col("share"))
-    n = np.zeros((SLOTS, len(langs)), np.float32)
-    number = {lang: i for i, lang in enumerate(langs)}
-    for r in counts(drawn).toLocalIterator():
-        n[r.slot, number[r.lang]] = r.n
+    bound = max(1, SAMPLE_ROWS // len(langs))
+    shares = docs.sparkSession.createDataFrame([(r.label, overdrawn(bound, r.n)) for r in by_lang], "of string, share double")
+    drawn = rows.where("text is not null").join(F.broadcast(shares), F.col("label") == F.col("of")).where(share("doc_id", "text") < F.col("share"))
+    sampled = bottom(drawn.select("doc_id", "text", "label"), dict.fromkeys(langs, bound))
+    n = matrix(counts(sampled.withColumnRenamed("label", "lang")), langs)
     seen = n.any(axis=0)  # a language of texts without a letter teaches nothing
     if not seen.all():
         langs, n = [lang for lang, s in zip(langs, seen, strict=True) if s], n[:, seen]

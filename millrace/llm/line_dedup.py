@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import located, marked, slices, stash, stash_sorted
+from millrace.llm.tables import file_group, located, marked, slices, stash, stash_sorted
 
 FANOUT = 3
 COMMON = 250_000  # common keys of a batch, of 32 bytes each, that are sent to every task
@@ -189,14 +189,13 @@ def line_dedup(docs: DataFrame, least_length: int = 40, least_documents: int = 5
     Columns of docs other than doc_id and text, whatever their names, are not looked at.
     """
     docs, place = located(docs.select("doc_id", "text"))
-    docs = _read(docs, place)
-    group = F.pmod(F.xxhash64(F.substring("place", 1, 16)), F.lit(batches))
+    group = file_group(docs, batches)
     runs, parts = LineRuns(docs.sparkSession), []
     for g in sorted(r.g for r in docs.select(group.alias("g")).distinct().collect()):
-        own = docs.where(group == g)
+        own = _read(docs.where(group == g), place)
         parts.append((own, runs.add(batch_keys(own, least_length))))
     if not parts:
-        return docs.mapInArrow(lambda batches: iter(()), _RESULT)
+        return _read(docs, place).mapInArrow(lambda batches: iter(()), _RESULT)
     common, out = runs.common(least_documents), None
     for own, batch in parts:
         mine = stash(batch.join(common.withColumnRenamed("winner", "keeps"), HASH).where("keeps is not null").select(*HASH, F.col("keeps").alias("winner")), "batch-common")

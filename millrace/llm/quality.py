@@ -3,13 +3,14 @@
 Views:
 - text: byte shares, transitions between kinds of characters, and repetition of words and lines, of the whole text;
 - metadata: source, language, length and layout (lines, their lengths), nothing of what the text says.
-Each view has a logistic model. In each round a model, calibrated on labelled rows that neither learns from, labels those
-rows of an unlabelled pool that it is surest of, as many of either class as the labelled rows' proportion asks for. These
-join the other model's rows if its loss on the calibration rows doesn't grow by them. At last each model is calibrated
-on those rows, and a logistic model of the two calibrated log-odds combines them.
-
-Fitting takes a bounded sample of labelled rows and a bounded pool; both bounds are parameters. Features of sampled rows
-are made on the executors. Scoring covers all rows and whole texts in one pass, without a shuffle.
+Each view has a logistic model. In each round every unlabelled document of the corpus is scored by both models, calibrated
+on labelled rows that neither learns from. Each model labels the documents that it is surest of, as many of either class as
+the labelled rows' proportion asks for; tasks find their surest ones, and the surest of all tasks are taken. These join the
+other model's rows if its loss on the calibration rows doesn't grow by them. At last each model is calibrated on those rows,
+and a logistic model of the two calibrated log-odds combines them.
+
+Texts are read once: a document's two views are 824 bytes of 16-bit floats, written to the shared folder. Rounds and scoring
+read these. The fit takes a bounded sample of labelled rows, and a bounded number of pseudo-labels a round.
 """
 import zlib
 
@@ -18,13 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import held_out, sample, slices, unlabelled
+from millrace.llm.tables import free_name, held_out, located, marked, sample, slices, stash
 
 LABELLED_ROWS = 6000  # of either class together, at most
-POOL_ROWS = 4000  # unlabelled rows, at most
 ROUNDS = 4
 UNSURE = 0.1  # greatest calibrated chance that a pseudo-label is wrong
-EACH_ROUND = 0.1  # of the pool, at most, gets pseudo-labels from a view in a round
+EACH_ROUND = 400  # pseudo-labels that a view gives in a round, at most: the surest of the whole corpus
 KEEP = 0.5
 SOURCES, LANGS = 64, 16  # slots for hashed names
 
@@ -74,17 +74,22 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *other)
 
 
-def views(rows: DataFrame, *keep: str) -> DataFrame:
-    """doc_id, text_view and meta_view (32-bit floats as bytes) of rows from _read, with the columns `keep`."""
+def views(rows: DataFrame) -> DataFrame:
+    """doc_id and view (text view and metadata view, 16-bit floats as bytes) of rows from _read."""
 
     def run(batches):
         for batch in slices(batches):
             texts, sources, langs = ([x for x in batch.column(c).to_pylist()] for c in ("text", "source", "lang"))
-            a = [text_view(t or "").tobytes() for t in texts]
-            b = [meta_view(s, lang, t or "").tobytes() for s, lang, t in zip(sources, langs, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(a, pa.binary()), pa.array(b, pa.binary()), *(batch.column(k) for k in keep)], names=["doc_id", "text_view", "meta_view", *keep])
+            both = [np.concatenate((text_view(t or ""), meta_view(s, lang, t or ""))).astype("<f2").tobytes() for t, s, lang in zip(texts, sources, langs, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(both, pa.binary())], names=["doc_id", "view"])
+
+    return rows.mapInArrow(run, "doc_id long, view binary")
+
 
-    return rows.mapInArrow(run, ", ".join(["doc_id long, text_view binary, meta_view binary", *(f"{k} int" for k in keep)]))
+def unpacked(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Text views and metadata views, a row each."""
+    both = np.frombuffer(b"".join(found), "<f2").reshape(-1, TEXT_SIZE + META_SIZE).astype(np.float32)
+    return both[:, :TEXT_SIZE], both[:, TEXT_SIZE:]
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 25) -> np.ndarray:
@@ -119,40 +124,88 @@ def _loss(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return float(np.logaddexp(0, np.where(y > 0, -odds, odds)).mean())
 
 
+def surest(found, models, want: dict[int, int], error: dict[int, float], taken: set[int]) -> list[tuple]:
+    """(view, label, wrong, code, both views) of the rows that each view's calibrated model is surest of, want[label] of each label at most.
+
+    found gives (codes, both views as bytes) of some rows at a time. wrong is the calibrated chance of error, at most
+    error[label]. Rows of equal code are one; those in `taken` are left out. Ties go to the smaller code.
+    """
+    best: dict = {}
+    for codes, both in found:
+        parts, codes = unpacked(both), np.array(codes, np.int64)
+        free = np.array([c not in taken for c in codes.tolist()], bool)
+        for view, (w, slope) in enumerate(models):
+            p = _share(_calibrated(parts[view], w, slope))
+            for label, n in want.items():
+                wrong = np.round(1 - p if label else p, 9)
+                at = np.flatnonzero(free & (wrong <= error[label]))
+                at = at[np.lexsort((codes[at], wrong[at]))]
+                at = at[np.sort(np.unique(codes[at], return_index=True)[1])][:n]
+                own = best.get((view, label), {}) | {int(codes[i]): (float(wrong[i]), both[i]) for i in at}
+                best[view, label] = dict(sorted(own.items(), key=lambda x: (x[1][0], x[0]))[:n])
+    return [(view, label, wrong, code, both) for (view, label), own in best.items() for code, (wrong, both) in own.items()]
+
+
+class Pool:
+    """The unlabelled rows of a table of views."""
+
+    def __init__(self, found: DataFrame, known: DataFrame):
+        """`found` is a stashed table of doc_id and view; `known` has the doc_ids that have a label."""
+        rows, place = located(found)
+        name = free_name(rows, "labelled")
+        labelled = rows.select("doc_id", F.col(place).alias("place")).join(known.select("doc_id"), "doc_id").select("place")
+        self.rows = marked(rows, place, labelled, name).where(~F.col(name)).select(F.xxhash64("view").alias("code"), "view")
+
+    def surest(self, models, want, error, taken) -> list[tuple]:
+        """`surest` of all rows: tasks find theirs, and of these the surest are taken."""
+
+        def run(batches):
+            found = surest(((b.column(0).to_pylist(), b.column(1).to_pylist()) for b in slices(batches)), models, want, error, taken)
+            columns = list(zip(*found, strict=True)) or [()] * 5
+            kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["view", "label", "wrong", "code", "both"])
+
+        found = stash(self.rows.mapInArrow(run, "view int, label int, wrong double, code long, both binary"), "surest")
+        out = []
+        for view in range(len(models)):
+            for label, n in want.items():
+                own = found.where((F.col("view") == view) & (F.col("label") == label)).groupBy("code").agg(F.min("wrong").alias("wrong"), F.first("both").alias("both"))
+                out += [(view, label, r.wrong, r.code, bytes(r.both)) for r in own.orderBy("wrong", "code").limit(n).collect()]
+        return out
+
+
 def co_train(x, y: np.ndarray, pool, rest, rest_y: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
     """Weights of the two views' models after ROUNDS exchanges of pseudo-labels, and the labels each view took over.
 
-    x, pool and rest hold both views' rows. In a round each view's model is calibrated on `rest`, and offers the other
-    view the labels of up to EACH_ROUND of the pool, as many of either class as the labelled rows' proportion asks for,
-    surest first. It is sure where its calibrated chance of error is at most UNSURE, and at most a fifth of that of always
-    saying this label: a view that can't tell good from bad offers none. The other view takes them over if its loss on
-    `rest` doesn't grow by them; else they stay in the pool.
+    x and rest hold both views' rows; pool.surest finds the rows of the corpus that views are surest of. In a round each
+    view's model is calibrated on `rest`, and offers the other view the labels of up to EACH_ROUND rows, as many of either
+    class as the labelled rows' proportion asks for. It is sure where its calibrated chance of error is at most UNSURE,
+    and at most a fifth of that of always saying this label: a view that can't tell good from bad offers none. The other
+    view takes them over if its loss on `rest` doesn't grow by them; else they stay in the pool.
     """
-    own, taken = [(v, y) for v in x], [0, 0]
+    own, count = [(v, y) for v in x], [0, 0]
     w = [_fit(*rows) for rows in own]
     loss = [_loss(rest[view], rest_y, w[view]) for view in (0, 1)]
-    free, good = np.ones(len(pool[0]), bool), float(y.mean())
-    want = {1: round(EACH_ROUND * len(free) * good), 0: round(EACH_ROUND * len(free) * (1 - good))}
+    good, taken = float(y.mean()), set()
+    want = {1: round(EACH_ROUND * good), 0: round(EACH_ROUND * (1 - good))}
     error = {1: min(UNSURE, (1 - good) / 5), 0: min(UNSURE, good / 5)}
     for _ in range(ROUNDS):
-        offers = []
-        for view in (0, 1):
-            p, chosen = _share(_calibrated(pool[view], w[view], _fit(_odds(rest[view], w[view])[:, None], rest_y))), []
-            for label, n in want.items():
-                wrong = np.where(free, 1 - p if label else p, 2.0)
-                chosen += [(i, label) for i in np.argsort(wrong, kind="stable")[:n] if wrong[i] <= error[label]]
-            offers.append(chosen)
-        for view, chosen in ((1, offers[0]), (0, offers[1])):
-            chosen = [(i, label) for i, label in chosen if free[i]]
+        found = pool.surest([(w[v], _fit(_odds(rest[v], w[v])[:, None], rest_y)) for v in (0, 1)], want, error, taken)
+        moved = False
+        for view in (1, 0):
+            chosen = [(label, code, both) for by, label, _, code, both in found if by != view and code not in taken]
             if chosen:
-                at, labels = (np.array(c) for c in zip(*chosen, strict=True))
-                more = np.vstack([own[view][0], pool[view][at]]), np.append(own[view][1], labels)
+                labels, codes, both = zip(*chosen, strict=True)
+                more = np.vstack([own[view][0], unpacked(both)[view]]), np.append(own[view][1], labels)
                 after = _fit(*more)
                 if (now := _loss(rest[view], rest_y, after)) <= loss[view]:
                     own[view], w[view], loss[view] = more, after, now
-                    taken[view] += len(at)
-                    free[at] = False
-    return w, taken
+                    count[view] += len(codes)
+                    taken.update(codes)
+                    moved = True
+        if not moved:  # the next round would offer the same
+            break
+    return w, count
 
 
 class Model:
@@ -163,7 +216,7 @@ class Model:
         fit, rest = ~calibrate, calibrate
         if len(set(y[fit])) < 2 or len(set(y[rest])) < 2:
             return
-        w, _ = co_train((x[0][fit], x[1][fit]), y[fit], pool, (x[0][rest], x[1][rest]), y[rest])
+        w, _ = co_train((x[0][fit], x[1][fit]), y[fit], pool(), (x[0][rest], x[1][rest]), y[rest])
         slopes = [_fit(_odds(x[v][rest], w[v])[:, None], y[rest]) for v in (0, 1)]
         both = np.column_stack([_calibrated(x[v][rest], w[v], slopes[v]) for v in (0, 1)])
         self.parts = (w, slopes, _fit(both, y[rest]))
@@ -177,37 +230,31 @@ class Model:
         return _share(odds[0]), _share(odds[1]), _share(_odds(np.column_stack(odds), combined))
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from labelled rows that are not held out; a document labelled both ways counts as of low quality.
+def learn(found: DataFrame, labels: DataFrame) -> Model:
+    """Model from a stashed table of views and labelled rows that are not held out; one labelled both ways is of low quality.
 
-    At most LABELLED_ROWS labelled rows are taken, in the labels' proportion, and POOL_ROWS unlabelled ones.
+    At most LABELLED_ROWS labelled rows are taken, in the labels' proportion. Rows with any label get no pseudo-label.
     """
-    rows = _read(docs)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null")
     known = known.groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("label"))
     ours = known.where(~held_out())
     n = {r.label: r.n for r in ours.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     bounds = {label: max(1, LABELLED_ROWS * k // sum(n.values())) for label, k in n.items()}
-    labelled = views(sample(rows, ours, bounds), "label").collect() if bounds else []
-    pool = views(unlabelled(rows, known, POOL_ROWS)).collect()
-    labelled, pool = (sorted(r, key=lambda r: (r.doc_id, bytes(r.text_view))) for r in (labelled, pool))
-    whole = lambda found, name, size: np.frombuffer(b"".join(r[name] for r in found), "<f4").reshape(-1, size)
-    x, u = ((whole(found, "text_view", TEXT_SIZE), whole(found, "meta_view", META_SIZE)) for found in (labelled, pool))
+    labelled = sample(found, ours, bounds, content="view").collect() if len(bounds) == 2 else []
+    labelled = sorted(labelled, key=lambda r: (r.doc_id, bytes(r.view)))
     y = np.array([r.label for r in labelled], np.float64)
-    return Model(x, y, u, np.array([zlib.crc32(f"fold {r.doc_id}".encode()) % 4 == 0 for r in labelled], bool))
+    return Model(unpacked([r.view for r in labelled]), y, lambda: Pool(found, known), np.array([zlib.crc32(f"fold {r.doc_id}".encode()) % 4 == 0 for r in labelled], bool))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, p_text, p_meta and score of every row."""
+def score(found: DataFrame, model: Model) -> DataFrame:
+    """doc_id, p_text, p_meta and score of every row of a table of views."""
 
     def run(batches):
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            a = np.array([text_view(t) for t in texts]).reshape(-1, TEXT_SIZE)
-            b = np.array([meta_view(s, lang, t) for s, lang, t in zip(batch.column("source").to_pylist(), batch.column("lang").to_pylist(), texts, strict=True)]).reshape(-1, META_SIZE)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, model.score(a, b))], names=["doc_id", "p_text", "p_meta", "score"])
+            scores = model.score(*unpacked(batch.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, scores)], names=["doc_id", "p_text", "p_meta", "score"])
 
-    return _read(docs).mapInArrow(run, "doc_id long, p_text double, p_meta double, score double")
+    return found.select("doc_id", "view").mapInArrow(run, "doc_id long, p_text double, p_meta double, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -219,5 +266,6 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows give repeated results; a null doc_id is never held out. An empty table gives an empty result. Columns other than
     doc_id, text, source and lang, whatever their names, are not looked at.
     """
-    found = score(docs, learn(docs, labels))
+    rows = stash(views(_read(docs)), "views")
+    found = score(rows, learn(rows, labels))
     return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "p_text", "p_meta", "score", (F.col("score") >= KEEP).alias("kept"))

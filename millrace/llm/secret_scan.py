@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.forest import Forest, grow
 from millrace.llm.secret_findings import BENIGN_NAMES, PROSE, WORDS, Finding, labelled_findings
-from millrace.llm.tables import slices
+from millrace.llm.tables import free_name, slices
 
 THRESHOLD = 0.5
 AROUND = 48  # characters before and after a candidate
@@ -139,6 +139,14 @@ def secret_scan(docs: DataFrame, findings: list[Finding] | None = None) -> DataF
     return rows.mapInArrow(run, "doc_id long, start long, end long, sha256 string, score double").withColumn("is_secret", F.col("score") >= THRESHOLD)
 
 
+def replaced(text: str | None, spans: list[tuple[int, int]]) -> str | None:
+    """text with REDACTED for each of the spans, which are in order and don't overlap."""
+    if not spans:
+        return text
+    starts, ends = zip(*spans, strict=True)
+    return REDACTED.join(text[a:b] for a, b in zip((0, *ends), (*starts, len(text)), strict=True))
+
+
 def redact(docs: DataFrame, findings: list[Finding] | None = None) -> DataFrame:
     """docs with each secret in text replaced by REDACTED; n_chars, where there is one, follows. Rows and columns stay.
 
@@ -147,19 +155,14 @@ def redact(docs: DataFrame, findings: list[Finding] | None = None) -> DataFrame:
     and n_chars, whatever their names, are kept and not looked at.
     """
     shared = _shared(docs, findings)
-    schema, at, name = docs.schema, docs.columns.index("text"), "path"
-    while name.lower() in (c.lower() for c in docs.columns):
-        name += "_"
+    schema, at, name = docs.schema, docs.columns.index("text"), free_name(docs, "path")
 
     def run(batches):
         for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             new = []
             for text, spans in zip(texts, shared.value.scan([t or "" for t in texts], [p or "" for p in batch.column(batch.num_columns - 1).to_pylist()]), strict=True):
-                for a, b, s in reversed(spans):
-                    if s >= THRESHOLD:
-                        text = text[:a] + REDACTED + text[b:]
-                new.append(text)
+                new.append(replaced(text, [(a, b) for a, b, s in spans if s >= THRESHOLD]))
             columns = [*batch.columns[:-1]]
             columns[at] = pa.array(new, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])

@@ -2,7 +2,10 @@
 import re
 import tempfile
 import uuid
+from functools import reduce
+from operator import or_
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,9 @@ HELD_OUT = 2  # documents whose crc32(doc_id as text) mod 4 is this take no part
 SLICE_ROWS = 500  # rows whose texts are unpacked at a time
 BITMAPS = 8192  # of 4 KB each that may be sent to every executor at once
 MOST_GROUPS = 1024  # of files, each with its bitmaps
-OVERDRAWN = 1.3  # times the bound of a sample that is drawn by id, before the bound is enforced by row
+OVERDRAWN, SPARE = 1.3, 60  # times the bound of a sample, and more, that is drawn by a hash before the bound is enforced by row
+MOST_LABELS = 250_000  # labels of a few dozen bytes that are sent to every executor; more are joined as Spark chooses
+LEAST_ROWS = 8  # of each label in a sample, whatever the size of their texts
 
 _made: list[str] = []  # folders that stash() wrote and discard() has not deleted yet
 
@@ -103,6 +108,15 @@ def located(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.withColumn(name, F.concat(F.unhex(F.md5(file["file_path"])), F.unhex(F.lpad(F.hex(file["row_index"]), 16, "0")))), name
 
 
+def file_group(docs: DataFrame, groups: int):
+    """The group of a row's file, by a hash of its path alone: where it is a condition, Spark leaves out the other files."""
+    return _dealt(F.unhex(F.md5(docs.metadataColumn("_metadata")["file_path"])), groups)
+
+
+def _dealt(file, groups: int):
+    return F.pmod(F.xxhash64(file), F.lit(groups))
+
+
 def bitmaps(rows: DataFrame) -> DataFrame:
     """file, bucket and bits: which rows of a file are among `rows` (place), 32,768 rows a bitmap of 4 KB."""
     number = F.conv(F.hex(F.substring("place", 17, 8)), 16, 10).cast("long") + 1  # these functions count from 1
@@ -119,10 +133,9 @@ def marked(docs: DataFrame, place: str, rows: DataFrame, name: str) -> DataFrame
     group is a scan of its own files, joined with its own bitmaps only.
     """
     held = stash(bitmaps(rows), "bitmaps")
-    group = lambda file, n: F.pmod(F.xxhash64(file), F.lit(n))
     most = lambda by: held.groupBy(by).count().agg(F.max("count")).first()[0] or 0
     groups, bound = 1, max(BITMAPS, most(F.col("file")))
-    while most(group(F.col("file"), groups)) > bound and groups < MOST_GROUPS:
+    while most(_dealt(F.col("file"), groups)) > bound and groups < MOST_GROUPS:
         groups *= 2
     file = F.substring(F.col(place), 1, 16)
     number = F.conv(F.hex(F.substring(F.col(place), 17, 8)), 16, 10).cast("long") + 1
@@ -130,9 +143,9 @@ def marked(docs: DataFrame, place: str, rows: DataFrame, name: str) -> DataFrame
     out = None
     for g in range(groups):
         own, bits = docs, held.select(F.col("file").alias(f"{place}f"), F.col("bucket").alias(f"{place}b"), F.col("bits").alias(f"{place}x"))
-        if groups > 1:  # a condition on the path alone: Spark leaves out the other files
-            own = docs.where(group(F.unhex(F.md5(docs.metadataColumn("_metadata")["file_path"])), groups) == g)
-            bits = bits.where(group(F.col(f"{place}f"), groups) == g)
+        if groups > 1:
+            own = docs.where(file_group(docs, groups) == g)
+            bits = bits.where(_dealt(F.col(f"{place}f"), groups) == g)
         own = own.join(F.broadcast(bits), (file == F.col(f"{place}f")) & (F.bitmap_bucket_number(number) == F.col(f"{place}b")), "left")
         byte = F.conv(F.hex(F.substring(F.col(f"{place}x"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         own = own.withColumn(name, F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))).drop(f"{place}f", f"{place}b", f"{place}x")
@@ -150,51 +163,90 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 4 == HELD_OUT
 
 
-def _share(*columns: str):
+def share(*columns: str):
     """A hash of the columns as a number from 0 to below 1."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def _coded(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id is not null and text is not null").withColumn("code", F.xxhash64("text"))
+def overdrawn(bound: int, n: int) -> float:
+    """The share of n rows, drawn by a hash, that leaves hardly ever fewer than `bound` of them."""
+    return min(1.0, (OVERDRAWN * bound + SPARE) / max(1, n))
 
 
-def _taken(coded: DataFrame, keys: list[tuple], schema: str) -> DataFrame:
-    """The rows of the keys (doc_id, code and more), one each."""
-    chosen = coded.sparkSession.createDataFrame(keys, schema)
-    return coded.join(F.broadcast(chosen), ["doc_id", "code"]).dropDuplicates(["doc_id", "code"]).drop("code")
+def _first(rows: list[tuple], bound: int, longest: int | None) -> list[tuple]:
+    """Of rows (order, doc_id, code, bytes, ...) each once in order: the first `bound`, and of these those before `longest` bytes are full."""
+    out, used = [], 0
+    for row in sorted({row[:3]: row for row in rows}.values(), key=lambda row: (row[0], row[1] is not None, row[1] or 0, row[2]))[:bound]:
+        used += row[3]
+        if longest is not None and used > longest and len(out) >= LEAST_ROWS:
+            break
+        out.append(row)
+    return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, bounds: dict[int, int], longest: int | None = None) -> DataFrame:
-    """Rows of docs (doc_id, text and more) with their label, a bounded sample of each label.
+def bottom(rows: DataFrame, bounds: dict, longest: int | None = None, content: str = "text") -> DataFrame:
+    """A bounded sample of each label in one pass over rows (doc_id, text, label and more; `content` names another text).
 
-    `labels` has distinct doc_id and label. Of label x at most bounds[x] rows are taken, in the order of a hash, counting
-    rows that repeat a doc_id and text once, however often they or their id repeat. `longest` bounds the bytes of all
-    texts: in that order, rows that would go beyond are left out whole. No text is cut.
+    Of label x the bounds[x] rows with the least hashes are taken, rows that repeat a doc_id and text counting once.
+    `longest` bounds the bytes of each label's texts: in that order, rows are taken until the next would go beyond, the
+    first LEAST_ROWS whatever their size; no text is cut. Each task keeps no more than the bounds of what it reads,
+    so neither a row repeated many times nor an id with many texts makes it hold more. The sample depends on the rows alone,
+    not on how they are dealt.
     """
-    n = {r.label: r.n for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("label").isin(list(bounds))).collect()}
-    few = None
+    names = [c for c in rows.columns if c not in ("doc_id", "label")]
+    order, code, size = F.xxhash64("doc_id", content), F.xxhash64(F.lit(1), content, "doc_id"), F.octet_length(content).cast("long")
+    coded = rows.where(F.col("label").isNotNull() & F.col(content).isNotNull()).select("label", order.alias("order"), "doc_id", code.alias("code"), size.alias("bytes"), *names)
+    schema = coded.schema
+
+    def run(batches):
+        held: dict = {}
+        kinds = []
+        for batch in slices(batches):
+            kinds = batch.schema.types
+            for label, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if label in bounds:
+                    own, used = held.get(label, ([], 0))
+                    own.append(tuple(row))
+                    used += row[3]
+                    if len(own) > 2 * bounds[label] + LEAST_ROWS or longest is not None and used > 2 * longest:
+                        own = _first(own, bounds[label], longest)
+                        used = sum(r[3] for r in own) if sum(r[3] for r in own) <= (longest or 1 << 62) else 0
+                    held[label] = own, used
+        for label, (own, _) in held.items():
+            own = _first(own, bounds[label], longest)
+            for at in range(0, len(own), SLICE_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*((label, *r) for r in own[at : at + SLICE_ROWS]), strict=True), kinds, strict=True)], names=schema.names)
+
+    found = stash(coded.mapInArrow(run, schema), "sample")
+    keys = found.select("label", "order", "doc_id", "code", "bytes").distinct()
+    taken = []
     for label, bound in bounds.items():
-        some = labels.where(F.col("label") == label).where(_share("doc_id") < min(1.0, OVERDRAWN * bound / max(1, n.get(label, 0))))
-        few = some if few is None else few.unionByName(some)
-    coded = _coded(docs)
-    drawn = coded.select("doc_id", "code", F.octet_length("text").alias("bytes")).join(F.broadcast(few), "doc_id")
-    drawn = drawn.groupBy("doc_id", "code", "label").agg(F.max("bytes").alias("bytes"))
-    keys, used = [], 0
-    for label, bound in bounds.items():
-        for r in drawn.where(F.col("label") == label).orderBy(F.xxhash64("doc_id", "code"), "doc_id", "code").limit(bound).collect():
-            if longest is None or used + r.bytes <= longest:
-                keys.append((r.doc_id, r.code, r.label))
-                used += r.bytes
-    return _taken(coded, keys, "doc_id long, code long, label int")
-
-
-def unlabelled(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """At most `bound` rows of docs whose doc_id has no label, in the order of a hash, as in `sample`."""
-    coded = _coded(docs)
-    drawn = coded.select("doc_id", "code").where(_share("doc_id", "code") < min(1.0, OVERDRAWN * bound / max(1, docs.count()))).distinct()
-    keys = drawn.join(labels, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id", "code"), "doc_id", "code").limit(bound).collect()
-    return _taken(coded, [tuple(r) for r in keys], "doc_id long, code long")
+        ordered = keys.where(F.col("label") == F.lit(label)).orderBy("order", F.col("doc_id").asc_nulls_first(), "code").limit(bound)
+        taken += [(label, r[2]) for r in _first([tuple(r)[1:] for r in ordered.collect()], bound, longest)]
+    chosen = rows.sparkSession.createDataFrame(taken, found.select("label", "code").schema) if taken else found.select("label", "code").limit(0)
+    return found.join(F.broadcast(chosen), ["label", "code"]).dropDuplicates(["label", "code"]).select("doc_id", *names, "label")
+
+
+def sample(docs: DataFrame, labels: DataFrame, bounds: dict[int, int], longest: int | None = None, content: str = "text") -> DataFrame:
+    """Rows of docs (doc_id, text and more) with their label: `bottom` of each label, for distinct doc_id and label in `labels`.
+
+    Labels are thinned by a hash of doc_id to some more than the bounds before they meet the texts, so that texts stay where
+    they are. Should too few of their documents be in docs, all is done again with more labels.
+    """
+    n = {r.label: r.n for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("label").isin(list(bounds))).collect()}
+    shares = {label: overdrawn(bound, n.get(label, 0)) for label, bound in bounds.items()}
+    while True:
+        few = labels.where(reduce(or_, ((F.col("label") == label) & (share("doc_id") < s) for label, s in shares.items()), F.lit(False)))
+        least = sum(s * n.get(label, 0) for label, s in shares.items())
+        found = bottom(docs.join(F.broadcast(few) if least <= MOST_LABELS else few, "doc_id"), bounds, longest, content)
+        if all(s >= 1 for s in shares.values()):
+            return found
+        got = {r.label: (r.n, r.bytes) for r in found.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(content)).alias("bytes")).collect()}
+        # of some 1.3 times the bound, the bound itself is found unless documents are missing, or texts fill the bytes
+        short = [label for label, bound in bounds.items() if shares[label] < 1 and got.get(label, (0, 0))[0] < bound and (longest is None or got.get(label, (0, 0))[1] < longest / 2)]
+        if not short:
+            return found
+        shares |= {label: min(1.0, 8 * shares[label]) for label in short}
 
 
 def tokenizer(name: str) -> str:

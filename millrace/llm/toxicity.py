@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from millrace.llm.tables import held_out, sample, slices, stash
 
 TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000  # labelled rows learned from, at most
-SAMPLE_BYTES = 64 << 20  # of their texts, at most: a row that would go beyond is left out whole
+SAMPLE_BYTES = 32 << 20  # of the texts of either class, at most, but for the first few rows
 WINDOWS = (5, 8)  # words; the better is chosen with the thresholds
 LONGEST = 1024  # bytes of a window; longer ones are cut
 ORDINARY_BYTES = (8_192, 32_768)  # size of the ordinary dictionary, at most; the better is chosen

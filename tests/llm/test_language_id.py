@@ -9,6 +9,7 @@ from support import ROWS, documents, empty
 
 from millrace.llm import language_id as lid
 
+REAL = lid.counts
 STEMS = {"en": "the ing and that with tion", "de": "der ung und sch mit keit", "fr": "le ment que aux des tion", "es": "el cion que los ado para"}
 
 
@@ -128,3 +129,18 @@ def test_filter_keeps_columns(spark):
 def test_language_without_letters_is_not_learned(spark):
     docs = documents(spark, corpus() + [(2000 + i, None if i % 2 else "12 3", "zz", None, None) for i in range(20)])
     assert lid.learn(docs).langs == ["de", "en", "es", "fr"]
+
+
+def test_a_repeated_row_neither_fills_nor_thins_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(lid, "SAMPLE_ROWS", 80)
+    rows, seen = corpus(200), []
+    monkeypatch.setattr(lid, "counts", lambda docs: seen.append(sorted((r.lang, r.text) for r in docs.collect())) or REAL(docs))
+    for docs in (rows, rows + [next(r for r in rows if r[2] == "en")] * 20_000):
+        lid.learn(documents(spark, docs, clashing=False))
+    assert seen[0] == seen[1] and {x: sum(lang == x for lang, _ in seen[0]) for x in STEMS} == dict.fromkeys(STEMS, 20)
+
+
+def test_matrix_of_parts(spark):
+    found = spark.createDataFrame([("a", 0, 3), ("b", 0, 1), ("b", 1023, 7), ("a", 1024, 2), ("a", lid.SLOTS - 1, 5)], "lang string, slot int, n long")
+    out = lid.matrix(found, ["a", "b"])
+    assert out.sum() == 18 and (out[0, 0], out[0, 1], out[1023, 1], out[1024, 0], out[-1, 0]) == (3, 1, 7, 2, 5)

@@ -85,6 +85,23 @@ def test_quality_odd_rows(spark):
     assert {r.score for r in unlabelled} == {0.5} and all(r.kept for r in unlabelled)
 
 
+class Rows:
+    """A pool in memory, row by row."""
+
+    def __init__(self, pool):
+        self.pool = pool
+
+    def surest(self, models, want, error, taken):
+        out = []
+        for view, (w, slope) in enumerate(models):
+            odds = [max(-30, min(30, float(np.dot(r, w[:-1]) + w[-1]))) for r in self.pool[view]]
+            p = [1 / (1 + math.exp(-max(-30, min(30, o * slope[0] + slope[1])))) for o in odds]
+            for label, n in want.items():
+                wrong = sorted((1 - x if label else x, i) for i, x in enumerate(p) if i not in taken)
+                out += [(view, label, e, i, i) for e, i in wrong[:n] if e <= error[label]]
+        return out
+
+
 def plain_co_train(x, y, pool, rest, rest_y):
     """The exchange row by row, with the operator's fit of one logistic model."""
     share = lambda rows, w: [1 / (1 + math.exp(-max(-30, min(30, float(np.dot(r, w[:-1]) + w[-1]))))) for r in rows]
@@ -106,7 +123,7 @@ def plain_co_train(x, y, pool, rest, rest_y):
             p, chosen = calibrated(pool[view], view, w[view]), []
             for label, share_of in ((1, good), (0, 1 - good)):
                 wrong = {i: 1 - p[i] if label else p[i] for i in free}
-                best = sorted(free, key=lambda i: (wrong[i], i))[: round(q.EACH_ROUND * len(p) * share_of)]
+                best = sorted(free, key=lambda i: (wrong[i], i))[: round(q.EACH_ROUND * share_of)]
                 chosen += [(i, label) for i in best if wrong[i] <= min(q.UNSURE, (1 - share_of) / 5)]
             offers.append(chosen)
         for view, chosen in ((1, offers[0]), (0, offers[1])):
@@ -126,23 +143,25 @@ def two_views(n, seed, noise=0.6):
     return y, tuple(np.column_stack([y * 2 - 1 + rng.normal(0, noise, n), rng.normal(size=n)]) for _ in range(2))
 
 
-def exchange(y, views, few, rest, pool):
+def exchange(monkeypatch, y, views, few, rest, pool):
     part = lambda at: tuple(v[at] for v in views)
-    return part(few), y[few], part(pool), part(rest), y[rest]
+    monkeypatch.setattr(q, "unpacked", lambda found: tuple(v[pool][list(found)] for v in views))
+    monkeypatch.setattr(q, "EACH_ROUND", max(1, len(pool) // 10))
+    return part(few), y[few], Rows(part(pool)), part(rest), y[rest]
 
 
-def test_co_training_against_a_plain_version():
+def test_co_training_against_a_plain_version(monkeypatch):
     y, views = two_views(300, 1)
-    args = exchange(y, views, np.arange(12), np.arange(12, 52), np.arange(52, 300))
-    (w, taken), wanted = q.co_train(*args), plain_co_train(*args)
+    args = exchange(monkeypatch, y, views, np.arange(12), np.arange(12, 52), np.arange(52, 300))
+    (w, taken), wanted = q.co_train(*args), plain_co_train(*args[:2], args[2].pool, *args[3:])
     assert sum(taken) > 0 and all(np.allclose(a, b, atol=1e-6) for a, b in zip(w, wanted, strict=True))
 
 
-def test_co_training_gives_the_other_view_labels():
+def test_co_training_gives_the_other_view_labels(monkeypatch):
     """With a few labelled rows of each class, rounds on the pool teach both views."""
     y, views = two_views(1600, 0)
     few = np.concatenate([np.flatnonzero(y[:100] == 0)[:4], np.flatnonzero(y[:100] == 1)[:4]])
-    w, taken = q.co_train(*exchange(y, views, few, np.arange(100, 200), np.arange(200, 1000)))
+    w, taken = q.co_train(*exchange(monkeypatch, y, views, few, np.arange(100, 200), np.arange(200, 1000)))
     assert min(taken) > 50
     for v in (0, 1):
         alone = q._fit(views[v][few], y[few])
@@ -150,13 +169,80 @@ def test_co_training_gives_the_other_view_labels():
         assert right[1] > 0.9 and right[1] >= right[0]
 
 
-def test_a_view_that_knows_nothing_gives_no_labels():
+def test_a_view_that_knows_nothing_gives_no_labels(monkeypatch):
     y, views = two_views(1200, 3)
     noise = np.random.default_rng(5).normal(size=(1200, 2))
-    w, taken = q.co_train(*exchange(y, (views[0], noise), np.arange(60), np.arange(60, 200), np.arange(200, 1200)))
+    w, taken = q.co_train(*exchange(monkeypatch, y, (views[0], noise), np.arange(60), np.arange(60, 200), np.arange(200, 1200)))
     assert taken[0] == 0 and np.mean((q._odds(views[0][200:], w[0]) > 0) == y[200:]) > 0.9
 
 
+def test_the_surest_of_all_tasks(spark):
+    """Copies are one, labelled documents none, and ties go to the smaller code, however rows are dealt."""
+    docs = [(i, "word " * (i % 40) + "#" * (i % 7), "en", f"src{i % 3}", None) for i in range(300)]
+    found = tables.stash(q.views(q._read(documents(spark, docs * 2).repartition(7))), "test")
+    known = spark.createDataFrame([(i,) for i in range(0, 300, 3)], "doc_id long")
+    rng = np.random.default_rng(0)
+    models = [(rng.normal(size=n + 1), np.array([0.3, 0.0])) for n in (q.TEXT_SIZE, q.META_SIZE)]
+    want, error, rows = {0: 9, 1: 14}, {0: 0.6, 1: 0.7}, {}
+    for r in found.where("doc_id % 3 <> 0").selectExpr("xxhash64(view) code", "view").collect():
+        rows[r.code] = bytes(r.view)
+    taken = set(sorted(rows)[:20])
+    wanted = []
+    for view, (w, slope) in enumerate(models):
+        p = {c: float(q._share(q._calibrated(q.unpacked([b])[view], w, slope))[0]) for c, b in rows.items() if c not in taken}
+        for label, n in want.items():
+            best = sorted((round(1 - x if label else x, 6), c) for c, x in p.items())
+            wanted += [(view, label, e) for e, _ in [b for b in best if b[0] <= error[label]][:n]]
+    got = q.Pool(found, known).surest(models, want, error, taken)
+    assert [(v, label, round(e, 6)) for v, label, e, *_ in got] == wanted and all(rows[c] == b and c not in taken for *_, c, b in got)
+
+
+def plain_fit(x, y, ridge=0.1):
+    """Ridge logistic regression by damped Newton steps in long form, to convergence."""
+    x = np.column_stack([np.asarray(x, np.longdouble), np.ones(len(x))])
+    keep, w = np.append(np.full(x.shape[1] - 1, ridge), 1e-6), np.zeros(x.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        slope, bend = np.asarray(x.T @ (y - p) - keep * w, float), np.asarray((x * (p * (1 - p))[:, None]).T @ x, float) + np.diag(keep)
+        step = np.linalg.lstsq(bend, slope, rcond=None)[0]
+        w = w + step / max(1.0, np.abs(step).max() / 5)
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def test_quality_against_a_plain_version(spark, monkeypatch):
+    """Views, samples, exchange, calibration, combination and verdicts of the whole query, with a fit of its own."""
+    monkeypatch.setattr(q, "EACH_ROUND", 30)
+    docs, labels = corpus(500, 7)
+    rng = random.Random(2)
+    labels = [x for x in labels if rng.random() < 0.5]
+    docs += [(d if d is None else d + 5000, *r) for d, *r in ROWS]
+    views = [np.concatenate((q.text_view(x or ""), q.meta_view(s, lang, x or ""))).astype("<f2").astype(float) for _, x, lang, s, _ in docs]
+    x = [np.array([v[: q.TEXT_SIZE] for v in views]), np.array([v[q.TEXT_SIZE :] for v in views])]
+    truth, at = {d: y for d, y, _ in labels}, {r[0]: i for i, r in enumerate(docs)}
+    mine = sorted(d for d in truth if not held(d))
+    fit, rest = ([d for d in mine if (zlib.crc32(f"fold {d}".encode()) % 4 == 0) == k] for k in (False, True))
+    rows = lambda ids, v: x[v][[at[d] for d in ids]]
+    y, rest_y = (np.array([truth[d] for d in ids], float) for ids in (fit, rest))
+    one = {}
+    for i, (d, *_) in enumerate(docs):
+        if d not in truth:
+            one.setdefault(np.concatenate((x[0][i], x[1][i])).tobytes(), i)
+    pool = sorted(one.values())
+    got = q.quality(documents(spark, docs), labels_of(spark, labels)).collect()
+    monkeypatch.setattr(q, "_fit", lambda a, b, **_: plain_fit(a, b))
+    w = plain_co_train([rows(fit, v) for v in (0, 1)], y, [x[v][pool] for v in (0, 1)], [rows(rest, v) for v in (0, 1)], rest_y)
+    odds = lambda a, w: np.clip(a @ w[:-1] + w[-1], -30, 30)
+    lines = [plain_fit(odds(rows(rest, v), w[v])[:, None], rest_y) for v in (0, 1)]
+    calibrated = [odds(odds(x[v], w[v])[:, None], lines[v]) for v in (0, 1)]
+    both = plain_fit(np.column_stack([c[[at[d] for d in rest]] for c in calibrated]), rest_y)
+    scores = 1 / (1 + np.exp(-odds(np.column_stack(calibrated), both)))
+    found = sorted((str(d), round(s, 2)) for d, s in ((r.doc_id, r.score) for r in got))
+    wanted = sorted((str(r[0]), round(float(s), 2)) for r, s in zip(docs, scores, strict=True))
+    assert [d for d, _ in found] == [d for d, _ in wanted] and np.allclose([s for _, s in found], [s for _, s in wanted], atol=0.02) and all(r.kept == (r.score >= 0.5) for r in got)
+
+
 def test_toxicity_learns_from_whole_texts(spark):
     texts = {i: "plain words " * 2500 + f"the mark {i}" for i in range(40)}
     rows = [(i, x, "en", None, None) for i, x in texts.items()]
@@ -165,15 +251,45 @@ def test_toxicity_learns_from_whole_texts(spark):
     assert {(r.doc_id, r.text, r.label) for r in found} == {(i, x, i % 2) for i, x in texts.items()}
 
 
+def marked_docs(spark, rows):
+    return documents(spark, [(d, x, None, None, None) for d, x in rows], clashing=False).select("doc_id", "text")
+
+
 def test_samples_are_bounded_by_row(spark):
     """One labelled id 6,000 times, with the same text and with others, fills no more than its share."""
-    rows = [(7, "the same again", None, None, None)] * 3000 + [(7, f"other text {i}", None, None, None) for i in range(3000)] + [(100 + i, f"text {i}", None, None, None) for i in range(300)]
+    rows = [(7, "the same again")] * 3000 + [(7, f"other text {i}") for i in range(3000)] + [(100 + i, f"text {i}") for i in range(300)]
     marked = spark.createDataFrame([(7, 1)] + [(100 + i, i % 2) for i in range(300)], "doc_id long, label int")
-    found = tables.sample(documents(spark, rows, clashing=False).select("doc_id", "text"), marked, {1: 500, 0: 100}).collect()
-    assert sum(r.label == 1 for r in found) == 500 and 60 <= sum(r.label == 0 for r in found) <= 100
+    found = tables.sample(marked_docs(spark, rows), marked, {1: 500, 0: 100}).collect()
+    assert sum(r.label == 1 for r in found) == 500 and sum(r.label == 0 for r in found) == 100
     assert len({(r.doc_id, r.text) for r in found}) == len(found)
-    few = tables.sample(documents(spark, rows, clashing=False).select("doc_id", "text"), marked, {1: 500, 0: 100}, longest=1000).collect()
-    assert 0 < sum(len(r.text) for r in few) <= 1000
+    few = tables.sample(marked_docs(spark, rows), marked, {1: 500, 0: 100}, longest=1000).collect()
+    sizes = {x: sum(len(r.text) for r in few if r.label == x) for x in (0, 1)}
+    assert 900 < sizes[1] <= 1000 and sum(r.label == 0 for r in few) == 100 and sizes[0] <= 1000
+
+
+def test_a_repeated_row_changes_no_sample(spark):
+    rows = [(i, f"text {i}") for i in range(400)]
+    marked = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, label int")
+    once = tables.sample(marked_docs(spark, rows), marked, {1: 50, 0: 70}).collect()
+    often = tables.sample(marked_docs(spark, rows + [rows[3]] * 40_000).repartition(7), marked, {1: 50, 0: 70}).collect()
+    assert sorted(once) == sorted(often) and [sum(r.label == x for r in often) for x in (0, 1)] == [70, 50]
+
+
+@pytest.mark.parametrize("size,longest", [(48_000, 2 << 20), (300_000, 1 << 17)])
+def test_both_classes_at_any_size_of_texts(spark, size, longest):
+    """Bytes are counted for each class, and a few rows are taken whatever their size."""
+    docs = spark.range(0, 200, 1, 6).selectExpr("id as doc_id", f"concat(id, repeat('x', {size})) as text")
+    marked = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, label int")
+    found = tables.sample(docs, marked, {1: 1500, 0: 3000}, longest).selectExpr("label", "octet_length(text) n").collect()
+    for label in (0, 1):
+        n = sum(r.label == label for r in found)
+        assert n == tables.LEAST_ROWS if size > longest else longest // 50_000 <= n <= longest // 48_000
+
+
+def test_a_sample_where_most_labelled_documents_are_missing(spark):
+    marked = spark.createDataFrame([(i, 1) for i in range(4000)], "doc_id long, label int")
+    found = tables.sample(marked_docs(spark, [(i, f"text {i}") for i in range(60)]), marked, {1: 40}).collect()
+    assert len(found) == 40
 
 
 def plain_score(model, text):

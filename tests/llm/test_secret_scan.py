@@ -146,3 +146,13 @@ def test_forest_learns_a_conjunction():
     f = forest.grow(x[:1000], y[:1000], trees=25, depth=8)
     assert np.mean((f.score(x[1000:]) > 0.5) == y[1000:]) > 0.93
     assert (forest.grow(x[:200], y[:200], trees=3).score(x) == forest.grow(x[:200], y[:200], trees=3).score(x)).all()
+
+
+def test_many_secrets_are_replaced_in_linear_time():
+    import time
+
+    text = "key = abcdefgh01234567 " * 90_000
+    spans = [(i * 23 + 6, i * 23 + 22) for i in range(90_000)]
+    began = time.process_time()
+    assert s.replaced(text, spans) == f"key = {s.REDACTED} " * 90_000 and time.process_time() - began < 1
+    assert s.replaced(None, []) is None and s.replaced("ab", [(0, 2)]) == s.REDACTED and s.replaced("abcd", [(0, 1), (1, 2)]) == s.REDACTED * 2 + "cd"
