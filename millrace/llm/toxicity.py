@@ -1,23 +1,22 @@
 """Toxicity by compression distance: two zstandard dictionaries, window lengths compared, calibrated thresholds.
 
 Learning, on a bounded sample of labelled rows, whole texts:
-- The ordinary dictionary is trained by zstandard on the words of ordinary documents.
-- The toxic dictionary is trained by zstandard on starts of words of toxic documents: on those that mark them, each as
-  often as it occurs. A start marks toxic documents if it stands after many different words there (so that copies of one
-  document don't count as evidence) and many times as often as in ordinary documents. Most words of a toxic document are
-  ordinary, and a dictionary of all of them says nothing of a window.
-- A window's two lengths are that with the ordinary dictionary and that with both, the toxic one before the ordinary one.
-  Their difference says how much of the window only the toxic dictionary knows, and is no more than that: with either
-  dictionary alone the lengths differ by how well each happens to know the ordinary words of a window, too.
-- A logistic model of a document's largest differences, their mean and the windows above fixed thresholds is fitted on
-  the sample, each fold with dictionaries from the others; its threshold is the one with the best F1, put at 0.3. The
-  width of windows, the size of the ordinary dictionary and how the toxic one is trained are chosen by that F1.
+- The ordinary dictionary is trained by zstandard on windows of ordinary documents.
+- The toxic dictionary is trained by zstandard on windows of toxic documents. Most of these are as ordinary as any other
+  text, and a dictionary of all of them says nothing of a window, so windows are chosen, in rounds: first those that the
+  ordinary dictionary compresses worst for their size; then those that a toxic dictionary, trained on what was chosen in
+  the other half of the documents, shortens by more than all but a thousandth of ordinary windows. Stretches that stand in many
+  toxic documents are found again from round to round, others are not. Windows get narrower.
+- Ordinary windows that a round's toxic dictionary shortens are given to the ordinary trainer once more, several times.
+- The two dictionaries are separate compressors. A window's distance is the difference of its two compressed lengths.
+- A logistic model of a document's largest distances, their mean and the windows above fixed thresholds is fitted on the
+  sample, each fold with dictionaries from the others; its threshold is the one with the best F1, put at 0.3.
 Dictionaries are trained, and the sample's features made, in tasks; the driver sees dictionaries and features only.
 
-Scoring: each whole text is cut into windows, each compressed twice. The model is under 100 KB.
+Scoring: each whole text is cut into windows of one word, each compressed twice; a worker keeps the distances of words that it
+has seen, in a bounded table. With wider windows the two compressors differ more by the ordinary words beside a marked one.
 """
-from collections import Counter, defaultdict
-from itertools import islice
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +29,16 @@ from millrace.llm.tables import held_out, sample, slices, stash
 
 TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000  # labelled rows learned from, at most
 SAMPLE_BYTES = 32 << 20  # of the texts of either class, at most, but for the first few rows
-WINDOWS = (5, 8)  # words; the better is chosen with the thresholds
+WINDOW = 1  # words
 LONGEST = 1024  # bytes of a window; longer ones are cut
-ORDINARY_BYTES = (8_192, 32_768)  # size of the ordinary dictionary, at most; the better is chosen
-TOXIC_BYTES = 8_192
-ORDINARY_WORDS = 400_000  # words that it is trained on, at most, evenly from whole texts
-SEGMENTS, ORDINARY_SEGMENT, REPEAT = (24, 40), 16, 6  # of the trainer: bytes that it takes at once (toxic: the better is chosen), and of what it counts
-STARTS = range(4, 10)  # bytes of a word's start, with the space before it
-LEAST_DOCS, LEAST_BEFORE, LEAST_SHARE = 2, 4, 0.006  # documents, different words before it, and share of both that a start needs
-RATIO = 15  # times as many different words before it, by the words of either class
+KNOWN_WORDS = 400_000  # distances that a worker keeps, at most
+ORDINARY_BYTES, TOXIC_BYTES = 32_768, 8_192  # sizes of the dictionaries, at most
+SEGMENT, REPEAT = 16, 6  # of the trainer: bytes that it takes at once, and of what it counts
+GIVEN, GIVEN_WORDS = 200_000, 5  # windows that the ordinary trainer gets, at most, evenly from whole texts, and their words
+ROUNDS = (3, 3, 2, 2, 2)  # words of the windows that each round chooses from
+WORST, USUAL = 0.97, 0.999  # shares of ordinary windows that a chosen one is beyond: by excess of length at first, by distance later
+AGAINST = 800  # ordinary rows whose windows are compared with
+HARD, TIMES = 2, 5  # distance from which an ordinary window is given to the ordinary trainer again, and how often
 AT = (1, 2, 3, 5)  # differences in bytes above which windows are counted
 CUT = 0.3
 FOLDS = 3  # of the sample; each is calibrated on with dictionaries from the others
@@ -60,93 +60,77 @@ def windows(text: str, size: int) -> list[bytes]:
     return out
 
 
-def _starts(word: bytes) -> list[bytes]:
-    w = b" " + word
-    return [*(w[:k] for k in STARTS if len(w) >= k), w + b" "]
-
-
-def _supported(texts: list[str], least: dict[str, float]) -> dict[bytes, int]:
-    """Starts with enough different words before them and enough texts: the number of the former.
-
-    Support falls as a start grows, so each length looks only at starts whose shorter start has it; few are held at once.
-    """
-    same: dict[bytes, bytes] = {}
-    words = [[same.setdefault(w, b" " + w) for w in _words(t)] for t in texts]
-    found, alive = {}, None
-    for k in (*STARTS, None):
-        before, docs = defaultdict(set), Counter()
-        for own in words:
-            seen, last = set(), b""
-            for w in own:
-                if k is None:
-                    s = w + b" " if len(w) < STARTS[0] or w[: STARTS[-1]] in found else None
-                else:
-                    s = w[:k] if len(w) >= k and (alive is None or w[: k - 1] in alive) else None
-                if s is not None:
-                    seen.add(s)
-                    before[s].add(last)
-                last = w
-            docs.update(seen)
-        alive = {s: len(c) for s, c in before.items() if len(c) >= least["before"] and docs[s] >= least["docs"]}
-        found |= alive
-    return found
-
-
-def _marks(toxic: list[str], ordinary: list[str]) -> set[bytes]:
-    """Starts of words that mark toxic texts."""
-    share = LEAST_SHARE * len(toxic)
-    support = _supported(toxic, {"before": max(LEAST_BEFORE, share), "docs": max(LEAST_DOCS, share)})
-    against = defaultdict(set)
-    for text in ordinary:
-        last = b""
-        for w in _words(text):
-            for s in _starts(w):
-                if s in support:
-                    against[s].add(last)
-            last = w
-    words = [max(1, sum(len(_words(t)) for t in texts)) for texts in (toxic, ordinary)]
-    return {s for s, n in support.items() if n / words[0] >= RATIO * (len(against.get(s, ())) + 0.5) / words[1]}
-
-
-def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
+def _trained(samples: list[bytes], size: int) -> bytes:
     """A dictionary that zstandard trains on the samples; it refuses very few, so they are repeated. Empty if it gives none."""
     for _ in range(8 if samples else 0):
         try:
-            return zstandard.train_dictionary(size, samples, k=segment, d=REPEAT).as_bytes()
+            return zstandard.train_dictionary(size, samples, k=SEGMENT, d=REPEAT).as_bytes()
         except zstandard.ZstdError:
             samples = samples * 3
     return b""
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[list[bytes], list[bytes]]:
-    """The toxic dictionary for each of SEGMENTS, and the ordinary one for each of ORDINARY_BYTES."""
-    marks = _marks(toxic, ordinary)
-    telling = [max(own, key=len) for text in toxic for w in _words(text) if (own := [x for x in _starts(w) if x in marks])]
-    step = max(1, -(-sum(len(_words(text)) for text in ordinary) // ORDINARY_WORDS))
-    plain = [b" " + w + b" " for w in islice((w for text in ordinary for w in _words(text)), 0, None, step)]
-    return [_trained(telling, TOXIC_BYTES, segment) for segment in SEGMENTS], [_trained(plain, size, ORDINARY_SEGMENT) for size in ORDINARY_BYTES]
+def _compressor(dictionary: bytes):
+    how = zstandard.ZstdCompressionParameters(
+        window_log=17, chain_log=14, hash_log=14, search_log=6, min_match=3, target_length=16, strategy=zstandard.STRATEGY_BTLAZY2,
+        write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+    )
+    content = zstandard.ZstdCompressionDict(dictionary + TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(dict_data=content, compression_params=how).compress
+
+
+def _lengths(compress, found: list[bytes]) -> np.ndarray:
+    return np.array([len(compress(w)) for w in found], np.int64)
+
+
+def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary."""
+    cut = lambda texts, n: [windows(t, n) for t in texts]
+    bare = lambda found: [w.removesuffix(TAIL) for w in found]
+    plain = [w for own in cut(ordinary, GIVEN_WORDS) for w in own]
+    plain = bare(plain[:: max(1, -(-len(plain) // GIVEN))])
+    known, hard, chosen = _trained(plain, ORDINARY_BYTES), [], None
+    for width in ROUNDS:
+        shorter = _compressor(known)
+        against = [w for own in cut(ordinary[:AGAINST], width) for w in own]
+        found, lengths = cut(toxic, width), _lengths(shorter, against)
+        if not against or not any(found):
+            break
+        own = [_lengths(shorter, ws) for ws in found]
+        if chosen is None:
+            rate = lengths.sum() / sum(map(len, against))
+            least = np.quantile(lengths - rate * np.array(list(map(len, against))), WORST)
+            chosen = [[w for w, n in zip(ws, ns, strict=True) if n - rate * len(w) > least] for ws, ns in zip(found, own, strict=True)]
+        halves = [_compressor(_trained(bare(w for ws in chosen[h::2] for w in ws), TOXIC_BYTES)) for h in (0, 1)]
+        usual = [lengths - _lengths(c, against) for c in halves]
+        least = [max(1, np.quantile(d, USUAL)) for d in usual]
+        chosen = []
+        for i, (ws, ns) in enumerate(zip(found, own, strict=True)):
+            other = 1 - i % 2
+            chosen.append([w for w, d in zip(ws, ns - _lengths(halves[other], ws), strict=True) if d > least[other]])
+        hard += bare(w for w, *d in zip(against, *usual, strict=True) if max(d) >= HARD)
+        known = _trained(plain + hard * TIMES, ORDINARY_BYTES)
+    return _trained(bare(w for ws in chosen or [] for w in ws), TOXIC_BYTES), known
 
 
 class Distance:
-    """Differences of compressed lengths: with the ordinary dictionary, less with the toxic one before it."""
-
-    def __init__(self, toxic: bytes, ordinary: bytes, window: int):
-        self.window = window
-        how = zstandard.ZstdCompressionParameters(
-            window_log=17, chain_log=14, hash_log=14, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_BTLAZY2,
-            write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
-        )
-        raw = zstandard.DICT_TYPE_RAWCONTENT
-        self.toxic, self.ordinary = (
-            zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d + TAIL, dict_type=raw), compression_params=how).compress for d in (toxic + ordinary, ordinary)
-        )
+    """Differences of compressed lengths: with the ordinary dictionary, less with the toxic one."""
+
+    def __init__(self, toxic: bytes, ordinary: bytes):
+        self.toxic, self.ordinary, self.known = _compressor(toxic), _compressor(ordinary), {}
+
+    def of(self, window: bytes) -> int:
+        if (d := self.known.get(window)) is None:
+            d = len(self.ordinary(window)) - len(self.toxic(window))
+            if len(self.known) < KNOWN_WORDS and len(window) < LONGEST:
+                self.known[window] = d
+        return d
 
     def features(self, text: str | None) -> list[float]:
-        found = windows(text or "", self.window)
+        found = windows(text or "", WINDOW)
         if not found:
             return [0.0] * (4 + 2 * len(AT))
-        toxic, ordinary = self.toxic, self.ordinary
-        d = np.sort(np.array([len(ordinary(w)) - len(toxic(w)) for w in found], np.float64))[::-1]
+        d = np.sort(np.fromiter(map(self.of, found), np.float64, len(found)))[::-1]
         above = [int((d >= t).sum()) for t in AT]
         return [d[0], d[:3].mean(), np.maximum(d, 0).mean(), np.log(len(d)), *np.log1p(above), *(20 * n / (len(d) + 5) for n in above)]
 
@@ -181,23 +165,22 @@ def _logit(p: float) -> float:
 
 
 class Model:
-    """Dictionaries, the width of windows, weights, and the shift that puts the best threshold at CUT."""
+    """Dictionaries, weights, and the shift that puts the best threshold at CUT."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, window: int, weights: np.ndarray, cut: float):
-        self.parts = (toxic, ordinary, window, weights, cut)
+    def __init__(self, toxic: bytes, ordinary: bytes, weights: np.ndarray, cut: float):
+        self.parts = (toxic, ordinary, weights, cut)
 
     def scorer(self):
-        toxic, ordinary, window, w, cut = self.parts
-        distance, shift = Distance(toxic, ordinary, window), _logit(CUT) - cut
+        toxic, ordinary, w, cut = self.parts
+        distance, shift = Distance(toxic, ordinary), _logit(CUT) - cut
         return lambda text: float(1 / (1 + np.exp(-np.clip(np.dot(distance.features(text), w[:-1]) + w[-1] + shift, -30, 30))))
 
 
 def _train(rows: pa.Table) -> pa.Table:
     """The dictionaries of one job."""
-    texts = {x: sorted(rows.filter(pa.compute.equal(rows["label"], x))["text"].to_pylist()) for x in (0, 1)}
+    texts = {x: sorted(rows.filter(pa.compute.equal(rows["label"], x))["text"].to_pylist(), key=lambda t: zlib.crc32(t.encode())) for x in (0, 1)}
     toxic, ordinary = train_dictionaries(texts[1], texts[0])
-    job = rows["job"][0].as_py()
-    return pa.table({"job": pa.array([job], pa.int32()), "toxic": pa.array([toxic], pa.list_(pa.binary())), "ordinary": pa.array([ordinary], pa.list_(pa.binary()))})
+    return pa.table({"job": pa.array([rows["job"][0].as_py()], pa.int32()), "toxic": pa.array([toxic], pa.binary()), "ordinary": pa.array([ordinary], pa.binary())})
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -205,43 +188,36 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     A document labelled both ways counts as toxic. The sample's bounds are TOXIC_ROWS, ORDINARY_ROWS and SAMPLE_BYTES.
     """
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).cast("int").alias("label"))
-    marked = marked.where("doc_id is not null and label is not null").where(~held_out()).groupBy("doc_id").agg(F.max("label").alias("label"))
+    labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).cast("int").alias("label"))
+    labelled = labelled.where("doc_id is not null and label is not null").where(~held_out()).groupBy("doc_id").agg(F.max("label").alias("label"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    drawn = sample(texts, marked, {1: TOXIC_ROWS, 0: ORDINARY_ROWS}, SAMPLE_BYTES)
+    drawn = sample(texts, labelled, {1: TOXIC_ROWS, 0: ORDINARY_ROWS}, SAMPLE_BYTES)
     rows = stash(drawn.withColumn("fold", F.pmod(F.xxhash64("text", "doc_id"), F.lit(FOLDS)).cast("int")).repartition(16), "toxicity-sample")
     n = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if min(n.get(0, 0), n.get(1, 0)) < FOLDS:
         return None
     # job k leaves out fold k; job FOLDS leaves out none
     jobs = F.explode(F.filter(F.array(*map(F.lit, range(FOLDS + 1))), lambda k: k != F.col("fold")))
-    found = rows.select("text", "label", jobs.alias("job")).groupBy("job").applyInArrow(_train, "job int, toxic array<binary>, ordinary array<binary>").collect()
-    dictionaries = {(r.job, i, j): (bytes(toxic), bytes(ordinary)) for r in found for i, toxic in enumerate(r.toxic) for j, ordinary in enumerate(r.ordinary)}
-    kinds = [(i, j, window) for i in range(len(SEGMENTS)) for j in range(len(ORDINARY_BYTES)) for window in WINDOWS]
+    found = rows.select("text", "label", jobs.alias("job")).groupBy("job").applyInArrow(_train, "job int, toxic binary, ordinary binary").collect()
+    dictionaries = {r.job: (bytes(r.toxic), bytes(r.ordinary)) for r in found}
 
     def run(batches):
         distances = {}
         for batch in slices(batches):
             out = []
             for text, label, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "fold")), strict=True):
-                for kind, (i, j, window) in enumerate(kinds):
-                    if (fold, i, j) in dictionaries:
-                        if (d := distances.get((fold, kind))) is None:
-                            d = distances[fold, kind] = Distance(*dictionaries[fold, i, j], window)
-                        out.append((kind, label, d.features(text)))
-            columns = list(zip(*out, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.list_(pa.float64())), strict=True)], names=["kind", "label", "x"])
-
-    features = rows.mapInArrow(run, "kind int, label int, x array<double>").collect()
+                if fold in dictionaries:
+                    if fold not in distances:
+                        distances[fold] = Distance(*dictionaries[fold])
+                    out.append((label, distances[fold].features(text)))
+            columns = list(zip(*out, strict=True)) or [()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.list_(pa.float64())), strict=True)], names=["label", "x"])
+
+    features = sorted((r.x, r.label) for r in rows.mapInArrow(run, "label int, x array<double>").collect())
     if not features:  # all rows in one fold
         return None
-    best = None
-    for kind, (i, j, window) in enumerate(kinds):
-        own = sorted((r.x, r.label) for r in features if r.kind == kind)
-        w, cut, f1 = _calibrated(np.array([x for x, _ in own]), np.array([y for _, y in own], np.float64))
-        if best is None or f1 > best[0]:
-            best = (f1, Model(*dictionaries[FOLDS, i, j], window, w, cut))
-    return best[1]
+    w, cut, _ = _calibrated(np.array([x for x, _ in features]), np.array([y for _, y in features], np.float64))
+    return Model(*dictionaries[FOLDS], w, cut)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

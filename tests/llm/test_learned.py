@@ -293,15 +293,15 @@ def test_a_sample_where_most_labelled_documents_are_missing(spark):
 
 
 def plain_score(model, text):
-    """Window by window with compressors of its own, as the definition has it."""
-    toxic, ordinary, width, w, cut = model.parts
-    words, lengths = text.lower().encode().split(), []
-    for i in range(0, len(words), width):
-        whole = b" " + b" ".join(words[i : i + width]) + b" "
+    """Word by word with compressors of its own, as the definition has it."""
+    toxic, ordinary, w, cut = model.parts
+    lengths = []
+    for word in text.lower().encode().split():
+        whole = b" " + word + b" "
         for part in [whole] if len(whole) <= t.LONGEST else [whole[j : j + t.LONGEST] for j in range(0, len(whole), t.LONGEST)]:
             sizes = []
-            for content in (ordinary, toxic + ordinary):
-                how = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+            for content in (ordinary, toxic):
+                how = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=6, min_match=3, target_length=16, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
                 dictionary = zstandard.ZstdCompressionDict(content + t.TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 sizes.append(len(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=how).compress(part + t.TAIL)))
             lengths.append(sizes[0] - sizes[1])
@@ -314,16 +314,30 @@ def plain_score(model, text):
     return 1 / (1 + math.exp(-max(-30, min(30, odds))))
 
 
-def test_toxicity_against_plain_scores(spark):
-    docs, labels = corpus(300)
-    docs += [(d if d is None else d + 5000, *r) for d, *r in ROWS]
+@pytest.mark.parametrize("known", [0, 50, 400_000])
+def test_toxicity_against_plain_scores(spark, monkeypatch, known):
+    """The table of words changes nothing, whether it is full or not."""
+    monkeypatch.setattr(t, "KNOWN_WORDS", known)
+    docs, labels = corpus(150)
+    docs += [(d if d is None else d + 5000, *(x[:30_000] if isinstance(x, str) else x for x in r)) for d, *r in ROWS]
     frame, known = documents(spark, docs), labels_of(spark, labels)
     model = t.learn(frame, known)
-    assert all(len(d) <= size for d, size in zip(model.parts[:2], (t.TOXIC_BYTES, max(t.ORDINARY_BYTES)), strict=True)) and len(model.parts[0]) > 100
+    assert all(len(d) <= size for d, size in zip(model.parts[:2], (t.TOXIC_BYTES, t.ORDINARY_BYTES), strict=True)) and len(model.parts[1]) > 100
     found = sorted(((str(r.doc_id), round(r.score, 6)) for r in t.score(frame, model).collect()))
     assert found == sorted((str(d), round(plain_score(model, x or ""), 6)) for d, x, *_ in docs)
 
 
+def test_the_toxic_dictionary_holds_what_marks_toxic_text():
+    """Chosen windows are stretches of toxic documents; the separate compressors tell words that ordinary text lacks."""
+    docs, labels = corpus(400, 5)
+    toxic, ordinary = ([x for (_, x, *_), (_, _, label) in zip(docs, labels, strict=True) if label == want] for want in (1, 0))
+    dictionaries = t.train_dictionaries(toxic, ordinary)
+    assert sum(w.encode() in dictionaries[0] for w in INSULTS) >= 2 and not any(w.encode() in dictionaries[1] for w in INSULTS)
+    distance = t.Distance(*dictionaries)
+    mean = lambda words: np.mean([distance.of(w) for x in words for w in t.windows(x, 1)])
+    assert mean(INSULTS) > mean(ordinary[:20]) + 2
+
+
 def test_toxicity_does_not_learn_held_out_labels(spark):
     docs, labels = corpus(200)
     other = [(d, q_, 1 - x if held(d) else x) for d, q_, x in labels]
@@ -333,8 +347,8 @@ def test_toxicity_does_not_learn_held_out_labels(spark):
 
 def test_dictionaries_of_very_few_texts():
     toxic, ordinary = t.train_dictionaries(["you idiot here"] * 2, ["plain words"])
-    assert len(toxic) == len(t.SEGMENTS) and len(ordinary) == len(t.ORDINARY_BYTES)
-    assert t.train_dictionaries([], []) == ([b""] * len(t.SEGMENTS), [b""] * len(t.ORDINARY_BYTES))
+    assert len(toxic) <= t.TOXIC_BYTES and len(ordinary) <= t.ORDINARY_BYTES
+    assert t.train_dictionaries([], []) == (b"", b"") and t.train_dictionaries(["", " "], [""]) == (b"", b"")
 
 
 @pytest.mark.parametrize("n", [2, 3, 5])
