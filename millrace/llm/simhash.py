@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.resemblance import similar
 from millrace.llm.tables import located, slices, stash, without_rows
 
 SEED = 42
@@ -200,9 +201,12 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4, place: str | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4, place: str | None = None, similarity: float | None = None) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id, kept and place (the column named so, or null) for every row.
 
+    With a similarity (and a place) texts whose five-word shingles have that Jaccard similarity are linked as well, if
+    `resemblance` finds them; fingerprints are looked for in any case.
+
     Null and wordless texts have fingerprint zero and link with one another. Very long texts are read as a whole, one at
     a time. Ties: equal fingerprints are one before anything is joined. Rows that repeat a doc_id each have their own
     fingerprint; their links meet in that id. Rows without a doc_id keep their fingerprint but link with nothing:
@@ -211,14 +215,17 @@ def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4, place: str |
     """
     rows = stash(fingerprints(docs, width, place), "fingerprints")
     known = rows.where("doc_id is not null").select("doc_id", "fp")
-    reps = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "representatives")
+    reps = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min_by("place", "doc_id").alias("place"), F.count(F.lit(1)).alias("n")), "representatives")
     own = reps.where("rep is not null").select("fp", "rep")
     n, total = own.count(), reps.agg(F.sum("n")).first()[0] or 0
     # a doc_id under several fingerprints joins them
     twice = known.distinct().join(known.groupBy("doc_id").agg(F.count_distinct("fp").alias("fps")).where("fps > 1"), "doc_id")
     same_id = twice.join(own, "fp").select(F.least("doc_id", "rep").alias("low"), F.greatest("doc_id", "rep").alias("high"))
-    found = components(links(own, n, distance).unionByName(same_id))
-    placed = stash(reps.join(found, reps.rep == found.id, "left").select(F.col("fp").alias("of"), "n", F.coalesce("component", "rep").alias("component_id")), "placed")
+    linked = links(own, n, distance).unionByName(same_id)
+    if similarity is not None:
+        linked = linked.unionByName(similar(docs, place, reps.where("rep is not null").select(F.col("rep").alias("of"), "place"), similarity))
+    found = components(linked)
+    placed = stash(reps.drop("place").join(found, reps.rep == found.id, "left").select(F.col("fp").alias("of"), "n", F.coalesce("component", "rep").alias("component_id")), "placed")
     # at most HOT fingerprints have that share of the rows; these rows are joined where they are, and no other key is hot
     hot = placed.where(F.col("n") * HOT >= total).drop("n")
     beside = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), F.col("fp") == F.col("of"), "left").drop("of")
@@ -229,13 +236,13 @@ def near_dedup(docs: DataFrame, width: int = 4, distance: int = 4, place: str |
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def one_of_each(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
-    """Rows of docs, columns as they are, less each row that has a smaller doc_id in its component.
+def one_of_each(docs: DataFrame, width: int = 4, distance: int = 4, similarity: float | None = None) -> DataFrame:
+    """Rows of docs, columns as they are, less each row that has a smaller doc_id in its component, as `near_dedup` has them.
 
     Dropped rows go by their place in docs' files, so texts stay where they are, however many are dropped. Rows without a
     doc_id stay, and rows that repeat the smallest doc_id all stay. Nulls, empty and long texts and ties are as in
     `near_dedup`. An empty table gives an empty result; other columns are kept and not looked at.
     """
     docs, place = located(docs)
-    dropped = near_dedup(docs, width, distance, place).where("not kept and doc_id is not null").select("place")
+    dropped = near_dedup(docs, width, distance, place, similarity).where("not kept and doc_id is not null").select("place")
     return without_rows(docs, place, dropped)

@@ -1,7 +1,10 @@
+import random
+
 import duckdb
 import pytest
 from support import documents
 from test_language_id import corpus
+from test_resemblance import edited, jaccard, plain_shingles
 from test_simhash import plain_fingerprint
 
 import __spark_entry__ as contract
@@ -15,7 +18,7 @@ def brute(rows):
     letters = [(d, t) for d, t in rows if t and any(c.isalpha() for c in t)]
     last = {t: max(d for d, x in letters if x == t) for _, t in letters}
     once = [(d, t) for d, t in letters if last[t] == d]
-    fps = [(d, plain_fingerprint(t)) for d, t in once]
+    fps, texts = [(d, plain_fingerprint(t)) for d, t in once], dict(once)
     root = {d: d for d, _ in fps}
 
     def find(x):
@@ -25,7 +28,7 @@ def brute(rows):
 
     for i, (a, x) in enumerate(fps):
         for b, y in fps[i + 1 :]:
-            if (x ^ y).bit_count() <= 4:
+            if (x ^ y).bit_count() <= 4 or jaccard(*(plain_shingles(texts[i]) for i in (a, b))) >= 0.8:
                 low, high = sorted((find(a), find(b)))
                 root[high] = low
     return sorted((d, t.replace("24be64439e3e49cf46b2d7c90f3602a3d0b907ff", secret_scan.REDACTED)) for d, t in once if find(d) == d)
@@ -36,7 +39,9 @@ def test_stages_against_brute_force(spark):
     text = rows[7][1]
     rows += [(200, text, "en", None, None), (201, text + " ", "en", None, None), (202, "12 34", "en", None, None), (203, None, "en", None, None), (204, rows[3][1] + ' token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" x', "en", None, None)]
     rows += [(205, " ".join(t for _, t, *_ in rows[:120] if t) * 12, "en", None, None)]
-    assert len(rows[-1][1]) > 200_000
+    words = rows[-1][1].split()[:300]
+    rows += [(300 + i, " ".join(edited(random.Random(i), words, 4)), "en", None, None) for i in range(5)]
+    assert len(rows[-6][1]) > 200_000
     docs = documents(spark, rows)
     names = docs.columns
     for _, stage in corpus_pipeline.STAGES[:-1]:
