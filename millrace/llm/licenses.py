@@ -5,9 +5,12 @@
 2. Cut a text into sentences in two ways: by lines as well as by full stops, and by full stops in paragraphs whose lines
    are joined, for licence texts that are wrapped.
 3. Normalise each sentence to lower-case letters and digits with single spaces.
-4. Map it to the identifier of a known licence sentence; one that speaks of a licence but isn't known is UNKNOWN.
+4. Map it to the identifier of a known licence sentence, or of a template whose holder, name or place is open. An SPDX tag
+   gives an identifier for each name of its expression, whatever its length and brackets, with an exception after WITH.
+   A sentence that speaks of a licence but isn't known is UNKNOWN.
 5. Match the sequence of known identifiers against rules in order, longer ones first: a rule whose identifiers follow
-   one another gives its licence and uses them up. No rule matches across what another one used up.
+   one another gives its licence and uses them up. No rule matches across what another one used up. "All rights reserved"
+   doesn't count by itself beside a sentence that speaks of an unknown licence.
 
 It is one projection: no shuffle, no state, so a hot source or a group of copies can't weigh on one task. Texts without
 any word that every known sentence and every licence sentence has one of aren't cut at all.
@@ -93,6 +96,32 @@ SENTENCES = {
     "gnu-url": ["if not see http www gnu org licenses", "if not see https www gnu org licenses"],
     "cc-by4-view": ["to view a copy of this license visit http creativecommons org licenses by 4 0", "to view a copy of this license visit https creativecommons org licenses by 4 0", "to view a copy of this license visit http creativecommons org licenses by 4 0 or send a letter to creative commons po box 1866 mountain view ca 94042 usa"],
     "rights": ["all rights reserved"],
+    "asf-agreements": ["licensed to the apache software foundation asf under one or more contributor license agreements"],
+    "apache2-asf": ["the asf licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license", "the asf licenses this file to you under the apache license version 2 0", "the asf licenses this file to you under the apache license version 2 0 the license"],
+    "apache2-ref mit-ref": ["licensed under either of apache license version 2 0 or mit license", "licensed under either of apache license version 2 0 or mit license at your option", "licensed under either the mit license or the apache license version 2 0", "licensed under the mit license or the apache license version 2 0 at your option", "dual licensed under mit and apache 2 0", "licensed under either of apache license version 2 0 license apache or http www apache org licenses license 2 0 mit license license mit or http opensource org licenses mit at your option", "licensed under either of apache license version 2 0 license apache or https www apache org licenses license 2 0 mit license license mit or https opensource org licenses mit at your option"],
+}
+
+# Public licence sentences in normal form with an open part, as patterns of the whole sentence.
+TEMPLATES = {
+    "bsd-endorse": "(?:3 )?neither the names? of .+ may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-disclaimer": "this software is provided by .+ as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-liability": "in no event shall .+ be liable for any direct indirect incidental special exemplary or consequential damages .+ even if advised of the possibility of such damage",
+    "bsd-style-ref": "use of this source code is governed by an? (?:new )?bsd style license that can be found in the license file.*",
+    "mit-ref": "use of this source code is governed by an? mit style license that can be found in the license file.*",
+    "mit-liability": "in no event shall .+ be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "isc-warranty": "the software is provided as is and .+ disclaims? all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "isc-liability": "in no event shall .+ be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits .+ arising out of or in connection with the use or performance of this software",
+    "gpl2-only": "(?:.+ )?you can redistribute it and or modify it under the terms of (?:the gnu general public license version 2|version 2 of the gnu general public license) (?:only )?as published by the free software foundation",
+    "gpl3-only": "(?:.+ )?you can redistribute it and or modify it under the terms of (?:the gnu general public license version 3|version 3 of the gnu general public license) (?:only )?as published by the free software foundation",
+    "gpl2-later": ".+ you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl3-later": ".+ you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl21-later": ".+ you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3-later": ".+ you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl3-later": ".+ you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-warranty": ".+ is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl-received": "you should have received a copy of the gnu general public license along with .+",
+    "lgpl-received": "you should have received a copy of the gnu lesser general public license along with .+",
+    "agpl-received": "you should have received a copy of the gnu affero general public license along with .+",
 }
 
 # Rules in the order they are tried, as identifiers that follow one another and their licence.
@@ -101,6 +130,8 @@ RULES = [
     (["boost-grant", "boost-notice", "boost-warranty", "boost-liability"], "BSL-1.0"),
     (["zlib-warranty", "zlib-liability", "zlib-grant", "zlib-origin", "zlib-altered", "zlib-notice"], "Zlib"),
     (["bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse"], "BSD-4-Clause"),
+    (["asf-agreements", "apache2-asf", "apache2-copy", "apache2-basis", "apache2-see"], "Apache-2.0"),
+    (["asf-agreements", "apache2-asf", "apache2-use", "apache2-copy", "apache2-basis", "apache2-see"], "Apache-2.0"),
     (["apache2-use", "apache2-copy", "apache2-basis", "apache2-see"], "Apache-2.0"),
     (["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"], "BSD-3-Clause"),
     (["mit-grant", "mit-notice", "mit-warranty", "mit-liability"], "MIT"),
@@ -117,6 +148,12 @@ RULES = [
     (["apache-title", "apache2-version"], "Apache-2.0"),
     (["gpl-title", "gpl3-version"], "GPL-3.0-only"),
     (["gpl-title", "gpl2-version"], "GPL-2.0-only"),
+    (["apache2-asf"], "Apache-2.0"),
+    (["gpl2-only", "gpl-warranty", "gpl-see", "gpl-received"], "GPL-2.0-only"),
+    (["gpl3-only", "gpl-warranty", "gpl-see", "gpl-received"], "GPL-3.0-only"),
+    (["gpl2-only"], "GPL-2.0-only"),
+    (["gpl3-only"], "GPL-3.0-only"),
+    (["bsd-style-ref"], "BSD"),
     (["apache2-ref"], "Apache-2.0"),
     (["apache2-use"], "Apache-2.0"),
     (["mit-ref"], "MIT"),
@@ -160,14 +197,18 @@ ANCHORS = ["licen", "permission", "copyright", "software", "redistribut", "warra
 SPOKEN = "licen[cs]e"
 UNKNOWN = "UNKNOWN"
 
-# Names that an SPDX tag may have.
-SPDX = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "Zlib", "BSL-1.0", "EPL-1.0", "EPL-2.0", "MPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "Artistic-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC0-1.0", "Unlicense"]
+RIGHTS = "All-Rights-Reserved"
+
+# Names that an SPDX tag may have, old names for them, and exceptions.
+SPDX = ["MIT", "MIT-0", "Apache-2.0", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "Zlib", "BSL-1.0", "EPL-1.0", "EPL-2.0", "MPL-2.0", "GPL-1.0-only", "GPL-1.0-or-later", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "Artistic-2.0", "CC-BY-3.0", "CC-BY-SA-3.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC0-1.0", "OFL-1.1", "PSF-2.0", "WTFPL", "X11", "Unlicense"]
+OLD_SPDX = {"GPL-1.0": "GPL-1.0-only", "GPL-2.0": "GPL-2.0-only", "GPL-3.0": "GPL-3.0-only", "LGPL-2.0": "LGPL-2.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3.0": "LGPL-3.0-only", "AGPL-3.0": "AGPL-3.0-only"}
+EXCEPTIONS = ["Autoconf-exception-3.0", "Bison-exception-2.2", "Classpath-exception-2.0", "Font-exception-2.0", "GCC-exception-3.1", "LLVM-exception", "Linux-syscall-note", "OpenSSL-exception", "Qt-LGPL-exception-1.1"]
 
 # What is mended before sentences are cut, in order: a pattern, and what stands for it (with $1 and $2 for its groups).
 MENDED = [
     (r"(?m)^[ \t]*(?://+|/\*+|\*+/|\*+|#+|--+|;+|%+)[ \t]?", ""),  # comment leaders
     (r"(?m)[ \t]*\*+/[ \t\r]*$", ""),
-    (r"spdx-license-identifier:[ \t]*\(?([a-z0-9.+-]+)[ \t]+(?:or|and)[ \t]+([a-z0-9.+-]+)\)?", "spdx-license-identifier: $1\nspdx-license-identifier: $2"),
+    (r"([0-9])\+|-or-later\b", "$1 orlater"),  # of SPDX names; "or" joins them
     (r"spdx-license-identifier:([^\n]*)", ". spdx license identifier$1. "),
     (r"\b([a-z])\. ([0-9])", "$1 $2"),  # "v. 2.0" goes on
     (r"\n[ \t\r]*\n[ \t\r]*(<?https?:)", " $1"),  # a URL in a paragraph of its own goes on with the sentence before it
@@ -176,8 +217,12 @@ ENDS = r"[.!?:]+[)\"']*[ \t\r\n]"
 UNUSED = "|"  # stands where a rule used identifiers up
 
 _KNOWN = {s: i for i, sentences in SENTENCES.items() for s in sentences}
-_KNOWN |= {f"spdx license identifier {' '.join(name.lower().replace('-', ' ').replace('.', ' ').split())}": f"spdx-{name.lower()}" for name in SPDX}
-_RULES = [*RULES, *(([f"spdx-{name.lower()}"], name) for name in SPDX)]
+_normal = lambda name: " ".join(name.lower().replace("-or-later", " orlater").replace("-", " ").replace(".", " ").split())
+_LATER = {f"{_normal(name)} orlater": f"{name}+" for name in SPDX if name[-1].isdigit()}
+_TAGS = {_normal(name): name for name in SPDX} | {_normal(old): new for old, new in OLD_SPDX.items()} | {f"{_normal(old)} orlater": f"{old}-or-later" for old in OLD_SPDX} | _LATER
+_EXCEPTIONS = {_normal(name): name for name in EXCEPTIONS}
+_TAG, _JOINED, _WITH = "spdx license identifier ", " (?:and|or) ", " with "
+_ANY_TEMPLATE = "|".join(TEMPLATES.values())
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -197,10 +242,31 @@ def _joined_lines(text: Column) -> Column:
     return F.translate(paragraphs, "\n", " ")
 
 
+def _map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*(F.lit(x) for pair in pairs.items() for x in pair))
+
+
+def _tagged(name: Column) -> Column:
+    """The identifier of one name in a tag's expression: its licence, and its exception after an ampersand."""
+    known, exception = _map(_TAGS)[F.split_part(name, F.lit(_WITH), F.lit(1))], _map(_EXCEPTIONS)[F.split_part(name, F.lit(_WITH), F.lit(2))]
+    return F.coalesce(F.concat(F.lit("spdx-"), F.lower(known), F.coalesce(F.concat(F.lit("&"), F.lower(exception)), F.lit(""))), F.lit(UNKNOWN))
+
+
+def _templated(s: Column) -> Column:
+    out = F.when(s.rlike(f"^(?:{next(iter(TEMPLATES.values()))})$"), F.lit(next(iter(TEMPLATES))))
+    for i, pattern in list(TEMPLATES.items())[1:]:
+        out = out.when(s.rlike(f"^(?:{pattern})$"), F.lit(i))
+    return F.when(s.rlike(f"^(?:{_ANY_TEMPLATE})$"), out)
+
+
 def _identified(sentences: Column) -> Column:
-    known = F.create_map(*(F.lit(x) for pair in _KNOWN.items() for x in pair))
-    found = F.transform(sentences, lambda s: F.coalesce(known[s], F.when(s.rlike(SPOKEN), F.lit(UNKNOWN))))
-    return F.array_compact(found)
+    known = _map(_KNOWN)
+
+    def one(s: Column) -> Column:
+        sentence = F.coalesce(known[s], _templated(s), F.when(s.rlike(SPOKEN), F.lit(UNKNOWN)))
+        return F.when(s.startswith(_TAG), F.transform(F.split(F.substring(s, len(_TAG) + 1, 1 << 30), _JOINED), _tagged)).otherwise(F.split(sentence, " "))
+
+    return F.flatten(F.array_compact(F.transform(F.filter(sentences, lambda s: s != ""), one)))
 
 
 def _spelt_rule(ids: list[str]) -> str:
@@ -213,7 +279,7 @@ def _spelt(ids: Column) -> Column:
 
 
 def _matched(spelt: Column) -> Column:
-    rules = F.array(*(F.struct(F.lit(_spelt_rule(ids)).alias("ids"), F.lit(name).alias("name")) for ids, name in _RULES))
+    rules = F.array(*(F.struct(F.lit(_spelt_rule(ids)).alias("ids"), F.lit(name).alias("name")) for ids, name in RULES))
     start = F.struct(spelt.alias("left"), F.array().cast("array<string>").alias("names"))
 
     def use(so_far: Column, rule: Column) -> Column:
@@ -223,10 +289,18 @@ def _matched(spelt: Column) -> Column:
     return F.aggregate(rules, start, use, lambda end: end["names"])
 
 
+def _named(ids: Column) -> Column:
+    """Licences of the tags among the identifiers."""
+    names, exceptions = _map({n.lower(): n for n in _TAGS.values()}), _map({n.lower(): n for n in EXCEPTIONS})
+    part = lambda i, n: F.split_part(F.substring(i, 6, 1 << 30), F.lit("&"), F.lit(n))
+    name = lambda i: F.concat(names[part(i, 1)], F.coalesce(F.concat(F.lit(" WITH "), exceptions[part(i, 2)]), F.lit("")))
+    return F.transform(F.filter(ids, lambda i: i.startswith("spdx-")), name)
+
+
 def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, licenses, sentence_ids and n_unknown of every row.
 
-    licenses: the rules' licences from either way to cut the text, each once, sorted and joined by commas. sentence_ids:
+    licenses: the rules' and tags' licences from either way to cut the text, each once, sorted and joined by commas. sentence_ids:
     the identifiers in order, joined by commas, UNKNOWN ones included, from the way that knows more sentences, then from
     the one with fewer UNKNOWN, then from that by lines; n_unknown counts these.
     Null and empty texts, and those without a licence sentence, have empty strings and 0. Texts of any length are read as
@@ -244,10 +318,15 @@ def license_scan(docs: DataFrame) -> DataFrame:
     known, unknown = (lambda c: F.size(F.array_remove(c, UNKNOWN))), (lambda c: F.size(c) - F.size(F.array_remove(c, UNKNOWN)))
     better = (known("wrapped") > known("by_line")) | ((known("wrapped") == known("by_line")) & (unknown("wrapped") < unknown("by_line")))
     ids = F.when(better, F.col("wrapped")).otherwise(F.col("by_line"))
-    names = F.when(F.size("by_line") + F.size("wrapped") > 0, F.array_union(_matched(_spelt(F.col("by_line"))), _matched(_spelt(F.col("wrapped"))))).otherwise(none)
+    tags = lambda c: _named(F.col(c))
+    names = F.array_union(F.array_union(_matched(_spelt(F.col("by_line"))), _matched(_spelt(F.col("wrapped")))), F.array_union(tags("by_line"), tags("wrapped")))
+    names = F.when(F.size("by_line") + F.size("wrapped") > 0, names).otherwise(none)
+    rows = rows.select("doc_id", names.alias("names"), ids.alias("ids"))
+    ids = F.col("ids")
+    misleading = (F.size("names") == 1) & (unknown(ids) > 0)
     return rows.select(
         "doc_id",
-        F.array_join(F.array_sort(names), ",").alias("licenses"),
+        F.array_join(F.array_sort(F.when(misleading, F.array_remove("names", RIGHTS)).otherwise(F.col("names"))), ",").alias("licenses"),
         F.array_join(ids, ",").alias("sentence_ids"),
         unknown(ids).cast("long").alias("n_unknown"),
     )
@@ -266,20 +345,27 @@ def sql() -> str:
         mended = f"regexp_replace({mended}, {_quoted(pattern)}, {quote(instead.replace('$1', '\\1').replace('$2', '\\2'))}, 'g')"
     cut = lambda t: f"list_transform(string_split(regexp_replace({t} || chr(10), {_quoted(ENDS)}, chr(10), 'g'), chr(10)), lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')))"
     wrapped = "replace(regexp_replace(t, '\\n[ \\t\\r]*\\n', '. ', 'g'), chr(10), ' ')"
-    named = lambda c: f"list_filter(list_transform({c}, lambda s: coalesce(({values})[list_position({keys}, s)], CASE WHEN regexp_matches(s, '{SPOKEN}') THEN '{UNKNOWN}' END)), lambda i: i IS NOT NULL)"
+    of = lambda pairs, x: f"([{', '.join(map(_quoted, pairs.values()))}])[list_position([{', '.join(map(_quoted, pairs))}], {x})]"
+    templates = " ".join(f"WHEN regexp_full_match(s, {_quoted(pattern)}) THEN {_quoted(i)}" for i, pattern in TEMPLATES.items())
+    tagged = f"coalesce('spdx-' || lower({of(_TAGS, f'split_part(x, {_quoted(_WITH)}, 1)')}) || coalesce('&' || lower({of(_EXCEPTIONS, f'split_part(x, {_quoted(_WITH)}, 2)')}), ''), '{UNKNOWN}')"
+    tags = f"list_transform(string_split_regex(substr(s, {len(_TAG) + 1}), {_quoted(_JOINED)}), lambda x: {tagged})"
+    plain = f"string_split(coalesce(({values})[list_position({keys}, s)], CASE {templates} WHEN regexp_matches(s, '{SPOKEN}') THEN '{UNKNOWN}' END), ' ')"
+    named = lambda c: f"flatten(list_filter(list_transform(list_filter({c}, lambda s: s <> ''), lambda s: CASE WHEN starts_with(s, {_quoted(_TAG)}) THEN {tags} ELSE {plain} END), lambda i: i IS NOT NULL))"
+    back = lambda i, n: f"split_part(substr({i}, 6), '&', {n})"
+    names = lambda c: f"list_transform(list_filter({c}, lambda i: starts_with(i, 'spdx-')), lambda i: {of({n.lower(): n for n in _TAGS.values()}, back('i', 1))} || coalesce(' WITH ' || {of({n.lower(): n for n in EXCEPTIONS}, back('i', 2))}, ''))"
     spelt = lambda c: f"coalesce(list_aggregate(list_transform(list_filter({c}, lambda i: i <> '{UNKNOWN}'), lambda i: '<' || i || '>'), 'string_agg', ''), '')"
     steps = [
         f"l AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)",
         f"d AS (SELECT doc_id, {mended} AS t FROM l)",
         f"c AS (SELECT doc_id, {named(cut('t'))} AS a, {named(cut(wrapped))} AS b FROM d)",
         f"k AS (SELECT *, len(list_filter(a, lambda i: i <> '{UNKNOWN}')) AS ka, len(list_filter(b, lambda i: i <> '{UNKNOWN}')) AS kb FROM c)",
-        f"m0 AS (SELECT doc_id, CASE WHEN kb > ka OR (kb = ka AND len(b) < len(a)) THEN b ELSE a END AS a, {spelt('a')} AS x, []::VARCHAR[] AS xs, {spelt('b')} AS y, []::VARCHAR[] AS ys FROM k)",
+        f"m0 AS (SELECT doc_id, CASE WHEN kb > ka OR (kb = ka AND len(b) < len(a)) THEN b ELSE a END AS a, {spelt('a')} AS x, {names('a')} AS xs, {spelt('b')} AS y, {names('b')} AS ys FROM k)",
     ]
-    for n, (ids, name) in enumerate(_RULES):
+    for n, (ids, name) in enumerate(RULES):
         rule = _quoted(_spelt_rule(ids))
         used = ", ".join(f"CASE WHEN contains({v}, {rule}) THEN replace({v}, {rule}, '{UNUSED}') ELSE {v} END AS {v}, CASE WHEN contains({v}, {rule}) THEN list_append({v}s, {_quoted(name)}) ELSE {v}s END AS {v}s" for v in "xy")
         steps.append(f"m{n + 1} AS MATERIALIZED (SELECT doc_id, a, {used} FROM m{n})")
     return f"""WITH {', '.join(steps)}
-        SELECT doc_id, coalesce(array_to_string(list_sort(list_distinct(xs || ys)), ','), '') AS licenses,
-               coalesce(array_to_string(a, ','), '') AS sentence_ids, len(list_filter(a, lambda i: i = '{UNKNOWN}'))::BIGINT AS n_unknown
-        FROM m{len(_RULES)}"""
+        SELECT doc_id, coalesce(array_to_string(list_sort(list_filter(names, lambda n: n <> '{RIGHTS}' OR len(names) > 1 OR n_unknown = 0)), ','), '') AS licenses,
+               coalesce(array_to_string(a, ','), '') AS sentence_ids, n_unknown
+        FROM (SELECT doc_id, a, list_distinct(xs || ys) AS names, len(list_filter(a, lambda i: i = '{UNKNOWN}'))::BIGINT AS n_unknown FROM m{len(RULES)})"""

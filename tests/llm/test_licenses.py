@@ -64,7 +64,8 @@ def test_known_sentences_are_normal_and_have_an_anchor(sentence):
 
 
 def test_rules_name_known_identifiers():
-    assert all(i in lic.SENTENCES for ids, _ in lic.RULES for i in ids)
+    known = {i for ids in [*lic.SENTENCES, *lic.TEMPLATES] for i in ids.split()}
+    assert all(i in known for ids, _ in lic.RULES for i in ids)
 
 
 def test_native_plan(spark):
@@ -119,3 +120,30 @@ def test_a_used_rule_parts_its_neighbours(spark):
     texts = [sentence("mit-grant") + bsd + sentence("mit-notice"), bsd + bsd, sentence("mit-grant") + sentence("mit-notice") + bsd]
     texts.append("".join(map(sentence, ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"])) * 2)
     assert compared(spark, texts) == [("BSD-2-Clause", 0), ("BSD-2-Clause", 0), ("BSD-2-Clause,MIT", 0), ("BSD-3-Clause", 0)]
+
+
+EXPRESSIONS = {
+    "MIT": "MIT", "mit": "MIT", "(MIT)": "MIT", "0BSD": "0BSD", "GPL-2.0": "GPL-2.0-only", "GPL-2.0+": "GPL-2.0-or-later", "LGPL-2.1": "LGPL-2.1-only",
+    "LGPL-2.1+": "LGPL-2.1-or-later", "AGPL-3.0": "AGPL-3.0-only", "GPL-3.0-or-later": "GPL-3.0-or-later", "Apache-2.0+": "Apache-2.0+",
+    "MIT OR Apache-2.0 OR ISC": "Apache-2.0,ISC,MIT", "(MIT OR Apache-2.0) AND BSD-3-Clause": "Apache-2.0,BSD-3-Clause,MIT", "MIT AND (ISC OR (Zlib AND 0BSD))": "0BSD,ISC,MIT,Zlib",
+    "GPL-2.0-only WITH Linux-syscall-note": "GPL-2.0-only WITH Linux-syscall-note", "GPL-2.0 WITH Classpath-exception-2.0": "GPL-2.0-only WITH Classpath-exception-2.0",
+    "GPL-2.0+ WITH GCC-exception-3.1 OR MIT": "GPL-2.0-or-later WITH GCC-exception-3.1,MIT", "(GPL-2.0-or-later WITH Bison-exception-2.2) AND LGPL-3.0+": "GPL-2.0-or-later WITH Bison-exception-2.2,LGPL-3.0-or-later",
+    "Apache-2.0 WITH LLVM-exception": "Apache-2.0 WITH LLVM-exception", "GPL-2.0-or-later OR MIT": "GPL-2.0-or-later,MIT", "MIT AND MIT": "MIT", "CC-BY-SA-4.0 OR CC0-1.0": "CC-BY-SA-4.0,CC0-1.0",
+    "MPL-2.0 or EPL-2.0 and LGPL-2.1-only": "EPL-2.0,LGPL-2.1-only,MPL-2.0", "((ISC))": "ISC", "Artistic-2.0+": "Artistic-2.0+", "OFL-1.1": "OFL-1.1", "WTFPL OR Unlicense OR X11 OR PSF-2.0": "PSF-2.0,Unlicense,WTFPL,X11",
+    "GPL-1.0+ OR GPL-2.0-only": "GPL-1.0-or-later,GPL-2.0-only", "EPL-1.0 WITH Nothing-known": "EPL-1.0", "BSL-1.0 AND MIT-0 AND CC-BY-3.0": "BSL-1.0,CC-BY-3.0,MIT-0",
+}
+
+
+def test_spdx_expressions(spark):
+    ways = ["// SPDX-License-Identifier: {}\nint x;", "/* SPDX-License-Identifier: {} */", "# spdx-license-identifier: {}\n\nSome prose."]
+    texts = [ways[i % 3].format(e) for i, e in enumerate(EXPRESSIONS)] + ["SPDX-License-Identifier: MIT OR Nobody-1.0", "SPDX-License-Identifier: LicenseRef-mine AND Nobody-1.0"]
+    assert compared(spark, texts) == [*((x, 0) for x in EXPRESSIONS.values()), ("MIT", 1), ("", 2)]
+
+
+def test_notices_with_open_parts(spark):
+    assert compared(spark, [t for _, t in licence_texts.NOTICES]) == [(name, 0) for name, _ in licence_texts.NOTICES]
+
+
+def test_rights_reserved_stand_alone_only(spark):
+    texts = ["Copyright 2001 X. All rights reserved.", "Copyright 2001 X. All rights reserved.\nUnder a license of our own.", "Copyright 2001 X. All rights reserved.\nReleased under the MIT License."]
+    assert compared(spark, texts) == [("All-Rights-Reserved", 0), ("", 1), ("All-Rights-Reserved,MIT", 0)]
