@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import bottom, free_name, held_out, overdrawn, share, slices
+from millrace.llm.tables import bottom, forget, free_name, held_out, overdrawn, share, slices
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -104,6 +104,7 @@ def counts(docs: DataFrame) -> DataFrame:
     """lang, slot, n over docs (text, lang), whole texts: what naive Bayes learns from."""
 
     def run(batches):
+        forget()
         for batch in slices(batches):
             langs = batch.column(1).to_pylist()
             number = {lang: i for i, lang in enumerate(sorted(set(langs)))}
@@ -198,6 +199,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, names:
     at, width = rows.columns.index("text"), len(keep)
 
     def run(batches):
+        forget()
         for batch in slices(batches):
             langs, scores = shared.value.score(batch.column(at).to_pylist())
             columns = [*batch.columns[:width], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]

@@ -17,6 +17,8 @@ from itertools import chain
 
 import ahocorasick
 
+from millrace.llm.tables import forgettable
+
 MARK = "▁"  # stands for a space
 CACHE = 1_000_000  # entries; cleared when full, which costs time only
 LONG = 48  # characters; longer texts are not cached
@@ -269,3 +271,6 @@ def _utf8(raw: bytes) -> str:
 def piece_bpe(model_path: str) -> PieceBPE:
     """One encoder a worker and file."""
     return PieceBPE(model_path)
+
+
+forgettable(piece_bpe.cache_clear)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.forest import Forest, grow
 from millrace.llm.secret_findings import BENIGN_NAMES, PROSE, WORDS, Finding, labelled_findings
-from millrace.llm.tables import free_name, slices
+from millrace.llm.tables import forget, free_name, slices
 
 THRESHOLD = 0.5
 AROUND = 48  # characters before and after a candidate
@@ -124,6 +124,7 @@ def secret_scan(docs: DataFrame, findings: list[Finding] | None = None) -> DataF
     shared = _shared(docs, findings)
 
     def run(batches):
+        forget()
         for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out = [
@@ -158,6 +159,7 @@ def redact(docs: DataFrame, findings: list[Finding] | None = None) -> DataFrame:
     schema, at, name = docs.schema, docs.columns.index("text"), free_name(docs, "path")
 
     def run(batches):
+        forget()
         for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             new = []

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.resemblance import similar
-from millrace.llm.tables import located, slices, stash, without_rows
+from millrace.llm.tables import forget, located, slices, stash, without_rows
 
 SEED = 42
 BITS = 64
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, width: int = 4, place: str | None = None) -> D
     """doc_id and fp (signed long with the fingerprint's bits) of every row, and place: the binary column named so, or null."""
 
     def run(batches):
+        forget()
         for batch in slices(batches):
             found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], "<u8").view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), batch.column(2)], names=["doc_id", "fp", "place"])

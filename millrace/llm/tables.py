@@ -18,6 +18,7 @@ OVERDRAWN, SPARE = 1.3, 60  # times the bound of a sample, and more, that is dra
 MOST_LABELS = 250_000  # labels of a few dozen bytes that are sent to every executor; more are joined as Spark chooses
 LEAST_ROWS = 8  # of each label in a sample, whatever the size of their texts
 
+_kept: list = []  # functions that empty what a worker keeps
 _made: list[str] = []  # folders that stash() wrote and discard() has not deleted yet
 
 
@@ -78,6 +79,17 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("row", F.monotonically_increasing_id())
 
 
+def forgettable(clear) -> None:
+    """Names a function that empties what an operator keeps in a worker from task to task."""
+    _kept.append(clear)
+
+
+def forget() -> None:
+    """Empties what other operators have kept in this worker; called where an operator begins a task that needs none of it."""
+    for clear in _kept:
+        clear()
+
+
 def slices(batches, rows: int = SLICE_ROWS):
     """Arrow batches in slices of few rows. Spark bounds a batch's bytes; this bounds what is unpacked of it at a time."""
     for batch in batches:
@@ -199,6 +211,7 @@ def bottom(rows: DataFrame, bounds: dict, longest: int | None = None, content: s
     schema = coded.schema
 
     def run(batches):
+        forget()
         held: dict = {}
         kinds = []
         for batch in slices(batches):

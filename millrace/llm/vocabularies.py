@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 
+from millrace.llm.tables import forgettable
 from millrace.llm.word_bpe import word_bpe
 
 CACHE = 500_000  # chunks in a worker's table; when it is full, others are encoded each time, which costs time only
@@ -114,3 +115,6 @@ def blocks(texts: list[str]):
 def vocabularies(*paths: str) -> Vocabularies:
     """One table a worker and choice of files."""
     return Vocabularies(*paths)
+
+
+forgettable(vocabularies.cache_clear)

@@ -10,6 +10,8 @@ import re
 from array import array
 from functools import lru_cache
 
+from millrace.llm.tables import forgettable
+
 CACHE = 1_000_000  # entries; cleared when full, which costs time only
 LONG = 48  # characters; longer texts are not cached
 
@@ -92,3 +94,6 @@ class WordBPE:
 def word_bpe(path: str) -> WordBPE:
     """One encoder a worker and file."""
     return WordBPE(path)
+
+
+forgettable(word_bpe.cache_clear)

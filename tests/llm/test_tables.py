@@ -72,3 +72,14 @@ def test_places_of_rows_without_files(spark):
     docs, place = tables.located(spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "doc_id long, place string"))
     assert place == "place_" and len({bytes(r[place]) for r in docs.collect()}) == 3
     assert tables.without_rows(docs, place, docs.where("false").select(tables.F.col(place).alias("place"))).count() == 3
+
+
+def test_operators_release_what_others_keep():
+    import public_tokenizers
+
+    from millrace.llm.word_bpe import word_bpe
+
+    encoder = word_bpe(public_tokenizers.path("word_bpe_49k.json"))
+    assert word_bpe(public_tokenizers.path("word_bpe_49k.json")) is encoder
+    tables.forget()
+    assert word_bpe.cache_info().currsize == 0
