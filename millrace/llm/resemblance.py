@@ -5,8 +5,8 @@
    hash of ROWS minima. Texts of a resemblance of 0.8 share one of ten bands of five with a chance of 0.98.
 2. Texts meet in the bucket of a band, with a byte of each minimum. There, in order, a text is compared with the leaders so far,
    and is a candidate with those whose bytes agree in LIKELY of them. Leaders that some text agrees with in SURE are one
-   cluster, and of a cluster the EACH that agree most are taken, as they join what the others would. A text without a
-   SURE leader becomes a leader. So a large group of near copies gives some rows for each, not one for each pair.
+   cluster, and of a cluster those that agree most are taken, as they join what the others would: one for a text with a
+   SURE leader, EACH for another. A text without a SURE leader becomes a leader. So a large group of near copies gives some rows for each, not one for each pair.
 3. A bucket over CHUNK rows is dealt to lots; the leaders of its lots meet again, until they fit one lot. Where most are
    leaders, so that this would not end, each pair of lots meets in a task of its own. No pair is left out, and no task is unbounded.
 4. `verified`: shingle sets of the candidates are joined to the pairs, and those of a Jaccard similarity of at least 0.8 are
@@ -96,10 +96,11 @@ def leaders(of: np.ndarray, own: np.ndarray, first: np.ndarray | None = None, su
         near = np.flatnonzero(agree >= LIKELY)
         near = near[np.argsort(-agree[near], kind="stable")]
         seen: dict[int, int] = {}
+        each = 1 if len(near) and agree[near[0]] >= sure else EACH
         for k in near.tolist():
             c = int(cluster[k])
             seen[c] = seen.get(c, 0) + 1
-            if seen[c] <= EACH:
+            if seen[c] <= each:
                 pairs.append((of[at[k]], of[i]))
         same = np.unique(cluster[near[agree[near] >= sure]])
         if len(same) > 1:
@@ -114,10 +115,10 @@ _FOUND = "a long, b long, key long, of long, bytes binary"
 
 
 def _met(rows: pa.Table, sure: float) -> pa.Table:
-    """Pairs (a, b) and leaders (key, of, bytes) of a group of lots."""
+    """Distinct pairs (a, b), and leaders (key, of, bytes) where there is `more` of their bucket, of a group of lots."""
     key, lot, of = (rows[c].to_numpy() for c in ("key", "lot", "of"))
     own = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(-1, len(_MIX))
-    side = rows["side"].to_numpy(zero_copy_only=False)
+    side, more = (rows[c].to_numpy(zero_copy_only=False) for c in ("side", "more"))
     order = np.lexsort((of, lot, key))
     begins = np.flatnonzero(np.concatenate(([True], (np.diff(key[order]) != 0) | (np.diff(lot[order]) != 0)))) if len(order) else np.zeros(0, np.int64)
     pairs, led = [], []
@@ -126,9 +127,10 @@ def _met(rows: pa.Table, sure: float) -> pa.Table:
         if b - a > 1:
             found, places = leaders(of[part], own[part], side[part] == 0 if side[part[0]] >= 0 else None, sure)
             pairs += found
-            led.append(part[places])
-        else:
+            part = part[places]
+        if more[part[0]]:
             led.append(part)
+    pairs = sorted({(min(p), max(p)) for p in pairs})  # bands of one group find the same
     led = np.concatenate(led) if led else np.zeros(0, np.int64)
     n = len(pairs)
     low, high = (np.array([f(p) for p in pairs], np.int64) for f in (min, max))
@@ -153,17 +155,17 @@ def candidates(rows: DataFrame, sure: float = SURE) -> DataFrame:
         dealt = rows.join(counted.drop("n"), "key")
         if before is not None and split and split > before // 2:  # most are leaders: pairs of lots
             meet = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, F.lit(-1)).otherwise((own > j).cast("int")).alias("side")))
-            dealt = dealt.withColumn("m", F.explode(meet)).select("key", "of", "bytes", F.xxhash64("m.i", "m.j").alias("lot"), F.col("m.side").alias("side"))
+            dealt = dealt.withColumn("m", F.explode(meet)).select("key", "of", "bytes", F.xxhash64("m.i", "m.j").alias("lot"), F.col("m.side").alias("side"), F.lit(False).alias("more"))
             split, total = None, every
         else:
-            dealt = dealt.select("key", "of", "bytes", own.cast("long").alias("lot"), F.lit(-1).alias("side"))
+            dealt = dealt.select("key", "of", "bytes", own.cast("long").alias("lot"), F.lit(-1).alias("side"), (F.col("lots") > 1).alias("more"))
         met = stash(dealt.groupBy(F.pmod(F.xxhash64("key", "lot"), F.lit(-(-total // GROUP_ROWS)))).applyInArrow(lambda rows: _met(rows, sure), _FOUND), "met")
         found = met.where("a is not null").select("a", "b")
         out = found if out is None else out.unionByName(found)
         if not split:
             return out.where("a <> b").distinct()
         before = split
-        rows = met.where("key is not null").select("key", "of", "bytes").join(counted.where("lots > 1").select("key"), "key")
+        rows = met.where("key is not null").select("key", "of", "bytes")
 
 
 def verified(docs: DataFrame, place: str, rows: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
