@@ -3,14 +3,12 @@
 1. `signatures`: one pass over whole texts. A-Z is lower-cased, words are runs other than ASCII white space, a shingle is five
    words, its hash is XXH64. BANDS * ROWS minima of the hashes, each under a mix of its own, are the signature; a band is the
    hash of ROWS minima. Texts of a resemblance of 0.8 share one of ten bands of five with a chance of 0.98.
-2. Texts meet in the bucket of a band, with a byte of each minimum. There, in order, a text is compared with the leaders so far,
-   and is a candidate with those whose bytes agree in LIKELY of them. Leaders that some text agrees with in SURE are one
-   cluster, and of a cluster those that agree most are taken, as they join what the others would: one for a text with a
-   SURE leader, EACH for another. A text without a SURE leader becomes a leader. So a large group of near copies gives some rows for each, not one for each pair.
-3. A bucket over CHUNK rows is dealt to lots; the leaders of its lots meet again, until they fit one lot. Where most are
-   leaders, so that this would not end, each pair of lots meets in a task of its own. No pair is left out, and no task is unbounded.
-4. `verified`: shingle sets of the candidates are joined to the pairs, and those of a Jaccard similarity of at least 0.8 are
-   links.
+2. Texts meet in the bucket of a band, beside their shingle sets. Every pair of a bucket that others don't join yet is
+   verified there, the best of each component first by a byte of each minimum, and a spanning forest of the pairs of a Jaccard
+   similarity of at least 0.8 goes on: at most one row a text, however many pairs are similar, and no link is lost.
+3. A bucket over CHUNK rows or LOT_BYTES of sets is dealt to lots, and each pair of lots meets in a task of its own. There a lot's
+   own components come first, so that only links between components of two lots are added to those of the lots themselves. No
+   pair is left out, and no task is unbounded.
 """
 import numpy as np
 import pyarrow as pa
@@ -22,10 +20,10 @@ from millrace.llm.tables import marked, slices, stash
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 10, 5
-SURE, LIKELY = 0.84, 0.68  # shares of the signature: of texts at 0.8 some 2 % agree in less than LIKELY
-EACH = 2  # leaders of a cluster that a text is a candidate with
+SURE, LIKELY = 0.84, 0.68  # shares of the signature, where pairs aren't verified: of texts at 0.8 some 2 % agree in less than LIKELY
 CHUNK = 2048  # rows of a bucket in a lot
-GROUP_ROWS = 4096  # rows of all buckets in a task's group, about
+LOT_BYTES = 16 << 20  # of shingle sets in a lot, about
+GROUP_ROWS, GROUP_BYTES = 4096, 32 << 20  # rows and bytes of sets of all buckets in a task's group, about
 PIECE = 4096  # hashes mixed at once
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -58,18 +56,18 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, place: str, rows: DataFrame) -> DataFrame:
-    """of (doc_id) and text of the rows of docs whose place is among `rows`."""
+    """of (doc_id), text and at (which of an id's texts) of the rows of docs whose place is among `rows`."""
     docs = docs.select(F.col("doc_id").cast("long").alias("of"), F.col("text").cast("string").alias("text"), F.col(place).alias("place"))
-    return marked(docs, "place", rows, "wanted").where("wanted").select("of", "text")
+    return marked(docs, "place", rows, "wanted").where("wanted").select("of", "text", F.xxhash64("place").alias("at"))
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """of, key and bytes for each band of each row (of, text) with a word."""
+    """of, at, key, bytes and size (bytes of the shingle set) for each band of each row (of, text, at if an id has many) with a word."""
 
     def run(batches):
         for batch in slices(batches, 200):
-            ids, keys, own = [], [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids, ats, keys, own, sizes = [], [], [], [], []
+            for i, text, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = shingles(text)
                 if len(found):
                     s = signature(found)
@@ -77,130 +75,129 @@ def signatures(texts: DataFrame) -> DataFrame:
                     for band in range(BANDS):
                         keys.append(xxhash.xxh64_intdigest(s[band * ROWS : (band + 1) * ROWS].tobytes(), band))
                     ids += [i] * BANDS
+                    ats += [at] * BANDS
                     own += [low] * BANDS
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(own, pa.binary())], names=["of", "key", "bytes"])
+                    sizes += [found.nbytes] * BANDS
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ats, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(own, pa.binary()), pa.array(sizes, pa.int64())], names=["of", "at", "key", "bytes", "size"])
 
-    return texts.select("of", "text").mapInArrow(run, "of long, key long, bytes binary")
+    return texts.select("of", "text", "at" if "at" in texts.columns else F.lit(0).cast("long").alias("at")).mapInArrow(run, "of long, at long, key long, bytes binary, size long")
 
 
-def leaders(of: np.ndarray, own: np.ndarray, first: np.ndarray | None = None, sure: float = SURE) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """(candidate pairs, places of leaders) of one bucket's rows; with `first`, rows where it is true don't meet one another.
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """of, at and held (the bytes of its sorted shingle hashes) of each row (of, text, at)."""
 
-    Leaders that a row surely resembles are of one cluster from then on.
+    def run(batches):
+        for batch in slices(batches, 200):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary()), batch.column(2)], names=["of", "held", "at"])
+
+    return texts.select("of", "text", "at").mapInArrow(run, "of long, held binary, at long")
+
+
+def joining(of: np.ndarray, own: np.ndarray, held: list[np.ndarray] | None = None, side: np.ndarray | None = None, sure: float = SURE, least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Pairs that join what is similar among the rows of one lot, or among those of two lots, told apart by `side`.
+
+    With shingle sets (`held`) these are links, a spanning forest of all pairs of a similarity of at least `least`. Without, pairs
+    are judged by the signature: a forest of those that surely agree, and every likely pair of what this doesn't join. Of
+    two lots only pairs of one with the other are given, and only if neither lot joins them by itself.
     """
-    pairs, at, cluster, most = [], np.zeros(len(of), np.int64), np.zeros(len(of), np.int64), 0
-    for i in range(len(of)):
-        agree = (own[at[:most]] == own[i]).mean(axis=1)
-        if first is not None:
-            agree[first[at[:most]] == first[i]] = 0
-        near = np.flatnonzero(agree >= LIKELY)
-        near = near[np.argsort(-agree[near], kind="stable")]
-        seen: dict[int, int] = {}
-        each = 1 if len(near) and agree[near[0]] >= sure else EACH
-        for k in near.tolist():
-            c = int(cluster[k])
-            seen[c] = seen.get(c, 0) + 1
-            if seen[c] <= each:
-                pairs.append((of[at[k]], of[i]))
-        same = np.unique(cluster[near[agree[near] >= sure]])
-        if len(same) > 1:
-            cluster[:most][np.isin(cluster[:most], same)] = same[0]
-        if not len(same) or first is not None:
-            at[most], cluster[most] = i, same[0] if len(same) else i
-            most += 1
-    return pairs, at[:most]
-
-
-_FOUND = "a long, b long, key long, of long, bytes binary"
-
-
-def _met(rows: pa.Table, sure: float) -> pa.Table:
-    """Distinct pairs (a, b), and leaders (key, of, bytes) where there is `more` of their bucket, of a group of lots."""
+    root, out = np.arange(len(of)), []
+    if held is not None:
+        sizes = np.array([len(h) for h in held])
+        ids = np.split(np.unique(np.concatenate(held), return_inverse=True)[1].astype(np.int32), np.cumsum(sizes)[:-1])
+        marks = np.zeros(sizes.sum(), bool)
+
+    def alike(i: int, others: np.ndarray, agree: np.ndarray) -> np.ndarray:
+        if held is None:
+            return agree[others] >= sure
+        marks[ids[i]] = True
+        both = np.add.reduceat(marks[np.concatenate([ids[k] for k in others])], np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+        marks[ids[i]] = False
+        return (both > 0) & (both >= least * (sizes[i] + sizes[others] - both))
+
+    def apart(i: int, across: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Earlier rows that may be similar and are not joined with row i, those that agree most first; and how much all agree."""
+        agree = (own[:i] == own[i]).mean(axis=1)
+        may = agree >= LIKELY if held is None else least * np.maximum(sizes[:i], sizes[i]) <= np.minimum(sizes[:i], sizes[i])
+        may &= root[:i] != root[i]
+        if side is not None:
+            may &= (side[:i] != side[i]) == across
+        others = np.flatnonzero(may)
+        return others[np.argsort(-agree[others], kind="stable")], agree
+
+    each = lambda others: others[np.unique(root[others], return_index=True)[1]]  # the first of each component
+    for across in (False,) if side is None else (False, True):
+        for i in range(1, len(of)):
+            others, agree = apart(i, across)
+            for narrow in (True, False):
+                others = others[root[others] != root[i]]
+                if not len(others):
+                    break
+                tried = each(others) if narrow else others
+                for k in each(tried[alike(i, tried, agree)]).tolist():
+                    if across or side is None:
+                        out.append((of[k], of[i]))
+                    low, high = sorted((root[k], root[i]))
+                    root[root == high] = low
+    if held is None:
+        out += [(of[k], of[i]) for i in range(1, len(of)) for k in apart(i, side is not None)[0].tolist()]
+    return out
+
+
+def _met(rows: pa.Table, sure: float, least: float) -> pa.Table:
+    """Distinct pairs (a, b) of a group of lots."""
     key, lot, of = (rows[c].to_numpy() for c in ("key", "lot", "of"))
     own = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(-1, len(_MIX))
-    side, more = (rows[c].to_numpy(zero_copy_only=False) for c in ("side", "more"))
+    side, pairs = rows["side"].to_numpy(), set()
     order = np.lexsort((of, lot, key))
     begins = np.flatnonzero(np.concatenate(([True], (np.diff(key[order]) != 0) | (np.diff(lot[order]) != 0)))) if len(order) else np.zeros(0, np.int64)
-    pairs, led = [], []
     for a, b in zip(begins, [*begins[1:], len(order)], strict=True):
         part = order[a:b]
         if b - a > 1:
-            found, places = leaders(of[part], own[part], side[part] == 0 if side[part[0]] >= 0 else None, sure)
-            pairs += found
-            part = part[places]
-        if more[part[0]]:
-            led.append(part)
-    pairs = sorted({(min(p), max(p)) for p in pairs})  # bands of one group find the same
-    led = np.concatenate(led) if led else np.zeros(0, np.int64)
-    n = len(pairs)
-    low, high = (np.array([f(p) for p in pairs], np.int64) for f in (min, max))
-    column = lambda values, kind, missing: pa.concat_arrays([pa.nulls(missing, kind), pa.array(values, kind)])
-    return pa.table({
-        "a": pa.concat_arrays([pa.array(low), pa.nulls(len(led), pa.int64())]), "b": pa.concat_arrays([pa.array(high), pa.nulls(len(led), pa.int64())]),
-        "key": column(key[led], pa.int64(), n), "of": column(of[led], pa.int64(), n), "bytes": column([own[i].tobytes() for i in led], pa.binary(), n),
-    })
+            held = [np.frombuffer(h, np.uint64) for h in rows["held"].take(pa.array(part)).to_pylist()] if "held" in rows.column_names else None
+            found = joining(of[part], own[part], held, side[part] if side[part[0]] >= 0 else None, sure, least)
+            pairs |= {(min(p), max(p)) for p in found}  # bands of one group find the same
+    pairs = sorted(pairs)
+    return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
 
-def candidates(rows: DataFrame, sure: float = SURE) -> DataFrame:
-    """Distinct (a, b), a < b, of the rows of `signatures`, which differ in `of`."""
+def in_buckets(rows: DataFrame) -> DataFrame:
+    """The rows of `signatures` that share a key with another, with the number of lots that their bucket is dealt to."""
     rows = stash(rows, "bands")
-    out, before = None, None
-    while True:
-        counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        counted = stash(counted.withColumn("lots", F.ceil(F.col("n") / CHUNK).cast("int")), "buckets")
-        total, every, split = counted.agg(F.sum("n"), F.sum(F.col("n") * F.col("lots")), F.sum(F.when(F.col("lots") > 1, F.col("n")))).first()
-        if not total:
-            return out if out is not None else rows.select(F.col("of").alias("a"), F.col("of").alias("b")).limit(0)
-        own = F.pmod(F.xxhash64("of"), F.col("lots")).cast("int")
-        dealt = rows.join(counted.drop("n"), "key")
-        if before is not None and split and split > before // 2:  # most are leaders: pairs of lots
-            meet = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, F.lit(-1)).otherwise((own > j).cast("int")).alias("side")))
-            dealt = dealt.withColumn("m", F.explode(meet)).select("key", "of", "bytes", F.xxhash64("m.i", "m.j").alias("lot"), F.col("m.side").alias("side"), F.lit(False).alias("more"))
-            split, total = None, every
-        else:
-            dealt = dealt.select("key", "of", "bytes", own.cast("long").alias("lot"), F.lit(-1).alias("side"), (F.col("lots") > 1).alias("more"))
-        met = stash(dealt.groupBy(F.pmod(F.xxhash64("key", "lot"), F.lit(-(-total // GROUP_ROWS)))).applyInArrow(lambda rows: _met(rows, sure), _FOUND), "met")
-        found = met.where("a is not null").select("a", "b")
-        out = found if out is None else out.unionByName(found)
-        if not split:
-            return out.where("a <> b").distinct()
-        before = split
-        rows = met.where("key is not null").select("key", "of", "bytes")
-
-
-def verified(docs: DataFrame, place: str, rows: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """low and high of those pairs (a, b) whose texts have a similarity of at least `least`.
-
-    `rows` gives the place in docs of each `of` that pairs name. Texts of the candidates are read where they are.
-    """
-    pairs = stash(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("of")).unionByName(pairs.select(F.col("b").alias("of"))).distinct()
-    places = rows.join(wanted, "of").select("place")
+    counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).where("n > 1")
+    lots = F.ceil(F.greatest(F.col("n") / CHUNK, F.col("bytes") / LOT_BYTES)).cast("int")
+    return stash(rows.join(counted.select("key", lots.alias("lots")), "key"), "buckets")
 
-    def sets(batches):
-        for batch in slices(batches, 200):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["of", "held"])
 
-    held = stash(_texts(docs, place, places).mapInArrow(sets, "of long, held binary"), "shingle-sets")
+def meeting(rows: DataFrame, held: DataFrame | None = None, sure: float = SURE, least: float = SIMILARITY) -> DataFrame:
+    """Distinct (a, b), a < b, that `joining` gives of the rows of `in_buckets`, beside the sets `held` (of, at, held) if given."""
+    total, size = rows.agg(F.sum("lots"), F.sum(F.col("size") * F.col("lots"))).first()
+    if not total:
+        return rows.select(F.col("of").alias("a"), F.col("of").alias("b")).limit(0)
+    groups = -(-total // GROUP_ROWS) if held is None else max(-(-total // GROUP_ROWS), -(-size // GROUP_BYTES))
+    own = F.pmod(F.xxhash64("of"), F.col("lots")).cast("long")
+    meet = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda j: F.struct((F.least(own, j) * F.col("lots") + F.greatest(own, j)).alias("lot"), F.when(own == j, F.lit(-1)).otherwise((own > j).cast("int")).alias("side")))
+    columns = ["key", "of", "bytes"] if held is None else ["key", "of", "bytes", "held"]
+    dealt = (rows if held is None else rows.join(held, ["of", "at"])).select(*columns, F.explode(meet).alias("m")).select(*columns, "m.lot", "m.side")
+    met = dealt.groupBy(F.pmod(F.xxhash64("key", "lot"), F.lit(groups))).applyInArrow(lambda rows: _met(rows, sure, least), "a long, b long")
+    return met.where("a <> b").distinct()
 
-    def compare(batches):
-        for batch in slices(batches, 100):
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = 0 if least * max(len(x), len(y)) > min(len(x), len(y)) else len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and both >= least * (len(x) + len(y) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["low", "high"])
 
-    sides = pairs.join(held.select(F.col("of").alias("a"), F.col("held").alias("x")), "a").join(held.select(F.col("of").alias("b"), F.col("held").alias("y")), "b")
-    return sides.select("a", "b", "x", "y").mapInArrow(compare, "low long, high long")
+def candidates(rows: DataFrame, sure: float = SURE) -> DataFrame:
+    """Distinct (a, b), a < b, of the rows of `signatures`, judged by the signatures alone, for a caller who verifies them.
+
+    A pair that surely agrees stands for others between the same texts' neighbours; `similar` verifies and needs no such guess.
+    """
+    return meeting(in_buckets(rows), sure=sure)
 
 
 def similar(docs: DataFrame, place: str, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """low and high of pairs of doc_ids whose texts are similar, enough to join whatever candidates find.
+    """low and high of pairs of doc_ids whose texts are similar, enough to join all similar ones that share a band.
 
     `rows` has one doc_id (of) and place in docs for each text to be looked at. Texts without a word are similar to none.
+    Texts in buckets are read again where they are, for their shingle sets.
     """
     rows = stash(rows.select("of", "place"), "looked-at")
-    return verified(docs, place, rows, candidates(signatures(_texts(docs, place, rows.select("place")))), least)
+    met = in_buckets(signatures(_texts(docs, place, rows.select("place"))))
+    wanted = rows.join(met.select("of").distinct(), "of").select("place")
+    held = stash(shingle_sets(_texts(docs, place, wanted)), "shingle-sets")
+    return meeting(met, held, least=least).select(F.col("a").alias("low"), F.col("b").alias("high"))

@@ -84,6 +84,32 @@ def test_a_hot_group_gives_far_fewer_rows_than_pairs(spark):
     assert n[1] < 8 * n[0] and n[1] < 0.1 * 600 * 599 / 2, n
 
 
+@pytest.mark.parametrize("chunk", [60, 2048])
+def test_a_hot_group_around_the_threshold_loses_no_link(spark, monkeypatch, chunk):
+    """Components of a large group with 1 to 8 edits a text are those of all similar pairs that share a band, from few rows."""
+    monkeypatch.setattr(r, "CHUNK", chunk)
+    texts = corpus(random.Random(6), 1, 400, (1, 8), 150)
+    sets, bands = [plain_shingles(t) for t in texts], [r.signature(r.shingles(t)).reshape(r.BANDS, r.ROWS) for t in texts]
+    wanted = [(a, b) for a, b in combinations(range(len(texts)), 2) if jaccard(sets[a], sets[b]) >= 0.8 and (bands[a] == bands[b]).all(axis=1).any()]
+    pairs = found(spark, texts)
+    assert all(jaccard(sets[a], sets[b]) >= 0.8 for a, b in pairs)
+    assert roots(len(texts), pairs) == roots(len(texts), wanted)
+    assert len(wanted) > 3000 and len(pairs) < 3 * len(texts), (len(wanted), len(pairs))
+
+
+def test_an_id_with_many_similar_texts(spark, monkeypatch):
+    """Each text of an id is met with its own set, so 60 of them are 60 rows, and a neighbour of any is linked to the id."""
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(900)}" for _ in range(200)] for _ in range(60)]
+    rows = [(7, " ".join(w), None, None, None) for w in base] + [(100 + i, " ".join(edited(rng, w, 1)), None, None, None) for i, w in enumerate(base)]
+    docs, place = tables.located(documents(spark, rows).repartition(5))
+    met, whole = [], r.meeting
+    monkeypatch.setattr(r, "meeting", lambda rows, held, **more: met.append(rows.join(held, ["of", "at"]).count() - rows.count()) or whole(rows, held, **more))
+    pairs = r.similar(docs, place, docs.select(r.F.col("doc_id").alias("of"), r.F.col(place).alias("place"))).collect()
+    assert met == [0]
+    assert {(p.low, p.high) for p in pairs} == {(7, 100 + i) for i in range(60)}
+
+
 def test_a_bucket_of_leaders_is_met_by_pairs_of_lots(spark, monkeypatch):
     """Where nobody is sure of a leader, leaders don't get fewer; pairs of lots end it, and find the same pairs."""
     texts = corpus(random.Random(4), 2, 60, (1, 2), 100)
